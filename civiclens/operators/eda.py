@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from civiclens.functions.rules import season
 from civiclens.functions.text import seconds_between, strict_timestamp, try_timestamp
-from civiclens.operators.reports import counts_by
+from civiclens.operators.reports import counts_by, counts_per_month
 
 col = F.col
 
@@ -35,8 +35,7 @@ def friendly(raw: DataFrame) -> DataFrame:
 
 
 def complaints_per_month(raw: DataFrame) -> DataFrame:
-    month = F.date_format(strict_timestamp("created_date"), "yyyy-MM")
-    return counts_by(raw.select(month.alias("month")), "month").orderBy(col("month").asc_nulls_last())
+    return counts_per_month(raw, strict_timestamp("created_date").cast("date"))
 
 
 def complaints_by_zip(raw: DataFrame) -> DataFrame:
@@ -70,9 +69,9 @@ def weekday_counts(raw: DataFrame) -> DataFrame:
     domain = raw.sparkSession.createDataFrame(
         list(enumerate(WEEKDAYS, start=1)), "position int, weekday string"
     )
-    day = F.date_format(try_timestamp("created_date"), "EEEE").alias("weekday")
-    counted = counts_by(raw.select(day), "weekday")
-    return domain.join(counted, "weekday", "left").select("position", "weekday", "cnt").orderBy("position")
+    position = (F.weekday(try_timestamp("created_date")) + 1).alias("position")
+    counted = counts_by(raw.select(position), "position")
+    return domain.join(counted, "position", "left").select("position", "weekday", "cnt").orderBy("position")
 
 
 def closure_hours() -> Column:
@@ -157,8 +156,9 @@ def pivot_counts(frame: DataFrame, index: str, column: str, values: Sequence[str
 
 
 def monthly_type_pivot(raw: DataFrame, values: Sequence[str] | None = None) -> DataFrame:
-    month = F.date_format(try_timestamp("created_date"), "yyyy-MM").alias("month")
-    return pivot_counts(raw.select(month, "sr_type"), "month", "sr_type", values)
+    first = F.trunc(try_timestamp("created_date").cast("date"), "MM").alias("month")
+    wide = pivot_counts(raw.select(first, "sr_type"), "month", "sr_type", values)
+    return wide.withColumn("month", F.date_format("month", "yyyy-MM"))
 
 
 def season_of_month(raw: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclens.functions.text import seconds_between
@@ -63,7 +63,7 @@ def feature_table(
         )
     )
 
-    def flag(condition: object) -> object:
+    def flag(condition: Column) -> Column:
         return F.coalesce(condition.cast("int"), F.lit(0))
 
     base = joined.select(
@@ -92,52 +92,58 @@ def time_split(features: DataFrame, train_until: str) -> DataFrame:
     return features.withColumn("split", F.when(in_train, "train").otherwise("test"))
 
 
-def _vectorizer() -> list:
+def _vectorizer() -> Pipeline:
     indexed = [f"{c}_index" for c in CATEGORIES]
     encoded = [f"{c}_vector" for c in CATEGORIES]
-    return [
-        StringIndexer(inputCols=list(CATEGORIES), outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded),
-        VectorAssembler(inputCols=[*NUMBERS, *encoded], outputCol="features", handleInvalid="skip"),
-    ]
+    return Pipeline(
+        stages=[
+            StringIndexer(inputCols=list(CATEGORIES), outputCols=indexed, handleInvalid="keep"),
+            OneHotEncoder(inputCols=indexed, outputCols=encoded),
+            VectorAssembler(inputCols=[*NUMBERS, *encoded], outputCol="features", handleInvalid="skip"),
+        ]
+    )
 
 
-def _scores(predicted: DataFrame, model: str, evaluators: dict) -> list[tuple[str, str, float]]:
-    return [(model, name, float(e.evaluate(predicted))) for name, e in evaluators.items()]
+def _compare(split: DataFrame, label: str, models: dict, evaluators: dict) -> DataFrame:
+    """Fit each model on the train part and score it on the test part."""
+    train, test = (split.where(col("split") == part) for part in ("train", "test"))
+    vectorizer = _vectorizer().fit(train)
+    train, test = (vectorizer.transform(part).select(label, "features") for part in (train, test))
+    scores = []
+    for model_name, model in models.items():
+        predicted = model.fit(train).transform(test)
+        for metric, evaluator in evaluators.items():
+            scores.append((model_name, metric, float(evaluator.evaluate(predicted))))
+    return split.sparkSession.createDataFrame(scores, "model string, metric string, value double")
 
 
 def model_benchmark(split: DataFrame) -> DataFrame:
     """Logistic regression and random forest on the closure label; metrics on the test part."""
-    train, test = (split.where(col("split") == part) for part in ("train", "test"))
-    evaluators = {
-        "auc": BinaryClassificationEvaluator(labelCol="is_closed"),
-        "accuracy": MulticlassClassificationEvaluator(labelCol="is_closed", metricName="accuracy"),
-        "f1": MulticlassClassificationEvaluator(labelCol="is_closed", metricName="f1"),
-    }
-    models = {
-        "logistic_regression": LogisticRegression(labelCol="is_closed", maxIter=20),
-        "random_forest": RandomForestClassifier(labelCol="is_closed", numTrees=20, maxDepth=5, seed=42),
-    }
-    scores = []
-    for name, model in models.items():
-        fitted = Pipeline(stages=[*_vectorizer(), model]).fit(train)
-        scores += _scores(fitted.transform(test), name, evaluators)
-    return split.sparkSession.createDataFrame(scores, "model string, metric string, value double")
+    label = "is_closed"
+    return _compare(
+        split,
+        label,
+        {
+            "logistic_regression": LogisticRegression(labelCol=label, maxIter=20),
+            "random_forest": RandomForestClassifier(labelCol=label, numTrees=20, maxDepth=5, seed=42),
+        },
+        {
+            "auc": BinaryClassificationEvaluator(labelCol=label),
+            "accuracy": MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
+            "f1": MulticlassClassificationEvaluator(labelCol=label, metricName="f1"),
+        },
+    )
 
 
 def closure_regression(split: DataFrame) -> DataFrame:
     """Linear and boosted-tree regression of the hours to close, on closed requests."""
-    closed = split.where(col("hours_to_close").isNotNull())
-    train, test = (closed.where(col("split") == part) for part in ("train", "test"))
-    evaluators = {
-        metric: RegressionEvaluator(labelCol="hours_to_close", metricName=metric) for metric in ("rmse", "mae", "r2")
-    }
-    models = {
-        "linear_regression": LinearRegression(labelCol="hours_to_close", maxIter=20),
-        "boosted_trees": GBTRegressor(labelCol="hours_to_close", maxIter=5, maxDepth=4, seed=42),
-    }
-    scores = []
-    for name, model in models.items():
-        fitted = Pipeline(stages=[*_vectorizer(), model]).fit(train)
-        scores += _scores(fitted.transform(test), name, evaluators)
-    return split.sparkSession.createDataFrame(scores, "model string, metric string, value double")
+    label = "hours_to_close"
+    return _compare(
+        split.where(col(label).isNotNull()),
+        label,
+        {
+            "linear_regression": LinearRegression(labelCol=label, maxIter=20),
+            "boosted_trees": GBTRegressor(labelCol=label, maxIter=5, maxDepth=4, seed=42),
+        },
+        {m: RegressionEvaluator(labelCol=label, metricName=m) for m in ("rmse", "mae", "r2")},
+    )

@@ -68,13 +68,13 @@ def dimension_cardinality(requests: DataFrame) -> DataFrame:
     values["unique_dates"] = try_date(F.left("created_date", F.lit(10))).cast("string")
     values["unique_hours"] = try_int(F.substring("created_date", 12, 2)).cast("string")
 
-    wide = requests.select(*[value.alias(name) for name, value in values.items()])
-    pairs = wide.unpivot([], list(values), "metric", "value").where(col("value").isNotNull())
-    counts = pairs.distinct().groupBy("metric").agg(F.count("*").alias("distinct_values"))
+    wide = requests.select(*[value.alias(f"_{n}") for n, value in enumerate(values.values())])
+    pairs = wide.unpivot([], wide.columns, "metric", "value").where(col("value").isNotNull()).distinct()
+    counts = pairs.groupBy("metric").agg(F.count("*").alias("distinct_values"))
     return counts.agg(
         *[
-            F.coalesce(F.max(F.when(col("metric") == name, col("distinct_values"))), F.lit(0)).alias(name)
-            for name in values
+            F.coalesce(F.max(F.when(col("metric") == f"_{n}", col("distinct_values"))), F.lit(0)).alias(name)
+            for n, name in enumerate(values)
         ]
     )
 

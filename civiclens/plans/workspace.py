@@ -33,6 +33,8 @@ DIMENSIONS = (
     "dim_geography",
     "dim_infrastructure",
 )
+TABLES = ("raw_requests", "requests", *DIMENSIONS, "fact_requests", "fact_star")
+"""All stage tables, each after the ones it is built from."""
 
 
 class Workspace:

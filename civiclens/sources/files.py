@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from civiclens.schema import RAW_SCHEMA
 
 
 def write_landing(requests: DataFrame, folder: str, partition: str = "ingest_month") -> None:
-    """Ragged JSON records, one folder per month; NULL fields are left out of a record."""
-    requests.write.mode("overwrite").partitionBy(partition).json(folder)
+    """Ragged JSON records, one folder per month; NULL fields are left out of a record.
+
+    The REBALANCE hint gathers small months into one file and spreads a large one over many.
+    """
+    spread = requests.hint("rebalance", F.col(partition))
+    spread.write.mode("overwrite").partitionBy(partition).json(folder)
 
 
 def read_landing(spark: SparkSession, folder: str, schema: StructType | None = RAW_SCHEMA) -> DataFrame:

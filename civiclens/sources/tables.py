@@ -75,13 +75,21 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     col = F.col
     start = (col("l_partkey") * 7 + col("l_suppkey")) % 1440
     shift = start + col("l_quantity").cast("int") * 997 - 2400
-    base = (
+    narrow = (
         lines.join(orders, col("l_orderkey") == col("o_orderkey"))
         .join(customers, col("o_custkey") == col("c_custkey"))
-        .withColumn("a", (col("c_custkey") % 400).cast("int"))
-        .withColumn("created", col("l_shipdate") + F.make_dt_interval(mins=start.cast("int")))
-        .withColumn("changed", col("l_shipdate") + F.make_dt_interval(mins=shift.cast("int")))
+        .select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+            "o_orderstatus", "o_orderpriority", "c_custkey", "c_nationkey",
+            (col("c_custkey") % 400).cast("int").alias("a"),
+            _iso(col("l_shipdate") + F.make_dt_interval(mins=start.cast("int"))).alias("created"),
+            _iso(col("l_shipdate") + F.make_dt_interval(mins=shift.cast("int"))).alias("changed"),
+        )
     )
+    # Spread the narrow rows by their key before they are widened: joins on a hot customer
+    # or a table of few row groups would otherwise leave the wide write to few tasks.
+    base = narrow.hint("rebalance", col("l_orderkey"), col("l_linenumber"))
 
     a, order_text = col("a"), _number(col("l_orderkey"))
     kind = col("l_partkey") % len(REQUEST_TYPES)
@@ -104,10 +112,10 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
         .when(col("o_orderpriority") == "3-MEDIUM", "Mobile Device")
         .when(col("o_orderpriority") == "5-LOW", "")
         .alias("origin"),
-        _iso(col("created")).alias("created_date"),
-        _iso(col("changed")).alias("last_modified_date"),
+        col("created").alias("created_date"),
+        col("changed").alias("last_modified_date"),
         _unless(
-            (col("l_returnflag") == "A") & (col("l_linestatus") == "O"), _iso(col("changed"))
+            (col("l_returnflag") == "A") & (col("l_linestatus") == "O"), col("changed")
         ).alias("closed_date"),
         _unless(a % 11 == 0, F.concat(_number(a % 50 + 100), F.lit(" W ADDISON ST"))).alias("street_address"),
         _unless(a % 3 == 0, F.lit("CHICAGO")).alias("city"),
@@ -141,7 +149,7 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
         .when(a % 5 == 1, "MON")
         .when(a % 5 == 2, "Monday")
         .alias("sanitation_division_days"),
-        F.substring(col("created").cast("string"), 12, 2).alias("created_hour"),
+        F.substring("created", 12, 2).alias("created_hour"),
         _number(a % 7 + 1).alias("created_day_of_week"),
         F.lit(None).cast("string").alias("created_month"),
         _unless(unplaced, F.concat(_number(a * 137 + 1110000), F.lit(".621"))).alias("x_coordinate"),
