@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civiclens.functions.text import as_column, clean, clean_or, trimmed_or_empty, try_double, try_int
+from civiclens.functions.text import as_column, trimmed_or_empty
 
 Stage = Callable[[DataFrame, str], DataFrame]
 """Writes a frame to the shared folder under a label and returns it re-read."""
@@ -26,15 +26,22 @@ def trimmed_hash(*columns: str | Column) -> Column:
     return F.md5(F.concat_ws("|", *[trimmed_or_empty(c) for c in columns]))
 
 
-def location_hash() -> Column:
-    """Content hash of a request's place, over the cleaned raw columns."""
+# What stands for a missing part of a place, in hash order.
+LOCATION_PARTS = {
+    "street_address": "NO_ADDRESS",
+    "city": "NO_CITY",
+    "zip_code": "NO_ZIP",
+    "latitude": "NO_LAT",
+    "longitude": "NO_LON",
+    "ward": "NO_WARD",
+}
+
+
+def location_hash(cleaned: Mapping[str, Column]) -> Column:
+    """Content hash of a place, over its cleaned columns."""
     parts = [
-        F.coalesce(clean("street_address"), F.lit("NO_ADDRESS")),
-        clean_or("city", "Chicago"),
-        F.coalesce(clean("zip_code"), F.lit("NO_ZIP")),
-        F.coalesce(try_double("latitude").cast("string"), F.lit("NO_LAT")),
-        F.coalesce(try_double("longitude").cast("string"), F.lit("NO_LON")),
-        F.coalesce(try_int(clean("ward")).cast("string"), F.lit("NO_WARD")),
+        F.coalesce(cleaned[name].cast("string"), F.lit(missing))
+        for name, missing in LOCATION_PARTS.items()
     ]
     return F.md5(F.concat_ws("|", *parts))
 

@@ -66,5 +66,9 @@ def strict_timestamp(value: str | Column) -> Column:
 
 
 def seconds_between(start: Column, end: Column) -> Column:
-    """Signed seconds from ``start`` to ``end`` as DOUBLE."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
+    """Signed seconds from ``start`` to ``end`` as DOUBLE, for zone-less timestamps.
+
+    Subtracting them never consults the session time zone, whose clock changes would
+    otherwise shift times that fall into them.
+    """
+    return (end - start).cast("interval second").cast("decimal(20,6)").cast("double")

@@ -206,12 +206,11 @@ def clean_location() -> dict[str, Column]:
 
 
 def dim_location(requests: DataFrame, stage: Stage) -> DataFrame:
-    """One row per distinct cleaned place. The key is the content hash plus the rank of the
+    """One row per distinct cleaned place, hashed after the DISTINCT. The key is the content hash plus the rank of the
     row among those sharing the hash; all remaining columns settle the order."""
     columns = list(clean_location())
-    places = requests.select(
-        location_hash().alias("location_hash"), *_named(clean_location())
-    ).distinct()
+    places = requests.select(*_named(clean_location())).distinct()
+    places = places.withColumn("location_hash", location_hash({c: col(c) for c in columns}))
     numbered = dense_ids(places, nulls_last("location_hash", *columns), "location_id", stage)
     ranked = rank_within(numbered, "location_hash", "location_id", "_rank").drop(BLOCK)
 

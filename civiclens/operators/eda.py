@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from civiclens.functions.rules import season
 from civiclens.functions.text import seconds_between, strict_timestamp, try_timestamp
 from civiclens.operators.reports import counts_by, counts_per_month
+from civiclens.operators.sampling import hash_sample
 
 col = F.col
 
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
+# Rows of the closure, point-map and marker-map samples.
+CLOSURE_SAMPLE = 500_000
+MAP_POINTS = 200_000
+MAP_MARKERS = 500
 # Friendly names of the upper-case export columns.
 FRIENDLY_NAMES = {
     "SR_NUMBER": "service_request_number",
@@ -98,6 +103,13 @@ def closure_times(raw: DataFrame) -> DataFrame:
     return raw.where(col("closed_date").isNotNull()).select(closure_hours().alias("closure_time"))
 
 
+def closure_sample(raw: DataFrame, size: int = CLOSURE_SAMPLE) -> DataFrame:
+    """Closure hours of sampled requests. Requests are sampled before the hours are taken:
+    a hash of the hours alone would keep or lose all requests of equal duration together."""
+    closed = raw.where(col("closed_date").isNotNull()).select("sr_number", "created_date", "closed_date")
+    return closure_times(hash_sample(closed, size))
+
+
 def closing_days(raw: DataFrame) -> DataFrame:
     return raw.select("sr_number", "created_date", days_to_close().alias("days_to_close"))
 
@@ -111,12 +123,13 @@ def histogram(values: DataFrame, column: str, bins: int) -> DataFrame:
     x = col(column).cast("double")
     present = values.select(x.alias("x")).where(col("x").isNotNull())
     flat = F.min("x") == F.max("x")
-    bounds = present.agg(
+    ends = present.agg(
         F.when(flat, F.min("x") - 0.5).otherwise(F.min("x")).alias("low"),
         F.when(flat, F.max("x") + 0.5).otherwise(F.max("x")).alias("high"),
     )
-    low = bounds.select("low").scalar()
-    width = bounds.select((col("high") - col("low")) / bins).scalar()
+    # One struct, so that all uses below are the same subquery and Spark runs it once.
+    bounds = ends.select(F.struct("low", ((col("high") - col("low")) / bins).alias("width"))).scalar()
+    low, width = bounds.getField("low"), bounds.getField("width")
     position = F.least(F.floor((col("x") - low) / width), F.lit(bins - 1))
     counted = counts_by(present.select(position.alias("bin")), "bin")
     domain = values.sparkSession.range(bins).select(col("id").alias("bin"))

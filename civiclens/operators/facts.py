@@ -19,6 +19,7 @@ from civiclens.operators.dimensions import (
     clean_department_keys,
     clean_geography_keys,
     clean_infrastructure_keys,
+    clean_location,
     clean_service_keys,
     created_day,
 )
@@ -91,7 +92,7 @@ def first_locations(dim_location: DataFrame) -> DataFrame:
 def attach_location(requests: DataFrame, dim_location: DataFrame) -> DataFrame:
     """Location id by the content hash, computed alike on both sides."""
     return attach(
-        requests, first_locations(dim_location), {"location_hash": location_hash()}, "location_id"
+        requests, first_locations(dim_location), {"location_hash": location_hash(clean_location())}, "location_id"
     )
 
 

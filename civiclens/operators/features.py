@@ -32,12 +32,12 @@ NUMBERS = (
 )
 
 
-def frequency_codes(frame: DataFrame, column: str) -> DataFrame:
-    """(label, code): labels numbered from 0, the most frequent first. For columns with few
-    distinct labels: the numbering runs over the labels in one task."""
-    counts = frame.groupBy(column).agg(F.count("*").alias("_n"))
+def frequency_codes(counts: DataFrame, column: str) -> DataFrame:
+    """(label, code) from rows of (labels…, n): labels numbered from 0, the most frequent
+    first. For columns with few distinct labels: the numbering runs over them in one task."""
+    totals = counts.groupBy(column).agg(F.sum("n").alias("_n"))
     order = Window.orderBy(F.desc("_n"), col(column).asc_nulls_last())
-    return counts.select(column, (F.row_number().over(order) - 1).alias(f"{column}_code"))
+    return totals.select(column, (F.row_number().over(order) - 1).alias(f"{column}_code"))
 
 
 def feature_table(
@@ -46,27 +46,23 @@ def feature_table(
     """One row per request: hours to close, closure label, calendar, flags and categories.
 
     Labels come from the dimensions by id, so the keyword rules are not run again per row.
+    Their frequencies come from counts per id pair. The code tables are broadcast: the rule
+    ladders fix their number of rows.
     """
-    joined = (
-        star.join(
-            dim_service.select("service_id", "service_category", "priority_level", "is_emergency"),
-            "service_id",
-            "left",
-        )
-        .join(dim_department.select("department_id", "department_type"), "department_id", "left")
-        .join(
-            dim_time.select(
-                col("date_id").alias("created_date_id"), "day_of_week", "month", "is_weekend", "is_business_day"
-            ),
-            "created_date_id",
-            "left",
-        )
+    services = dim_service.select("service_id", "service_category", "priority_level", "is_emergency")
+    departments = dim_department.select("department_id", "department_type")
+    days = dim_time.select(
+        col("date_id").alias("created_date_id"), "day_of_week", "month", "is_weekend", "is_business_day"
     )
 
+    def with_labels(frame: DataFrame) -> DataFrame:
+        joined = frame.join(services, "service_id", "left").join(departments, "department_id", "left")
+        return joined.withColumns({c: F.coalesce(c, F.lit("Unknown")) for c in CATEGORIES})
+
     def flag(condition: Column) -> Column:
         return F.coalesce(condition.cast("int"), F.lit(0))
 
-    base = joined.select(
+    table = with_labels(star).join(days, "created_date_id", "left").select(
         "sr_number",
         col("created_date_id").alias("created_day"),
         (seconds_between(col("created_ts"), col("closed_ts")) / F.lit(3600.0)).alias("hours_to_close"),
@@ -79,11 +75,12 @@ def feature_table(
         flag(col("is_emergency")).alias("is_emergency"),
         col("location_id").isNotNull().cast("int").alias("is_located"),
         col("parent_sr_number").isNotNull().cast("int").alias("is_child"),
-        *[F.coalesce(c, F.lit("Unknown")).alias(c) for c in CATEGORIES],
+        *CATEGORIES,
     )
+    labels = with_labels(star.groupBy("service_id", "department_id").agg(F.count("*").alias("n")))
     for category in CATEGORIES:
-        base = base.join(frequency_codes(base, category), category, "left")
-    return base
+        table = table.join(F.broadcast(frequency_codes(labels, category)), category, "left")
+    return table
 
 
 def time_split(features: DataFrame, train_until: str) -> DataFrame:
@@ -99,14 +96,15 @@ def _vectorizer() -> Pipeline:
         stages=[
             StringIndexer(inputCols=list(CATEGORIES), outputCols=indexed, handleInvalid="keep"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded),
-            VectorAssembler(inputCols=[*NUMBERS, *encoded], outputCol="features", handleInvalid="skip"),
+            VectorAssembler(inputCols=[*NUMBERS, *encoded], outputCol="features"),
         ]
     )
 
 
 def _compare(split: DataFrame, label: str, models: dict, evaluators: dict) -> DataFrame:
     """Fit each model on the train part and score it on the test part."""
-    train, test = (split.where(col("split") == part) for part in ("train", "test"))
+    complete = split.fillna(-1, subset=list(NUMBERS))
+    train, test = (complete.where(col("split") == part) for part in ("train", "test"))
     vectorizer = _vectorizer().fit(train)
     train, test = (vectorizer.transform(part).select(label, "features") for part in (train, test))
     scores = []

@@ -197,7 +197,7 @@ def content_hashes(ws: Workspace) -> DataFrame:
         trimmed_hash(*DEPARTMENT_KEYS).alias("department_hash"),
         trimmed_hash(*GEOGRAPHY_KEYS).alias("geography_hash"),
         trimmed_hash(*INFRASTRUCTURE_KEYS).alias("infrastructure_hash"),
-        location_hash().alias("location_hash"),
+        location_hash(clean_location()).alias("location_hash"),
     )
 
 
@@ -243,9 +243,8 @@ def resumable_ingest(ws: Workspace) -> DataFrame:
     landing, target, checkpoint = _landing(ws), ws.folder("streamed"), ws.folder("stream_checkpoint")
     for _ in range(2):
         ingest_stream(ws.spark, landing, target, checkpoint)
-    schema = RAW_SCHEMA.names
-    loaded = ws.spark.read.schema(ingest._with_month(RAW_SCHEMA)).parquet(target)
-    return loaded.select(*[c for c in INGESTED if c in schema], ingest.MONTH_COLUMN)
+    loaded = ws.spark.read.schema(ingest.with_month(RAW_SCHEMA)).parquet(target)
+    return loaded.select(*INGESTED, ingest.MONTH_COLUMN)
 
 
 def _legacy_and_current(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -432,9 +431,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # windows, samples
     "dedup_requests": lambda ws: ws.requests,
     "fact_id_dense": lambda ws: ws.table("fact_requests").select("fact_id", "date_id", "sr_number"),
-    "closure_sample": lambda ws: hash_sample(eda.closure_times(ws.raw), 500_000),
-    "geo_point_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), 200_000),
-    "geo_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), 500),
+    "closure_sample": lambda ws: eda.closure_sample(ws.raw),
+    "geo_point_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_POINTS),
+    "geo_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_MARKERS),
     # composite builders and validators
     "dim_service": lambda ws: _without_load_times(ws.table("dim_service")),
     "dim_department": lambda ws: _without_load_times(ws.table("dim_department")),

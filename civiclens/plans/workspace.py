@@ -108,9 +108,13 @@ class Workspace:
 _open: dict[tuple[str, str], Workspace] = {}
 
 
-def workspace(spark: SparkSession, folder: str) -> Workspace:
-    """The workspace of this application over the tables in ``folder``."""
+def workspace(spark: SparkSession, folder: str, fresh: bool = False) -> Workspace:
+    """The workspace of this application over the tables in ``folder``.
+
+    The folder's tables are taken as unchanged while the application runs; pass ``fresh``
+    after changing them.
+    """
     key = (spark.sparkContext.applicationId, folder)
-    if key not in _open:
+    if fresh or key not in _open:
         _open[key] = Workspace(spark, lambda: raw_requests(spark, folder))
     return _open[key]

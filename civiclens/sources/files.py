@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,13 +20,17 @@ def write_landing(requests: DataFrame, folder: str, partition: str = "ingest_mon
     spread.write.mode("overwrite").partitionBy(partition).json(folder)
 
 
-def read_landing(spark: SparkSession, folder: str, schema: StructType | None = RAW_SCHEMA) -> DataFrame:
-    """Landed JSON records. With a schema, absent fields are NULL and unknown ones ignored;
-    with ``None`` the union of all fields is found by one more pass, all as text."""
-    reader = spark.read.option("mode", "PERMISSIVE")
-    if schema is None:
-        return reader.option("primitivesAsString", True).json(folder)
-    return reader.schema(schema).json(folder)
+def read_landing(
+    spark: SparkSession, folder: str, partitions: Sequence[str], schema: StructType | None = RAW_SCHEMA
+) -> DataFrame:
+    """Landed JSON records of the given partition folders; no other folder is listed.
+
+    With a schema, absent fields are NULL and unknown ones ignored; with ``None`` the union
+    of the fields is found by one more pass over these folders, all as text.
+    """
+    reader = spark.read.option("mode", "PERMISSIVE").option("basePath", folder)
+    reader = reader.schema(schema) if schema else reader.option("primitivesAsString", True)
+    return reader.json([f"{folder}/{partition}" for partition in partitions])
 
 
 def write_csv(frame: DataFrame, folder: str) -> None:

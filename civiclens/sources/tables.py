@@ -66,7 +66,7 @@ def _unless(condition: Column, value: Column) -> Column:
 
 def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     """38 of the 39 raw columns; the ``location`` struct, which nothing reads, is left out."""
-    lines = read_table(spark, folder, "lineitem").where("l_partkey >= 0 AND l_suppkey >= 0")
+    lines = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
     )

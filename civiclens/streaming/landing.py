@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from civiclens.schema import RAW_SCHEMA
-from civiclens.sources.ingest import MONTH_COLUMN
+from civiclens.sources.ingest import MONTH_COLUMN, with_month
 
 
 def ingest_stream(
@@ -21,8 +21,7 @@ def ingest_stream(
     The checkpoint remembers the files of finished runs and the sink's log the files it
     wrote, so a run that is repeated or was interrupted adds each record once.
     """
-    fields = StructType([*schema.fields]).add(MONTH_COLUMN, "string")
-    landed = spark.readStream.schema(fields).json(landing)
+    landed = spark.readStream.schema(with_month(schema)).json(landing)
     query = (
         landed.writeStream.format("parquet")
         .option("path", target)

@@ -10,6 +10,7 @@ from civiclens.operators import eda, quality, reports
 from civiclens.operators.funnel import reduction_funnel
 from civiclens.operators.dedup import dedup_requests
 from civiclens.operators.sampling import first_rows, hash_sample
+from civiclens.plans.summaries import write_summaries
 
 
 def request(number, **fields):
@@ -136,3 +137,24 @@ def test_funnel(raw_frame):
     assert [(r.stage, r.n_rows) for r in rows] == [
         ("raw", 7), ("deduplicated", 5), ("closed", 4), ("non_legacy", 3), ("parent_merged", 2), ("located", 1),
     ]
+
+
+def test_durations_ignore_the_session_time_zone(spark, raw_frame):
+    raw = raw_frame(
+        request("1", created_date="2024-03-09T12:00:00.000", closed_date="2024-03-10T12:00:00.000"),
+        request("2", created_date="2024-03-10T01:30:00.000", closed_date="2024-03-10T02:30:00.000"),
+    )
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        assert sorted(r.closure_time for r in eda.closure_times(raw).collect()) == [1.0, 24.0]
+        assert [r.hour for r in eda.time_features(raw).orderBy("sr_number").collect()] == [12, 1]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_summaries_are_written_as_tables_and_csv(spark, ws, tmp_path):
+    names = write_summaries(ws, str(tmp_path))
+    for name in names:
+        table = spark.read.parquet(f"{tmp_path}/tables/{name}")
+        assert spark.read.option("header", True).csv(f"{tmp_path}/csv/{name}").count() == table.count() > 0
