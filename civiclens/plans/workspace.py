@@ -38,13 +38,20 @@ TABLES = ("raw_requests", "requests", *DIMENSIONS, "fact_requests", "fact_star")
 
 
 class Workspace:
-    """Builds each table on first use, from the tables it depends on."""
+    """Builds each table on first use, from the tables it depends on.
 
-    def __init__(self, spark: SparkSession, raw: Callable[[], DataFrame], root: str | None = None):
+    ``raw`` is the raw request table, used where it lies, or a function that derives it; a
+    derived one is written first. Tables go below ``root``, by default a new folder of the
+    run inside the shared one.
+    """
+
+    def __init__(
+        self, spark: SparkSession, raw: DataFrame | Callable[[], DataFrame], root: str | None = None
+    ):
         self.spark = spark
         self.root = root or f"{shared_folder(spark)}/civiclens-{uuid.uuid4().hex[:12]}"
-        self._raw = raw
-        self._tables: dict[str, DataFrame] = {}
+        self._derive_raw = raw if callable(raw) else None
+        self._tables: dict[str, DataFrame] = {} if callable(raw) else {"raw_requests": raw}
 
     def stage(self, frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a frame below the root and return it as read from there."""
@@ -75,7 +82,7 @@ class Workspace:
 
     def _build(self, name: str) -> DataFrame:
         if name == "raw_requests":
-            return self.stage(self._raw(), name)
+            return self.stage(self._derive_raw(), name)
         if name == "requests":
             return self.stage(dedup_requests(self.raw), name)
         if name == "dim_service":

@@ -45,9 +45,9 @@ def raw_frame(spark):
 @pytest.fixture
 def space(spark):
     """A workspace over a given raw frame."""
-    return lambda frame: Workspace(spark, lambda: frame)
+    return lambda frame: Workspace(spark, frame)
 
 
 @pytest.fixture
 def stage(spark):
-    return Workspace(spark, lambda: None).stage
+    return Workspace(spark, lambda: spark.range(0)).stage

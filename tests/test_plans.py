@@ -2,7 +2,9 @@
 
 import pytest
 
+from civiclens.operators import facts, reports
 from civiclens.plans.catalog import QUERIES, run
+from civiclens.plans.workspace import DIMENSIONS
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas")
 WRITES_FILES = {"ingest_append", "resumable_ingest", "aligned_append", "csv_roundtrip"}
@@ -34,3 +36,32 @@ def test_flagship_counts_before_it_joins(spark, folder):
     plan = plan_of(run("join_service_department", spark, folder))
     join = plan.rindex("Join")
     assert "partial_count(1)" in plan[join:]
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they run when a dimension outgrows the broadcast threshold."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set(key, old)
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_star_is_the_same_without_broadcasts(ws, no_broadcast):
+    built = ws.table("fact_star")
+    again = facts.fact_star(ws.requests, *[ws.table(d) for d in DIMENSIONS])
+    plan = plan_of(again)
+    assert "BroadcastHashJoin" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert again.exceptAll(built).count() == built.exceptAll(again).count() == 0
+
+
+def test_flagship_is_the_same_without_broadcasts(ws, spark, folder, no_broadcast):
+    pairs = reports.service_department_pairs(
+        ws.table("fact_requests"), ws.table("dim_service"), ws.table("dim_department")
+    )
+    assert "SortMergeJoin" in plan_of(pairs)
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert pairs.collect() == run("join_service_department", spark, folder).collect()
