@@ -10,6 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from civiclens.operators.dedup import dedup_requests
@@ -42,13 +43,20 @@ class Workspace:
 
     ``raw`` is the raw request table, used where it lies, or a function that derives it; a
     derived one is written first. Tables go below ``root``, by default a new folder of the
-    run inside the shared one.
+    run inside the shared one. With ``reuse``, tables that an earlier run finished below the
+    same root are read instead of built again.
     """
 
     def __init__(
-        self, spark: SparkSession, raw: DataFrame | Callable[[], DataFrame], root: str | None = None
+        self,
+        spark: SparkSession,
+        raw: DataFrame | Callable[[], DataFrame],
+        root: str | None = None,
+        reuse: bool = False,
     ):
         self.spark = spark
+        self.reuse = reuse
+        self.lasting = root is not None
         self.root = root or f"{shared_folder(spark)}/civiclens-{uuid.uuid4().hex[:12]}"
         self._derive_raw = raw if callable(raw) else None
         self._tables: dict[str, DataFrame] = {} if callable(raw) else {"raw_requests": raw}
@@ -63,9 +71,27 @@ class Workspace:
         """A new folder for files that a query writes by itself."""
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
 
+    def _mark(self, name: str, finished: bool) -> None:
+        """Note below a lasting root whether the table's write has been completed."""
+        if self.lasting:
+            rows = [(name,)] if finished else []
+            marker = self.spark.createDataFrame(rows, "table_name string")
+            marker.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/finished/{name}")
+
+    def _finished(self, name: str) -> bool:
+        try:
+            return not self.spark.read.parquet(f"{self.root}/finished/{name}").isEmpty()
+        except AnalysisException:
+            return False
+
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self._build(name)
+            if self.reuse and self._finished(name):
+                self._tables[name] = self.spark.read.parquet(f"{self.root}/{name}")
+            else:
+                self._mark(name, finished=False)
+                self._tables[name] = self._build(name)
+                self._mark(name, finished=True)
         return self._tables[name]
 
     @property

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from civiclens.__main__ import main
 from civiclens.operators import facts
 from civiclens.operators.dedup import dedup_requests
-from civiclens.plans.workspace import DIMENSIONS
+from civiclens.plans.workspace import DIMENSIONS, Workspace
 
 
 def request(number, **fields):
@@ -151,3 +152,23 @@ def test_ids_are_dense(ws):
 def test_month_slice_prunes_partitions(ws):
     plan = facts.month_slice(ws.table("fact_requests"), 1995, 3)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_a_later_run_reads_what_an_earlier_one_finished(spark, raw_frame, tmp_path):
+    raw = raw_frame(request("1", sr_type="Pothole"), request("2", sr_type="Tree"))
+    first = Workspace(spark, raw, str(tmp_path))
+    stamp = first.table("dim_service").first().created_at
+    again = Workspace(spark, raw, str(tmp_path), reuse=True)
+    assert again.table("dim_service").first().created_at == stamp
+    assert again.table("dim_time").count() == 1  # was not there yet
+    assert Workspace(spark, raw, str(tmp_path)).table("dim_service").first().created_at > stamp
+
+
+def test_command_line(spark, raw_frame, tmp_path, capsys):
+    raw = str(tmp_path / "raw")
+    raw_frame(request("1", sr_type="Pothole"), request("2", sr_type="Tree")).write.parquet(raw)
+    main(["build", raw, str(tmp_path / "star")])
+    main(["report", raw, str(tmp_path / "star"), "join_service_department"])
+    assert "Pothole" in capsys.readouterr().out
+    main(["summaries", raw, str(tmp_path / "star"), str(tmp_path / "eda")])
+    assert (tmp_path / "eda" / "csv" / "summary_complaints_by_zip").is_dir()
