@@ -53,4 +53,4 @@ def reduction_funnel(raw: DataFrame, requests: DataFrame) -> DataFrame:
     first = raw.agg(F.count("*").alias("n_rows")).select(F.lit(STAGES[0]).alias("stage"), "n_rows")
     rows = first.unionByName(counts.unpivot([], list(later), "stage", "n_rows"))
     step = F.array_position(F.array(*[F.lit(s) for s in STAGES]), col("stage"))
-    return rows.select(step.alias("step"), "stage", "n_rows").orderBy("step")
+    return rows.select(step.cast("int").alias("step"), "stage", "n_rows").orderBy("step")

@@ -83,13 +83,14 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
             "l_discount", "l_tax", "l_returnflag", "l_linestatus",
             "o_orderstatus", "o_orderpriority", "c_custkey", "c_nationkey",
             (col("c_custkey") % 400).cast("int").alias("a"),
-            _iso(col("l_shipdate") + F.make_dt_interval(mins=start.cast("int"))).alias("created"),
-            _iso(col("l_shipdate") + F.make_dt_interval(mins=shift.cast("int"))).alias("changed"),
+            (col("l_shipdate") + F.make_dt_interval(mins=start.cast("int"))).alias("created_ts"),
+            (col("l_shipdate") + F.make_dt_interval(mins=shift.cast("int"))).alias("changed_ts"),
         )
     )
     # Spread the narrow rows by their key before they are widened: joins on a hot customer
     # or a table of few row groups would otherwise leave the wide write to few tasks.
-    base = narrow.hint("rebalance", col("l_orderkey"), col("l_linenumber"))
+    spread = narrow.hint("rebalance", col("l_orderkey"), col("l_linenumber"))
+    base = spread.withColumns({"created": _iso(col("created_ts")), "changed": _iso(col("changed_ts"))})
 
     a, order_text = col("a"), _number(col("l_orderkey"))
     kind = col("l_partkey") % len(REQUEST_TYPES)
