@@ -25,20 +25,18 @@ def local_session(cores: str | int = 8, name: str = "civiclens", **settings: str
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.sparkContext.getCheckpointDir():
+        # One machine is the whole cluster here, so a folder of its own will do.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="civiclens-"))
     return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, reachable from every executor.
+    """The folder all executors reach: ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
-    Only a local master may fall back to a temporary folder: on a cluster such a folder
-    exists on one machine and is lost with it.
+    There is no fallback: a folder of one machine would be lost with it.
     """
-    folder = spark.conf.get(CHECKPOINT_KEY, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    folder = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="civiclens-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    return folder.rstrip("/")

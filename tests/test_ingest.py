@@ -1,4 +1,8 @@
+import os
+import subprocess
+import sys
 import uuid
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,25 +121,41 @@ def test_csv_types_can_be_inferred(spark, tmp_path):
 
 
 class FakeSession:
-    def __init__(self, **settings):
+    def __init__(self, settings, checkpoint_folder=None):
         self.settings = settings
-        self.conf = self
+        self.conf = self.sparkContext = self
+        self.getCheckpointDir = lambda: checkpoint_folder
 
     def get(self, key, default=None):
         return self.settings.get(key, default)
 
-    def set(self, key, value):
-        self.settings[key] = value
-
 
 def test_shared_folder_comes_from_the_cluster():
-    cluster = FakeSession(**{"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://nn/shared/"})
+    cluster = FakeSession({"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://nn/shared/"})
     assert session.shared_folder(cluster) == "hdfs://nn/shared"
-    with pytest.raises(ValueError):
-        session.shared_folder(FakeSession(**{"spark.master": "spark://host:7077"}))
-
-
-def test_local_session_without_folder_gets_one_of_its_own():
-    local = FakeSession(**{"spark.master": "local[4]"})
-    folder = session.shared_folder(local)
-    assert session.shared_folder(local) == folder
+    assert session.shared_folder(FakeSession({}, "hdfs://nn/set/by/hand")) == "hdfs://nn/set/by/hand"
+    for master in ("spark://host:7077", "local[4]"):
+        with pytest.raises(ValueError):
+            session.shared_folder(FakeSession({"spark.master": master}))
+
+
+def test_real_session_without_the_setting_has_a_shared_folder(tmp_path):
+    """In a process of its own: the setting is fixed once a context has started."""
+    (tmp_path / "spark-defaults.conf").write_text("")
+    code = (
+        "from civiclens.session import local_session, shared_folder;"
+        "from civiclens.plans.workspace import Workspace;"
+        "s = local_session(2); assert s.conf.get('spark.checkpoint.dir', None) is None;"
+        "ws = Workspace(s, s.range(3).toDF('id'));"
+        "assert ws.root.startswith(shared_folder(s));"
+        "assert ws.stage(ws.raw, 'x').count() == 3; print('ok')"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code],
+        cwd=Path(__file__).resolve().parent.parent,
+        env=os.environ | {"SPARK_CONF_DIR": str(tmp_path)},
+        capture_output=True,
+        text=True,
+        timeout=180,
+    )
+    assert done.stdout.strip().endswith("ok"), done.stderr[-2000:]
