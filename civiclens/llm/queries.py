@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclens.llm import shards, topk, warc
+from civiclens.llm import bpe, shards, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": warc.op2_warc_archive,
+    "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_hypergeometric_shards": shards.op5_hypergeometric_shards,
     "op8_maxscore_top5": topk.op8_maxscore_top5,
 }
