@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import table, utf8
+from civiclens.llm.common import Batches, map_batches, table, utf8
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -218,7 +218,7 @@ def encode(
     picked = frame.select(*keep, utf8(text).alias("_body"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         codec = _codec(ranks.value, pattern)
         for batch in batches:
             start = 0
@@ -231,7 +231,7 @@ def encode(
                 yield pa.RecordBatch.from_arrays([*columns, counts, pa.array(packed, pa.binary())], names)
                 start += len(group)
 
-    return picked.mapInArrow(run, ", ".join([*fields, "n_tokens long", "token_ids binary"]))
+    return map_batches(picked, run, ", ".join([*fields, "n_tokens long", "token_ids binary"]))
 
 
 def decode(
@@ -246,13 +246,13 @@ def decode(
     picked = frame.select(*keep, F.coalesce(F.col(ids), F.lit(b"")).alias("_ids"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Batches) -> Batches:
         codec = _codec(ranks.value, pattern)
         for batch in batches:
             decoded = pa.array([codec.decode(v.as_py()) for v in batch.column(batch.num_columns - 1)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoded], [*batch.schema.names[:-1], "decoded"])
 
-    return picked.mapInArrow(run, ", ".join([*fields, "decoded binary"]))
+    return map_batches(picked, run, ", ".join([*fields, "decoded binary"]))
 
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

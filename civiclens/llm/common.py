@@ -3,12 +3,34 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import civiclens
 from civiclens.session import shared_folder
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def ready_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from wherever the driver did.
+
+    On a cluster the library comes with ``--py-files`` or the image; the path then finds nothing.
+    """
+    root, environment = str(Path(civiclens.__file__).parents[1]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(":")
+    if root not in known:
+        environment["PYTHONPATH"] = ":".join([root, *filter(None, known)])
+
+
+def map_batches(frame: DataFrame, run: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    ready_workers(frame.sparkSession)
+    return frame.mapInArrow(run, schema)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -21,6 +43,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str):
+        ready_workers(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
