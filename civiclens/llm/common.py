@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -52,6 +53,14 @@ class Scratch:
         frame.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(frame.schema).parquet(path)
 
+    def release(self) -> None:
+        """Let go of finished jobs' shuffle files before the next large exchange.
+
+        Executors delete them once the driver's JVM has collected the job, which it may not do for long.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, name: str = "") -> None:
         """Remove a table that nothing reads any more."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclens.llm import bpe, quality, shards, simhash, topk, warc
+from civiclens.llm import bpe, lines, quality, shards, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": warc.op2_warc_archive,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_trie": simhash.op7_simhash_trie,
     "op8_maxscore_top5": topk.op8_maxscore_top5,
     "op9_pairwise_quality": quality.op9_pairwise_quality,
+    "op10_line_variants": lines.op10_line_variants,
 }
 
 ORACLE: dict[str, str] = {
