@@ -29,11 +29,11 @@ VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
 NO_RANK = np.int32(2**31 - 1)
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 """Text encoded at a time in a task."""
-MATRIX_CELLS = 1 << 21
+MATRIX_CELLS = 1 << 19
 """Cells of one padded matrix; a longer piece is a matrix of one row."""
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 150_000
 """Pieces a task remembers before it starts afresh."""
 
 
@@ -209,29 +209,33 @@ def encode(
     keep: tuple[str, ...] = ("doc_id",),
     vocabulary: str = VOCABULARY,
     pattern: str = PATTERN,
+    round_trip: bool = False,
 ) -> DataFrame:
     """The ``keep`` columns, ``n_tokens`` and ``token_ids`` (packed) of every row.
 
-    A NULL text is empty and has no tokens. Bytes that are not UTF-8 are read as U+FFFD.
+    With ``round_trip`` also ``decoded``, the bytes that the ids decode to, in the same pass. A NULL text
+    is empty and has no tokens. Bytes that are not UTF-8 are read as U+FFFD.
     """
     ranks = _rank_file(frame.sparkSession, vocabulary)
     picked = frame.select(*keep, utf8(text).alias("_body"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
+    added = ["n_tokens long", "token_ids binary", *["decoded binary"] * round_trip]
 
     def run(batches: Batches) -> Batches:
         codec = _codec(ranks.value, pattern)
         for batch in batches:
             start = 0
-            bodies = (value.as_py() for value in batch.column(batch.num_columns - 1))
-            for group in _groups(bodies):
+            for group in _groups(value.as_py() for value in batch.column(batch.num_columns - 1)):
                 packed = codec.encode(group)
                 columns = [c.slice(start, len(group)) for c in batch.columns[:-1]]
-                counts = pa.array([len(p) // 4 for p in packed], pa.int64())
-                names = [*batch.schema.names[:-1], "n_tokens", "token_ids"]
-                yield pa.RecordBatch.from_arrays([*columns, counts, pa.array(packed, pa.binary())], names)
+                columns += [pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())]
+                if round_trip:
+                    columns.append(pa.array(map(codec.decode, packed), pa.binary()))
+                names = [*batch.schema.names[:-1], *(a.split()[0] for a in added)]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 start += len(group)
 
-    return map_batches(picked, run, ", ".join([*fields, "n_tokens long", "token_ids binary"]))
+    return map_batches(picked, run, ", ".join([*fields, *added]))
 
 
 def decode(
@@ -249,7 +253,7 @@ def decode(
     def run(batches: Batches) -> Batches:
         codec = _codec(ranks.value, pattern)
         for batch in batches:
-            decoded = pa.array([codec.decode(v.as_py()) for v in batch.column(batch.num_columns - 1)], pa.binary())
+            decoded = pa.array((codec.decode(v.as_py()) for v in batch.column(batch.num_columns - 1)), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], decoded], [*batch.schema.names[:-1], "decoded"])
 
     return map_batches(picked, run, ", ".join([*fields, "decoded binary"]))
@@ -257,7 +261,7 @@ def decode(
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Encode every document, decode the ids again, report both by digest."""
-    return decode(encode(table(spark, folder, "documents"))).select(
+    return encode(table(spark, folder, "documents"), round_trip=True).select(
         "doc_id",
         "n_tokens",
         F.sha2("token_ids", 256).alias("ids_sha256"),
