@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclens.llm import bpe, lines, quality, shards, simhash, topk, warc
+from civiclens.llm import bpe, lines, passages, quality, shards, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc_archive": warc.op2_warc_archive,
     "op4_byte_bpe": bpe.op4_byte_bpe,
     "op5_hypergeometric_shards": shards.op5_hypergeometric_shards,
+    "op6_suffix_passages": passages.op6_suffix_passages,
     "op7_simhash_trie": simhash.op7_simhash_trie,
     "op8_maxscore_top5": topk.op8_maxscore_top5,
     "op9_pairwise_quality": quality.op9_pairwise_quality,
