@@ -171,12 +171,17 @@ def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """doc_id and line of every line with an earlier one at most one word apart."""
     variants = scratch.stage(_variants(texts), "variants")
     at, key = _at(), ["key1", "key2"]
+    # Most variants belong to one line; only the rest is looked at by place.
+    several = variants.groupBy(*key).agg(
+        *[f(c).alias(f"{name}_{c}") for c in ("doc_id", "line") for name, f in (("low", F.min), ("high", F.max))]
+    )
+    several = several.where("low_doc_id < high_doc_id OR low_line < high_line").select(*key)
+    variants = scratch.stage(variants.join(several, key, "left_semi"), "met-variants")
     by_place = variants.groupBy(*key, "place").agg(F.min(at).alias("first"))
-    by_place = scratch.stage(by_place, "places")
-    whole = F.min(F.when(col("place") == WHOLE, col("first")))
-    by_key = by_place.groupBy(*key).agg(F.min("first").alias("any"), whole.alias("whole"), F.count("*").alias("places"))
+    whole = F.min(F.when(col("place") == WHOLE, at))
+    by_key = variants.groupBy(*key).agg(F.min(at).alias("any"), whole.alias("whole"))
     # A line meets the lines lacking a word at its place, the variant itself as a line, and as a line all of them.
-    met = variants.join(by_key.where((col("places") > 1) | (col("any") != F.coalesce("whole", "any"))), key)
+    met = variants.join(by_key, key)
     alike = variants.join(by_place, [*key, "place"])
     earliest = lambda first: col(first).isNotNull() & (col(first) < at)
     partner = F.when(col("place") == WHOLE, col("any")).otherwise(col("whole"))
@@ -214,15 +219,15 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
     copies = scratch.stage(copies.where(_at() > col("first")).select("doc_id", "line"), "copies")
 
     halves = firsts.select("first.*", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min(_at()).alias("low"), F.max(_at()).alias("high")).where("low < high")
-    wanted = scratch.stage(halves.join(shared.select("half"), "half").select("doc_id", "line").distinct(), "wanted")
+    shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")  # a line has a half once
+    wanted = scratch.stage(halves.join(shared, "half", "left_semi").select("doc_id", "line").distinct(), "wanted")
     for done in ("lines", "firsts"):
         scratch.drop(done)
     scratch.release()
     texts = scratch.stage(_texts(documents, wanted), "texts")
     scratch.release()
     near = scratch.stage(near_copies(texts, scratch), "near")
-    for done in ("variants", "places"):
+    for done in ("variants", "met-variants"):
         scratch.drop(done)
     scratch.release()
     return copies.union(near).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
