@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclens.llm import bpe, lines, pages, passages, quality, shards, simhash, topk, warc
+from civiclens.llm import bpe, decontam, lines, pages, passages, quality, shards, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_latent_decontamination": decontam.op1_latent_decontamination,
     "op2_warc_archive": warc.op2_warc_archive,
     "op3_host_suffix_pages": pages.op3_host_suffix_pages,
     "op4_byte_bpe": bpe.op4_byte_bpe,
