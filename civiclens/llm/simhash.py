@@ -238,3 +238,14 @@ def near_duplicates(frame: DataFrame, id_column: str = "doc_id", text: str = "te
 def op7_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_duplicates(table(spark, folder, "documents"))
+
+
+def representatives(documents: DataFrame) -> DataFrame:
+    """The documents with the smallest id of their class, with their columns.
+
+    Rows that repeat an id and a text are one document and stay once. Rows without an id stay.
+    """
+    classes = near_duplicates(documents).where("doc_id IS NOT NULL")
+    going = classes.groupBy("doc_id").agg(F.min("component_id").alias("least")).where("least < doc_id")
+    left = documents.join(going.select("doc_id"), "doc_id", "left_anti").select(*documents.columns)
+    return left.dropDuplicates(["doc_id", "text"])

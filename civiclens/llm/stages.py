@@ -1 +1,39 @@
-"""The corpus pipeline's stages: each takes the documents its predecessor kept."""
+"""The corpus pipeline's stages: each takes the documents its predecessor kept.
+
+All but the last return the columns of ``documents``. Rows without an id pass every filter that
+goes by id, since nothing can name them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from civiclens.llm import bpe, decontam, simhash
+from civiclens.llm import lines as line_dedup
+from civiclens.llm import quality as ranking
+from civiclens.llm.common import table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score reaches the threshold."""
+    return ranking.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that repeat an earlier one up to one word."""
+    return line_dedup.deduplicated(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of every near-duplicate class."""
+    return simhash.representatives(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no benchmark item leaks into."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens and token_ids (packed) of every document."""
+    return bpe.encode(docs, keep=("doc_id", "lang", "source"))

@@ -9,7 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from civiclens.llm import stages
 from civiclens.session import shared_folder
 
-STAGES = []
+STAGES = [
+    ("quality", stages.quality),
+    ("lines", stages.lines),
+    ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
+    ("tokens", stages.tokens),
+]
 
 ORACLE_SQL = None
 """The learned scores and the hashes of the stages have no SQL form."""
