@@ -166,15 +166,16 @@ def repeated_windows(
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes + 1)
     # 0 ends the whole, 1 ends each text, bytes count from 2.
-    joined = np.frombuffer(b"\x00".join(texts) + b"\x00", dtype=np.uint8).astype(np.int64) + 2
+    body = np.frombuffer(b"\x00".join(texts) + b"\x00", dtype=np.uint8)
+    joined = np.append(body.astype(np.int64) + 2, 0)
     joined[ends - 1] = 1
-    joined = np.append(joined, 0)
     suffixes = suffix_array(joined)
-    prefixes = permuted_prefixes(joined, suffixes, length)
     owner = np.repeat(np.arange(len(texts)), sizes + 1)
+    room = (ends - 1)[owner] - np.arange(len(body))
+    prefixes = permuted_prefixes(body, suffixes, room, length)
     # Only suffixes that have a whole window left in their text can repeat one.
     place = suffixes[suffixes < len(owner)]
-    inside = (ends - 1)[owner[place]] - place >= length
+    inside = room[place] >= length
     same = (prefixes[place] >= length) & inside
     same[1:] &= inside[:-1]
     same[:1] = False

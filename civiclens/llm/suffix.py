@@ -83,7 +83,14 @@ def _scan_buckets(text, smaller, leftmost, heads, ends):
 def _scan_entries(text, smaller, leftmost, heads, ends):
     """Both scans entry by entry, for large alphabets."""
     n = len(text)
-    symbols, is_s = text.tolist(), smaller.tolist()
+    # For each suffix the symbol before it, -1 where that suffix is not of the type induced; the last
+    # entry answers for places still empty (-1).
+    before = np.append(text[-1:], text[:-1])
+    is_s = np.append(True, smaller[:-1])
+    larger_before = np.append(np.where(is_s, -1, before), -1).tolist()
+    smaller_before = np.append(np.where(is_s, before, -1), -1).tolist()
+    larger_before[0] = smaller_before[0] = -1
+    symbols = text.tolist()
     suffixes = [-1] * n
     at = ends.tolist()
     for i in reversed(leftmost.tolist()):
@@ -91,19 +98,19 @@ def _scan_entries(text, smaller, leftmost, heads, ends):
         suffixes[at[c]] = i
         at[c] -= 1
     at = heads.tolist()
-    for k in range(n):
-        j = suffixes[k] - 1
-        if j >= 0 and not is_s[j]:
-            c = symbols[j]
-            suffixes[at[c]] = j
-            at[c] += 1
+    for i in suffixes:  # the list grows ahead of the scan
+        c = larger_before[i]
+        if c >= 0:
+            k = at[c]
+            suffixes[k] = i - 1
+            at[c] = k + 1
     at = ends.tolist()
-    for k in range(n - 1, -1, -1):
-        j = suffixes[k] - 1
-        if j >= 0 and is_s[j]:
-            c = symbols[j]
-            suffixes[at[c]] = j
-            at[c] -= 1
+    for i in reversed(suffixes):
+        c = smaller_before[i]
+        if c >= 0:
+            k = at[c]
+            suffixes[k] = i - 1
+            at[c] = k - 1
     suffixes[0] = n - 1
     return np.array(suffixes, dtype=np.int64)
 
@@ -154,22 +161,34 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return scan(text, smaller, in_order, heads, ends)
 
 
-def permuted_prefixes(text: np.ndarray, suffixes: np.ndarray, most: int) -> np.ndarray:
+def permuted_prefixes(body: np.ndarray, suffixes: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:
     """For each position the length, up to ``most``, that its suffix shares with the one sorted before it.
 
-    In text order, as the permuted array is: the value at a position is at least the one before it
-    less one, so whole words of eight symbols are compared from there on.
+    ``body`` holds the text's bytes; ``room`` says how many of them, at most, count from each
+    position. The array is in text order, as the positions are; eight bytes are compared at a time.
     """
-    n = len(text)
+    n = len(body)
     before = np.full(n, -1, dtype=np.int64)
-    before[suffixes[1:]] = suffixes[:-1]
-    padded = np.concatenate([text.astype(np.int32), np.zeros(most + 8, dtype=np.int32)])
+    places, previous = suffixes[1:], suffixes[:-1]
+    inside = (places < n) & (previous < n)
+    before[places[inside]] = previous[inside]
+    padded = np.append(body, np.zeros(most + 16, dtype=np.uint8)).astype(np.uint64)
+    words = padded[: n + most + 8].copy()
+    for k in range(1, 8):
+        words |= padded[k : n + most + 8 + k] << np.uint64(8 * k)
     shared = np.zeros(n, dtype=np.int64)
     pending = np.flatnonzero(before >= 0)
-    while len(pending):
-        at = shared[pending]
-        same = padded[pending + at] == padded[before[pending] + at]
-        pending = pending[same]
-        shared[pending] += 1
-        pending = pending[shared[pending] < most]
+    limit = np.minimum(np.minimum(room[pending], room[before[pending]]), most)
+    shared[pending] = limit
+    for k in range(0, most, 8):
+        differ = words[pending + k] ^ words[before[pending] + k]
+        ended = np.flatnonzero(differ)
+        if len(ended):
+            lowest = differ[ended] & (~differ[ended] + np.uint64(1))
+            same = k + (np.bitwise_count(lowest - np.uint64(1)) >> 3)
+            shared[pending[ended]] = np.minimum(limit[ended], same)
+        going = (differ == 0) & (limit > k + 8)
+        pending, limit = pending[going], limit[going]
+        if not len(pending):
+            break
     return shared
