@@ -21,8 +21,11 @@ def ready_workers(spark: SparkSession) -> None:
     """Let Python workers on this machine import the library from wherever the driver did.
 
     On a cluster the library comes with ``--py-files`` or the image; the path then finds nothing.
+    A task has one core, so the linear algebra in it gets one thread.
     """
     root, environment = str(Path(civiclens.__file__).parents[1]), spark.sparkContext.environment
+    for library in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
+        environment.setdefault(library, "1")
     known = environment.get("PYTHONPATH", "").split(":")
     if root not in known:
         environment["PYTHONPATH"] = ":".join([root, *filter(None, known)])
