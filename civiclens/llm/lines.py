@@ -72,7 +72,8 @@ def line_keys(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words of the wanted lines, joined by single spaces."""
     numbers = wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
-    joined = documents.join(numbers, "doc_id").select("doc_id", "body", "lines")
+    # The same plan at every size: texts are dealt by id, also while the numbers would fit a broadcast.
+    joined = documents.join(numbers.hint("merge"), "doc_id").select("doc_id", "body", "lines")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
