@@ -1,7 +1,8 @@
 """Command line, for ``spark-submit`` or ``python -m civiclens``.
 
     build RAW ROOT               write all stage tables below ROOT from the raw Parquet table RAW
-    report RAW ROOT NAME         show a query over them, building only what is missing
+    report RAW ROOT NAME         print all rows of a query over them, or write them (--output FOLDER);
+                                 builds only what is missing or no longer up to date
     summaries RAW ROOT FOLDER    write the exploratory summaries
 """
 
@@ -25,6 +26,7 @@ def main(arguments: list[str] | None = None) -> None:
         command.add_argument("root")
         if name == "report":
             command.add_argument("name", choices=sorted(QUERIES))
+            command.add_argument("--output", help="folder for the rows as Parquet, instead of printing all of them")
         if name == "summaries":
             command.add_argument("folder")
     chosen = parser.parse_args(arguments)
@@ -35,7 +37,13 @@ def main(arguments: list[str] | None = None) -> None:
         for name in TABLES[1:]:
             ws.table(name)
     elif chosen.command == "report":
-        QUERIES[chosen.name](ws).show(100, truncate=False)
+        rows = QUERIES[chosen.name](ws)
+        if chosen.output:
+            rows.write.mode("overwrite").parquet(chosen.output)
+        else:
+            print("\t".join(rows.columns))
+            for row in rows.toLocalIterator():
+                print("\t".join("" if value is None else str(value) for value in row))
     else:
         write_summaries(ws, chosen.folder)
 

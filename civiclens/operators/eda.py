@@ -107,7 +107,7 @@ def closure_sample(raw: DataFrame, size: int = CLOSURE_SAMPLE) -> DataFrame:
     """Closure hours of sampled requests. Requests are sampled before the hours are taken:
     a hash of the hours alone would keep or lose all requests of equal duration together."""
     closed = raw.where(col("closed_date").isNotNull()).select("sr_number", "created_date", "closed_date")
-    return closure_times(hash_sample(closed, size))
+    return closure_times(hash_sample(closed, size, ["sr_number", "created_date"]))
 
 
 def closing_days(raw: DataFrame) -> DataFrame:

@@ -84,9 +84,11 @@ def feature_table(
 
 
 def time_split(features: DataFrame, train_until: str) -> DataFrame:
-    """Adds ``split``: 'train' up to and including the given day, 'test' after it."""
-    in_train = col("created_day") <= F.lit(train_until).cast("date")
-    return features.withColumn("split", F.when(in_train, "train").otherwise("test"))
+    """Adds ``split``: 'train' up to and including the given day, 'test' after it; undated rows are in neither."""
+    last = F.lit(train_until).cast("date")
+    return features.withColumn(
+        "split", F.when(col("created_day") <= last, "train").when(col("created_day") > last, "test")
+    )
 
 
 def _vectorizer() -> Pipeline:
@@ -106,12 +108,16 @@ def _compare(split: DataFrame, label: str, models: dict, evaluators: dict) -> Da
     complete = split.fillna(-1, subset=list(NUMBERS))
     train, test = (complete.where(col("split") == part) for part in ("train", "test"))
     vectorizer = _vectorizer().fit(train)
-    train, test = (vectorizer.transform(part).select(label, "features") for part in (train, test))
+    # The vectors are made once for all models, the predictions once for all metrics.
+    train, test = (vectorizer.transform(part).select(label, "features").persist() for part in (train, test))
     scores = []
     for model_name, model in models.items():
-        predicted = model.fit(train).transform(test)
+        predicted = model.fit(train).transform(test).drop("features").persist()
         for metric, evaluator in evaluators.items():
             scores.append((model_name, metric, float(evaluator.evaluate(predicted))))
+        predicted.unpersist()
+    train.unpersist()
+    test.unpersist()
     return split.sparkSession.createDataFrame(scores, "model string, metric string, value double")
 
 

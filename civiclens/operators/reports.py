@@ -26,7 +26,11 @@ def counts_per_month(frame: DataFrame, date: Column) -> DataFrame:
 
 
 def requests_by_month(fact: DataFrame) -> DataFrame:
-    return counts_per_month(fact, F.col("date_id"))
+    """Requests per ``yyyy-MM``, from the fact's partition columns: no column is read from its files."""
+    dated = counts_by(fact, "year", "month").where("year IS NOT NULL")
+    month = F.format_string("%04d-%02d", F.col("year").cast("int"), F.col("month").cast("int"))
+    undated = counts_by(fact.where("year IS NULL").select(F.lit(None).cast("string").alias("month")), "month")
+    return dated.select(month.alias("month"), "cnt").union(undated).orderBy(F.col("month").asc_nulls_last())
 
 
 def service_department_pairs(

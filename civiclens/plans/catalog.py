@@ -17,7 +17,11 @@ from civiclens.operators.dimensions import (
     GEOGRAPHY_KEYS,
     INFRASTRUCTURE_KEYS,
     SERVICE_KEYS,
+    clean_department_keys,
+    clean_geography_keys,
+    clean_infrastructure_keys,
     clean_location,
+    clean_service_keys,
     infrastructure_profile,
 )
 from civiclens.operators.funnel import reduction_funnel
@@ -25,14 +29,10 @@ from civiclens.operators.sampling import first_rows, hash_sample
 from civiclens.plans.workspace import DIMENSIONS, Workspace, workspace
 from civiclens.schema import RAW_SCHEMA
 from civiclens.sources import files, ingest
-from civiclens.sources.tables import REQUEST_TYPES
 from civiclens.streaming.landing import ingest_stream
 
 col = F.col
 
-TRAIN_UNTIL = "1999-12-31"
-"""Last day of the training part in the registered model queries."""
-
 FACT_DIMENSIONS = {
     "service_id": "dim_service",
     "department_id": "dim_department",
@@ -220,13 +220,16 @@ def _fact_columns(fact: DataFrame) -> DataFrame:
 
 
 def _landing(ws: Workspace) -> str:
-    """Raw requests as landed JSON, one folder per month."""
-    folder = ws.folder("landing")
-    files.write_landing(ws.raw.withColumn(ingest.MONTH_COLUMN, ingest.created_month()), folder)
-    return folder
+    """Raw requests as landed JSON, one folder per month; landed once for all queries of the workspace."""
+
+    def land(folder: str) -> None:
+        files.write_landing(ws.raw.withColumn(ingest.MONTH_COLUMN, ingest.created_month()), folder)
+
+    return ws.once("landing", land)
 
 
-INGESTED = ("sr_number", "sr_type", "origin", "ward", "street_direction", "duplicate", "closed_date", "created_month")
+def _loaded(ws: Workspace, table: DataFrame) -> DataFrame:
+    return table.select(*ws.raw.columns, ingest.MONTH_COLUMN)
 
 
 def ingest_append(ws: Workspace) -> DataFrame:
@@ -235,7 +238,7 @@ def ingest_append(ws: Workspace) -> DataFrame:
     table = f"raw.requests_{target[-8:]}"
     for _ in range(2):
         ingest.ingest_landing(ws.spark, landing, table, target, log)
-    return ws.spark.table(table).select(*INGESTED, ingest.MONTH_COLUMN)
+    return _loaded(ws, ws.spark.table(table))
 
 
 def resumable_ingest(ws: Workspace) -> DataFrame:
@@ -244,13 +247,13 @@ def resumable_ingest(ws: Workspace) -> DataFrame:
     for _ in range(2):
         ingest_stream(ws.spark, landing, target, checkpoint)
     loaded = ws.spark.read.schema(ingest.with_month(RAW_SCHEMA)).parquet(target)
-    return loaded.select(*INGESTED, ingest.MONTH_COLUMN)
+    return _loaded(ws, loaded)
 
 
 def _legacy_and_current(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two batches with different columns: the late columns appear only in the second."""
-    legacy = raw.where("legacy_record").select("sr_number", "sr_type", "legacy_sr_number", "created_date")
-    current = raw.where("NOT legacy_record").select(
+    legacy = raw.where("coalesce(legacy_record, false)").select("sr_number", "sr_type", "legacy_sr_number", "created_date")
+    current = raw.where("NOT coalesce(legacy_record, false)").select(
         "sr_number", "created_date", "sr_type", "created_department", "parent_sr_number"
     )
     return legacy, current
@@ -270,12 +273,10 @@ def aligned_append(ws: Workspace) -> DataFrame:
     return ws.spark.table(table)
 
 
-CSV_COLUMNS = ("sr_number", "sr_type", "street_direction", "origin", "ward", "latitude", "closed_date")
-
-
 def csv_roundtrip(ws: Workspace) -> DataFrame:
+    """All flat columns written and read again."""
     folder = ws.folder("export")
-    export = ws.raw.select(*CSV_COLUMNS)
+    export = ws.raw.select(*[f.name for f in ws.raw.schema if f.name != "location"])
     files.write_csv(export, folder)
     return files.read_csv(ws.spark, folder, export.schema)
 
@@ -302,16 +303,29 @@ def feature_table(ws: Workspace) -> DataFrame:
 
 
 def time_split(ws: Workspace) -> DataFrame:
-    split = features.time_split(_features(ws), TRAIN_UNTIL)
+    split = features.time_split(_features(ws), ws.train_until)
     return split.select("sr_number", "created_day", "is_closed", "split")
 
 
 def _staged_split(ws: Workspace, label: str) -> DataFrame:
     """Training passes over its input many times, so it reads a written table."""
-    return ws.stage(features.time_split(_features(ws), TRAIN_UNTIL), f"features/{label}")
+    return ws.stage(features.time_split(_features(ws), ws.train_until), f"features/{label}")
+
+
+def model_input(ws: Workspace) -> DataFrame:
+    """What the models learn from and are measured on: rows, positives and means per part."""
+    split = features.time_split(_features(ws), ws.train_until)
+    return split.groupBy("split").agg(
+        F.count("*").alias("n_rows"),
+        F.sum(col("is_closed").cast("long")).alias("n_closed"),
+        F.round(F.avg("hours_to_close"), 4).alias("avg_hours_to_close"),
+    )
+
 
+def _unique(ws: Workspace, table: str, keys: dict[str, Column], id_column: str) -> DataFrame:
+    """Members with distinct cleaned keys, so that a star join keeps one row per request."""
+    return facts.unique_members(ws.table(table), list(keys), id_column)
 
-SERVICE_TYPES = tuple(t for t, _ in REQUEST_TYPES if t is not None)
 
 QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # benchmark reports
@@ -366,17 +380,21 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "rename_columns": lambda ws: eda.friendly(ws.raw),
     "distinct_months": distinct_months,
     # joins
-    "star_join_service": lambda ws: facts.attach_service(ws.requests, ws.table("dim_service")).select(
+    "star_join_service": lambda ws: facts.attach_service(
+        ws.requests, _unique(ws, "dim_service", clean_service_keys(), "service_id")
+    ).select(
         "sr_number", "service_id"
     ),
     "star_join_department": lambda ws: facts.attach_department(
-        ws.requests, ws.table("dim_department")
+        ws.requests, _unique(ws, "dim_department", clean_department_keys(), "department_id")
     ).select("sr_number", "department_id"),
-    "star_join_geography": lambda ws: facts.attach_geography(ws.requests, ws.table("dim_geography")).select(
+    "star_join_geography": lambda ws: facts.attach_geography(
+        ws.requests, _unique(ws, "dim_geography", clean_geography_keys(), "geography_id")
+    ).select(
         "sr_number", "geography_id"
     ),
     "star_join_infrastructure": lambda ws: facts.attach_infrastructure(
-        ws.requests, ws.table("dim_infrastructure")
+        ws.requests, _unique(ws, "dim_infrastructure", clean_infrastructure_keys(), "infrastructure_id")
     ).select("sr_number", "infrastructure_id"),
     "star_join_time": lambda ws: facts.attach_time(ws.requests, ws.table("dim_time")).select(
         "sr_number", "created_date_id"
@@ -419,8 +437,8 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "days_histogram": lambda ws: eda.days_histogram(ws.raw),
     "channel_usage": lambda ws: eda.channel_usage(ws.raw),
     "weekday_counts": lambda ws: eda.weekday_counts(ws.raw),
-    "monthly_type_pivot": lambda ws: eda.monthly_type_pivot(ws.raw, SERVICE_TYPES),
-    "season_type_pivot": lambda ws: eda.season_type_pivot(ws.raw, SERVICE_TYPES),
+    "monthly_type_pivot": lambda ws: eda.monthly_type_pivot(ws.raw),
+    "season_type_pivot": lambda ws: eda.season_type_pivot(ws.raw),
     "season_of_month": lambda ws: eda.season_of_month(ws.raw),
     "efficiency_by_type": lambda ws: eda.efficiency_by_type(ws.raw),
     "days_to_close": lambda ws: eda.closing_days(ws.raw),
@@ -432,8 +450,8 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "dedup_requests": lambda ws: ws.requests,
     "fact_id_dense": lambda ws: ws.table("fact_requests").select("fact_id", "date_id", "sr_number"),
     "closure_sample": lambda ws: eda.closure_sample(ws.raw),
-    "geo_point_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_POINTS),
-    "geo_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_MARKERS),
+    "geo_point_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_POINTS, ["sr_number", "created_date"]),
+    "geo_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_MARKERS, ["sr_number", "created_date"]),
     # composite builders and validators
     "dim_service": lambda ws: _without_load_times(ws.table("dim_service")),
     "dim_department": lambda ws: _without_load_times(ws.table("dim_department")),
@@ -456,6 +474,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     # documented extensions
     "feature_table": feature_table,
     "time_split": time_split,
+    "model_input": model_input,
     "model_benchmark": lambda ws: features.model_benchmark(_staged_split(ws, "classification")),
     "closure_regression": lambda ws: features.closure_regression(_staged_split(ws, "regression")),
     "reduction_funnel": lambda ws: reduction_funnel(ws.raw, ws.requests),

@@ -526,8 +526,12 @@ def _place_rule(rule: str, columns: tuple[str, ...]) -> str:
     )
 
 
-_INGESTED = """SELECT sr_number, sr_type, origin, ward, street_direction, duplicate, closed_date, created_month,
-    left(created_date, 7) AS ingest_month FROM raw_requests"""
+_INGESTED = f"SELECT {', '.join(_RAW_TYPES)}, left(created_date, 7) AS ingest_month FROM raw_requests"
+_FLAT = ", ".join(f"nullif({c}, '') AS {c}" if t == "string" else c for c, t in _RAW_TYPES.items())
+_BY_CONTENT = ", ".join(f"{c} NULLS LAST" for c in _RAW_TYPES)
+_SAMPLE_HASH = "md5(concat_ws('|', sr_number, created_date, '42'))"
+_GEO_SAMPLE = f"""SELECT sr_number, sr_type, created_date, latitude, longitude FROM raw_requests
+    WHERE latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY {_SAMPLE_HASH}, 1, 2, 3, 4, 5 LIMIT """
 
 ORACLE: dict[str, str] = {
     "count_requests_per_service": _fact("SELECT service_id, count(*) AS cnt FROM fact_requests GROUP BY 1"),
@@ -556,16 +560,18 @@ ORACLE: dict[str, str] = {
     "resumable_ingest": _raw(_INGESTED),
     "schema_evolution": _raw("""SELECT sr_number, sr_type, created_date,
         CASE WHEN legacy_record THEN legacy_sr_number END AS legacy_sr_number,
-        CASE WHEN NOT legacy_record THEN created_department END AS created_department,
-        CASE WHEN NOT legacy_record THEN parent_sr_number END AS parent_sr_number FROM raw_requests"""),
+        CASE WHEN NOT coalesce(legacy_record, false) THEN created_department END AS created_department,
+        CASE WHEN NOT coalesce(legacy_record, false) THEN parent_sr_number END AS parent_sr_number FROM raw_requests"""),
     "aligned_append": _raw("""SELECT sr_number, sr_type, created_date, left(created_date, 7) AS ingest_month,
         CASE WHEN legacy_record THEN legacy_sr_number END AS legacy_sr_number,
-        CASE WHEN NOT legacy_record THEN created_department END AS created_department,
-        CASE WHEN NOT legacy_record THEN parent_sr_number END AS parent_sr_number FROM raw_requests"""),
-    "csv_roundtrip": _raw(
-        """SELECT sr_number, sr_type, street_direction, nullif(origin, '') AS origin, nullif(ward, '') AS ward, latitude,
-        closed_date FROM raw_requests"""
-    ),
+        CASE WHEN NOT coalesce(legacy_record, false) THEN created_department END AS created_department,
+        CASE WHEN NOT coalesce(legacy_record, false) THEN parent_sr_number END AS parent_sr_number FROM raw_requests"""),
+    "csv_roundtrip": _raw(f"SELECT {_FLAT} FROM raw_requests"),
+    "debug_sample": _raw(f"SELECT {', '.join(_RAW_TYPES)} FROM raw_requests ORDER BY {_BY_CONTENT} LIMIT 10"),
+    "closure_sample": _raw(f"""SELECT {_HOURS_TO_CLOSE} AS closure_time FROM (SELECT sr_number, created_date, closed_date
+        FROM raw_requests WHERE closed_date IS NOT NULL ORDER BY {_SAMPLE_HASH}, 1, 2, 3 LIMIT 500000)"""),
+    "geo_point_sample": _raw(f"{_GEO_SAMPLE} 500000"),
+    "geo_sample": _raw(f"{_GEO_SAMPLE} 500"),
     "pending_months": _raw("""SELECT left(created_date, 7) AS ingest_month, count(*) AS cnt FROM raw_requests
         GROUP BY 1 HAVING left(created_date, 7) >= '1996-01'"""),
     "location_key": _requests("""SELECT sr_number, md5(coalesce(trim(street_number), '') || coalesce(trim(street_name), '')
@@ -632,19 +638,19 @@ ORACLE: dict[str, str] = {
     "distinct_months": _requests(f"""SELECT DISTINCT CAST(year({_DATED}) AS INTEGER) AS "year",
         CAST(month({_DATED}) AS INTEGER) AS "month" FROM requests"""),
     "star_join_service": _with(
-        f"SELECT r.sr_number, s.service_id FROM requests r LEFT JOIN dim_service s ON {_ON_SERVICE}", "dim_service"
+        f"SELECT r.sr_number, min(s.service_id) AS service_id FROM requests r LEFT JOIN dim_service s ON {_ON_SERVICE} GROUP BY 1", "dim_service"
     ),
     "star_join_department": _with(
-        f"SELECT r.sr_number, d.department_id FROM requests r LEFT JOIN dim_department d ON {_ON_DEPARTMENT}",
+        f"SELECT r.sr_number, min(d.department_id) AS department_id FROM requests r LEFT JOIN dim_department d ON {_ON_DEPARTMENT} GROUP BY 1",
         "dim_department",
     ),
     "star_join_geography": _with(
-        f"SELECT r.sr_number, g.geography_id FROM requests r LEFT JOIN dim_geography g ON {_NULLSAFE_GEOGRAPHY}",
+        f"SELECT r.sr_number, min(g.geography_id) AS geography_id FROM requests r LEFT JOIN dim_geography g ON {_NULLSAFE_GEOGRAPHY} GROUP BY 1",
         "dim_geography",
     ),
     "star_join_infrastructure": _with(
-        f"""SELECT r.sr_number, i.infrastructure_id FROM requests r
-            LEFT JOIN dim_infrastructure i ON {_NULLSAFE_INFRASTRUCTURE}""",
+        f"""SELECT r.sr_number, min(i.infrastructure_id) AS infrastructure_id FROM requests r
+            LEFT JOIN dim_infrastructure i ON {_NULLSAFE_INFRASTRUCTURE} GROUP BY 1""",
         "dim_infrastructure",
     ),
     "star_join_time": _with(
@@ -731,8 +737,8 @@ ORACLE: dict[str, str] = {
     "fact_star": _with("SELECT * FROM fact_star", "fact_star"),
     "fact_requests": _fact("SELECT * FROM fact_requests"),
     "column_validation": _raw(
-        _per_raw_column("SELECT '{column}' AS column_name, 'present' AS column_status, count({column}) AS non_null")
-        + " UNION ALL SELECT 'location', 'missing', 0"
+        _per_raw_column("SELECT DISTINCT '{column}' AS column_name, 'present' AS column_status")
+        + " UNION ALL SELECT 'location', 'missing'"
     ),
     "validation_report": _with(
         f"""SELECT 'row_count' AS check_name, table_name AS subject, CAST(n_rows AS DOUBLE) AS value FROM ({_COUNTS})
@@ -752,7 +758,14 @@ ORACLE: dict[str, str] = {
     "feature_table": _with("SELECT * REPLACE (round(hours_to_close, 6) AS hours_to_close) FROM features", "features"),
     "time_split": _with(
         """SELECT sr_number, created_day, is_closed,
-           CASE WHEN created_day <= DATE '1999-12-31' THEN 'train' ELSE 'test' END AS split FROM features""",
+           CASE WHEN created_day <= DATE '1999-12-31' THEN 'train' WHEN created_day > DATE '1999-12-31' THEN 'test' END
+             AS split FROM features""",
+        "features",
+    ),
+    "model_input": _with(
+        """SELECT CASE WHEN created_day <= DATE '1999-12-31' THEN 'train' WHEN created_day > DATE '1999-12-31' THEN 'test' END
+             AS split, count(*) AS n_rows, sum(CAST(is_closed AS BIGINT))::BIGINT AS n_closed,
+             round(avg(hours_to_close), 4) AS avg_hours_to_close FROM features GROUP BY 1""",
         "features",
     ),
     "reduction_funnel": _requests("""

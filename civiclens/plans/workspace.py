@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civiclens.operators.dedup import dedup_requests
 from civiclens.operators.dimensions import (
@@ -44,7 +45,8 @@ class Workspace:
     ``raw`` is the raw request table, used where it lies, or a function that derives it; a
     derived one is written first. Tables go below ``root``, by default a new folder of the
     run inside the shared one. With ``reuse``, tables that an earlier run finished below the
-    same root are read instead of built again.
+    same root are read instead of built again, if the raw table has the same files as then.
+    The models train on days up to ``train_until`` and are tested on the later ones.
     """
 
     def __init__(
@@ -53,6 +55,7 @@ class Workspace:
         raw: DataFrame | Callable[[], DataFrame],
         root: str | None = None,
         reuse: bool = False,
+        train_until: str = "1999-12-31",
     ):
         self.spark = spark
         self.reuse = reuse
@@ -60,6 +63,10 @@ class Workspace:
         self.root = root or f"{shared_folder(spark)}/civiclens-{uuid.uuid4().hex[:12]}"
         self._derive_raw = raw if callable(raw) else None
         self._tables: dict[str, DataFrame] = {} if callable(raw) else {"raw_requests": raw}
+        self.train_until = train_until
+        self._source: str | None = None
+        self._folders: dict[str, str] = {}
+        self._scratch_labels: list[str] = []
 
     def stage(self, frame: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
         """Write a frame below the root and return it as read from there."""
@@ -71,16 +78,43 @@ class Workspace:
         """A new folder for files that a query writes by itself."""
         return f"{self.root}/{label}-{uuid.uuid4().hex[:8]}"
 
+    def once(self, label: str, write: Callable[[str], None]) -> str:
+        """The folder that ``write`` filled, on the first call for this label."""
+        if label not in self._folders:
+            folder = self.folder(label)
+            write(folder)
+            self._folders[label] = folder
+        return self._folders[label]
+
+    def _drop(self, label: str) -> None:
+        """Delete a folder below the root that nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{label}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def source(self) -> str:
+        """What the raw table's files are: names, lengths and times; of a table without files, something new."""
+        if self._source is None:
+            files = self._tables["raw_requests"].inputFiles() if "raw_requests" in self._tables else []
+            if files:
+                listed = self.spark.read.format("binaryFile").load(files).drop("content")
+                key = F.xxhash64("path", "length", "modificationTime")
+                total = listed.agg(F.count("*"), F.bit_xor(key), F.sum(F.shiftright(key, 16))).first()
+                self._source = "/".join(map(str, total))
+            else:
+                self._source = uuid.uuid4().hex
+        return self._source
+
     def _mark(self, name: str, finished: bool) -> None:
-        """Note below a lasting root whether the table's write has been completed."""
+        """Note below a lasting root from which raw files the finished table was built."""
         if self.lasting:
-            rows = [(name,)] if finished else []
-            marker = self.spark.createDataFrame(rows, "table_name string")
+            rows = [(name, self.source())] if finished else []
+            marker = self.spark.createDataFrame(rows, "table_name string, source string")
             marker.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/finished/{name}")
 
     def _finished(self, name: str) -> bool:
         try:
-            return not self.spark.read.parquet(f"{self.root}/finished/{name}").isEmpty()
+            marker = self.spark.read.schema("table_name string, source string")
+            return self.source() in [r["source"] for r in marker.parquet(f"{self.root}/finished/{name}").collect()]
         except AnalysisException:
             return False
 
@@ -91,6 +125,9 @@ class Workspace:
             else:
                 self._mark(name, finished=False)
                 self._tables[name] = self._build(name)
+                for label in self._scratch_labels:
+                    self._drop(label)
+                self._scratch_labels.clear()
                 self._mark(name, finished=True)
         return self._tables[name]
 
@@ -104,7 +141,13 @@ class Workspace:
         return self.table("requests")
 
     def _scratch(self, name: str) -> Callable[[DataFrame, str], DataFrame]:
-        return lambda frame, label: self.stage(frame, f"numbering/{name}-{label}")
+        """Stages a table that is deleted once the table it is for has been written."""
+
+        def stage(frame: DataFrame, label: str) -> DataFrame:
+            self._scratch_labels.append(f"numbering/{name}-{label}")
+            return self.stage(frame, self._scratch_labels[-1])
+
+        return stage
 
     def _build(self, name: str) -> DataFrame:
         if name == "raw_requests":

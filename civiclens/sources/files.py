@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from civiclens.schema import RAW_SCHEMA
+CORRUPT = "_corrupt_record"
+"""Column of lines that are no record of the schema."""
 
 
 def write_landing(requests: DataFrame, folder: str, partition: str = "ingest_month") -> None:
@@ -20,24 +21,54 @@ def write_landing(requests: DataFrame, folder: str, partition: str = "ingest_mon
     spread.write.mode("overwrite").partitionBy(partition).json(folder)
 
 
-def read_landing(
-    spark: SparkSession, folder: str, partitions: Sequence[str], schema: StructType | None = RAW_SCHEMA
-) -> DataFrame:
-    """Landed JSON records of the given partition folders; no other folder is listed.
+LINE = StructType().add("value", "string")
 
-    With a schema, absent fields are NULL and unknown ones ignored; with ``None`` the union
-    of the fields is found by one more pass over these folders, all as text.
+
+def read_landing(spark: SparkSession, folder: str, partitions: Sequence[str], partition: str) -> DataFrame:
+    """Landed lines (``value``) of the given partition folders with their partition; no other folder is listed."""
+    reader = spark.read.schema(StructType([*LINE]).add(partition, "string")).option("basePath", folder)
+    return reader.text([f"{folder}/{p}" for p in partitions])
+
+
+def grown_schema(lines: DataFrame, schema: StructType, reserved: Sequence[str]) -> StructType:
+    """The schema and, as text, the fields of the lines that it does not name.
+
+    One pass finds the field names, of which there are as many as columns in a table. Of names that
+    differ in case only the first is kept.
+    """
+    fields = lines.select(F.explode(F.map_keys(F.from_json("value", "map<string,string>")))).distinct()
+    known = {name.lower() for name in (*schema.names, *reserved, CORRUPT)}
+    grown = StructType([*schema])
+    for (name,) in sorted(fields.collect()):
+        if name.lower() not in known:
+            grown.add(name, "string")
+            known.add(name.lower())
+    return grown
+
+
+def parse_landing(lines: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """Records and rejected lines. Absent fields are NULL; blank lines are neither.
+
+    A line is rejected if it is no JSON object or a field does not have its type. Columns other than
+    ``value`` are kept on both sides.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("basePath", folder)
-    reader = reader.schema(schema) if schema else reader.option("primitivesAsString", True)
-    return reader.json([f"{folder}/{partition}" for partition in partitions])
+    others = [c for c in lines.columns if c != "value"]
+    parsed = F.from_json("value", StructType([*schema]).add(CORRUPT, "string"), {"columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.where(F.trim("value") != "").withColumn("_row", parsed)
+    good = rows.where(f"_row.{CORRUPT} IS NULL").select("_row.*", *others).drop(CORRUPT)
+    bad = rows.where(f"_row.{CORRUPT} IS NOT NULL").select(F.col("value").alias("line"), *others)
+    return good, bad
 
 
 def write_csv(frame: DataFrame, folder: str) -> None:
-    """CSV with header, no row index. Blanks at either end of a value are kept."""
+    """CSV with header, no row index, as spreadsheets and data frames read it: quotes are doubled and
+    text may hold line breaks. Blanks at either end of a value are kept. Empty text is
+    quoted, NULL is not."""
     (
         frame.write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
+        .option("emptyValue", '""')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(folder)
@@ -45,8 +76,8 @@ def write_csv(frame: DataFrame, folder: str) -> None:
 
 
 def read_csv(spark: SparkSession, folder: str, schema: StructType | None = None) -> DataFrame:
-    """CSV with header; without a schema the types are inferred by one more pass. An empty
-    field is NULL, so empty text does not survive a round trip."""
-    reader = spark.read.option("header", True)
+    """CSV with header; without a schema the types are inferred by one more pass. An empty field is
+    NULL, quoted or not, so empty text does not survive a round trip."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     return reader.csv(folder)

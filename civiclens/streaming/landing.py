@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from civiclens.schema import RAW_SCHEMA
+from civiclens.sources.files import LINE, grown_schema, parse_landing
 from civiclens.sources.ingest import MONTH_COLUMN, with_month
 
+BATCH = "batch_id"
+
 
 def ingest_stream(
     spark: SparkSession,
@@ -18,15 +21,23 @@ def ingest_stream(
 ) -> None:
     """Append all landed files not seen before, then stop.
 
-    The checkpoint remembers the files of finished runs and the sink's log the files it
-    wrote, so a run that is repeated or was interrupted adds each record once.
+    Every micro-batch is written to a folder of its own below ``target``, which a repeated batch
+    replaces, so a run that is repeated or was interrupted adds each record once. Fields that ``schema``
+    does not name become text columns of the batch that has them; read the target with ``mergeSchema``.
+    Lines that are no such record go to ``target``-rejects.
     """
-    landed = spark.readStream.schema(with_month(schema)).json(landing)
+
+    def write(lines: DataFrame, batch: int) -> None:
+        lines = lines.persist()
+        good, bad = parse_landing(lines, grown_schema(lines, schema, [MONTH_COLUMN]))
+        good.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(f"{target}/{BATCH}={batch}")
+        bad.write.mode("overwrite").parquet(f"{target}-rejects/{BATCH}={batch}")
+        lines.unpersist()
+
+    landed = spark.readStream.schema(with_month(LINE)).text(landing)
     query = (
-        landed.writeStream.format("parquet")
-        .option("path", target)
+        landed.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy(MONTH_COLUMN)
         .trigger(availableNow=True)
         .start()
     )

@@ -71,16 +71,69 @@ def test_a_load_that_died_before_logging_is_repeated_without_duplicates(spark, r
     assert spark.table(table).count() == 2
 
 
-def test_unknown_fields_can_be_discovered(spark, raw_frame, place):
+def land_lines(folder, month, *lines):
+    path = Path(folder, f"ingest_month={month}")
+    path.mkdir(parents=True, exist_ok=True)
+    (path / f"part-{uuid.uuid4().hex}.json").write_text("\n".join(lines) + "\n")
+
+
+def test_late_columns_are_loaded_by_default(spark, place):
     table, location, landing, log = place
-    raw = raw_frame(request("1", "2024-01-05")).select("sr_number", "created_date")
-    land(raw, landing)
-    ingest.ingest_landing(spark, landing, table, location, log, schema=None)
-    late = raw_frame(request("2", "2024-02-05")).select("sr_number", "created_date", F.lit("v").alias("late"))
-    late.withColumn("ingest_month", ingest.created_month()).write.mode("append").partitionBy("ingest_month").json(landing)
-    ingest.ingest_landing(spark, landing, table, location, log, schema=None)
+    land_lines(landing, "2024-01", '{"sr_number": "1", "created_date": "2024-01-05T01:00:00.000"}')
+    ingest.ingest_landing(spark, landing, table, location, log)
+    land_lines(landing, "2024-02", '{"sr_number": "2", "late": "v", "od`d": {"a": 1}}', '{"sr_number": "3"}')
+    ingest.ingest_landing(spark, landing, table, location, log)
+    rows = spark.table(table).select("sr_number", "late", "`od``d`", "ingest_month").orderBy("sr_number").collect()
+    assert [tuple(r) for r in rows] == [
+        ("1", None, None, "2024-01"), ("2", "v", '{"a":1}', "2024-02"), ("3", None, None, "2024-02"),
+    ]
+
+
+def test_undated_rows_late_files_and_broken_lines(spark, raw_frame, place):
+    table, location, landing, log = place
+    land(raw_frame(request("1", "2024-01-05"), {"sr_number": "2"}, {"sr_number": "3", "created_date": "bad"}), landing)
+    load = lambda: [tuple(r) for r in ingest.ingest_landing(spark, landing, table, location, log).collect()]
+    assert load() == [("2024-01", 1, 0), ("unknown", 2, 0)]
+    land_lines(landing, "2024-01", '{"sr_number": "4"}', "{broken", "", "[1]", '{"sr_number": "5", "duplicate": "x"}')
+    assert load() == [("2024-01", 2, 3)]
+    assert load() == []
+    rows = spark.table(table).select("sr_number", "ingest_month").collect()
+    assert sorted(map(tuple, rows)) == [("1", "2024-01"), ("2", "unknown"), ("3", "unknown"), ("4", "2024-01")]
+    assert {r.line for r in spark.read.parquet(f"{log}/rejects").collect()} == {
+        "{broken", "[1]", '{"sr_number": "5", "duplicate": "x"}',
+    }
+
+
+def test_a_new_application_goes_on(spark, raw_frame, place):
+    """A catalog in memory forgets the table; folder and log stay."""
+    table, location, landing, log = place
+    land_lines(landing, "2024-01", '{"sr_number": "1", "late": "v"}')
+    ingest.ingest_landing(spark, landing, table, location, log)
+    spark.sql(f"DROP TABLE {table}")
+    land_lines(landing, "2024-02", '{"sr_number": "2"}')
+    assert ingest.ingest_landing(spark, landing, table, location, log).count() == 1
     rows = spark.table(table).select("sr_number", "late", "ingest_month").orderBy("sr_number").collect()
-    assert [tuple(r) for r in rows] == [("1", None, "2024-01"), ("2", "v", "2024-02")]
+    assert [tuple(r) for r in rows] == [("1", "v", "2024-01"), ("2", None, "2024-02")]
+
+
+def test_rows_without_a_legacy_flag_are_kept(raw_frame):
+    from types import SimpleNamespace
+
+    from civiclens.plans.catalog import schema_evolution
+
+    raw = raw_frame({"sr_number": "1", "legacy_record": True}, {"sr_number": "2", "legacy_record": False}, {"sr_number": "3"})
+    assert sorted(r.sr_number for r in schema_evolution(SimpleNamespace(raw=raw)).collect()) == ["1", "2", "3"]
+
+
+def test_csv_as_other_tools_read_it(spark, tmp_path):
+    import csv
+
+    frame = spark.createDataFrame([(1, 'say "hi"\nthere, \\ friend'), (2, None), (3, " x ")], "id int, t string")
+    files.write_csv(frame, str(tmp_path / "csv"))
+    read = [row for f in Path(tmp_path, "csv").glob("*.csv") for row in csv.DictReader(f.open(newline=""))]
+    assert {(r["id"], r["t"]) for r in read} == {("1", 'say "hi"\nthere, \\ friend'), ("2", ""), ("3", " x ")}
+    back = files.read_csv(spark, str(tmp_path / "csv"), frame.schema)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, frame.collect()))
 
 
 def test_stream_resumes(spark, raw_frame, tmp_path):
@@ -91,8 +144,11 @@ def test_stream_resumes(spark, raw_frame, tmp_path):
     assert spark.read.parquet(target).count() == 1
     more = raw_frame(request("2", "2024-01-06")).withColumn("ingest_month", ingest.created_month())
     more.write.mode("append").partitionBy("ingest_month").json(landing)
+    land_lines(landing, "2024-02", '{"sr_number": "3", "late": "v"}', "{broken")
     ingest_stream(spark, landing, target, checkpoint)
-    assert sorted(r.sr_number for r in spark.read.parquet(target).collect()) == ["1", "2"]
+    rows = spark.read.option("mergeSchema", True).parquet(target).select("sr_number", "late").collect()
+    assert sorted(map(tuple, rows)) == [("1", None), ("2", None), ("3", "v")]
+    assert [r.line for r in spark.read.parquet(f"{target}-rejects").collect()] == ["{broken"]
 
 
 def test_window_is_inclusive(raw_frame):

@@ -3,16 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from civiclens.plans.catalog import QUERIES
+from civiclens.plans.oracle_sql import ORACLE
 from oracle_check import compare, connect
 
-NO_COUNTERPART = {
-    "debug_sample",
-    "closure_sample",
-    "geo_point_sample",
-    "geo_sample",
-    "model_benchmark",
-    "closure_regression",
-}
+NO_COUNTERPART = {"model_benchmark", "closure_regression"}
 
 
 @pytest.fixture(scope="module")
@@ -20,13 +15,14 @@ def connection(folder):
     return connect(folder)
 
 
-def test_only_samples_and_models_lack_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == NO_COUNTERPART
+def test_only_models_lack_sql():
+    assert set(QUERIES) - set(ORACLE) == NO_COUNTERPART
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_same_rows(name, spark, folder, connection):
-    assert compare(contract.queries()[name](spark, folder), contract.oracle_sql()[name], connection) == []
+    assert compare(contract.queries()[name](spark, folder), ORACLE[name], connection) == []
 
 
 def test_entry_is_the_flagship(spark):

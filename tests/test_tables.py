@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from civiclens.__main__ import main
 from civiclens.operators import facts
 from civiclens.operators.dedup import dedup_requests
+from civiclens.plans.catalog import QUERIES
 from civiclens.plans.workspace import DIMENSIONS, Workspace
 
 
@@ -155,13 +156,45 @@ def test_month_slice_prunes_partitions(ws):
 
 
 def test_a_later_run_reads_what_an_earlier_one_finished(spark, raw_frame, tmp_path):
-    raw = raw_frame(request("1", sr_type="Pothole"), request("2", sr_type="Tree"))
-    first = Workspace(spark, raw, str(tmp_path))
+    rows = raw_frame(request("1", sr_type="Pothole"), request("2", sr_type="Tree"))
+    rows.write.parquet(str(tmp_path / "raw"))
+    raw = lambda: spark.read.parquet(str(tmp_path / "raw"))
+    root = str(tmp_path / "star")
+    first = Workspace(spark, raw(), root)
     stamp = first.table("dim_service").first().created_at
-    again = Workspace(spark, raw, str(tmp_path), reuse=True)
+    again = Workspace(spark, raw(), root, reuse=True)
     assert again.table("dim_service").first().created_at == stamp
     assert again.table("dim_time").count() == 1  # was not there yet
-    assert Workspace(spark, raw, str(tmp_path)).table("dim_service").first().created_at > stamp
+    assert Workspace(spark, raw(), root).table("dim_service").first().created_at > stamp
+    assert not (tmp_path / "star" / "numbering" / "dim_service-ids").exists()
+    # Rows that arrive later make all finished tables out of date.
+    assert Workspace(spark, raw(), root).table("fact_requests").count() == 2
+    raw_frame(request("3", sr_type="Rodent")).write.mode("append").parquet(str(tmp_path / "raw"))
+    later = Workspace(spark, raw(), root, reuse=True)
+    assert later.table("dim_service").count() == 3
+    assert QUERIES["drop_ratio"](later).first().dropped_rows == 0
+
+
+def test_star_joins_keep_one_row_per_request(spark, space, raw_frame):
+    ws = space(raw_frame(request("1", sr_type="Pothole"), request("2", sr_type=" Pothole "), request("3", sr_type="Tree")))
+    rows = QUERIES["star_join_service"](ws).collect()
+    assert sorted(r.sr_number for r in rows) == ["1", "2", "3"]
+    fanned = facts.attach_service(ws.requests, ws.table("dim_service"))
+    assert fanned.count() == 5, "joined to raw members, every padded variant multiplies its requests"
+
+
+def test_models_of_another_period(spark, raw_frame):
+    from civiclens.plans.workspace import Workspace as Space
+
+    days = [f"20{y}-0{m}-0{d}" for y in (18, 19) for m in range(1, 9) for d in range(1, 9)]
+    rows = [
+        request(str(n), created_date=f"{day}T01:00:00.000", closed_date=f"{day}T09:00:00.000" if n % 3 else None)
+        for n, day in enumerate(days)
+    ]
+    ws = Space(spark, raw_frame(*rows, request("undated", created_date=None)), train_until="2018-12-31")
+    parts = {r.split: r.n_rows for r in QUERIES["model_input"](ws).collect()}
+    assert parts == {"train": 64, "test": 64, None: 1}
+    assert QUERIES["model_benchmark"](ws).count() == 6
 
 
 def test_command_line(spark, raw_frame, tmp_path, capsys):
