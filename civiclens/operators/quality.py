@@ -184,17 +184,22 @@ def fact_null_checks(fact: DataFrame) -> DataFrame:
 def ref_integrity(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
     """Fact rows whose key has no member, per key column; NULL and -1 count as missing.
 
-    Rows are counted per key value before the anti-join, so a key that fills the whole
-    fact (the unknown location) is a single row there.
+    One pass counts the rows of every (key column, value), so a key that fills the whole fact (the
+    unknown location) is a single row in the anti-join.
     """
 
-    def missing(key: str, dimension: DataFrame) -> DataFrame:
-        counted = fact.groupBy(key).agg(F.count("*").alias("cnt"))
-        unmatched = counted.join(dimension.select(key), key, "left_anti")
-        total = F.coalesce(F.sum("cnt"), F.lit(0)).alias("missing_refs")
-        return unmatched.agg(total).select(F.lit(key).alias("key_column"), "missing_refs")
+    def pairs(key: str) -> Column:
+        return F.struct(F.lit(key).alias("key_column"), col(key).cast("string").alias("member"))
 
-    return union_all([missing(key, dimension) for key, dimension in dimensions.items()])
+    counted = (
+        fact.select(F.inline(F.array(*map(pairs, dimensions)))).groupBy("key_column", "member").agg(F.count("*").alias("cnt"))
+    )
+    members = union_all([d.select(pairs(key).alias("p")).select("p.*") for key, d in dimensions.items()])
+    missing = counted.join(members, ["key_column", "member"], "left_anti").groupBy("key_column").agg(
+        F.sum("cnt").alias("missing_refs")
+    )
+    keys = fact.sparkSession.createDataFrame([(key,) for key in dimensions], "key_column string")
+    return keys.join(missing, "key_column", "left").select("key_column", F.coalesce("missing_refs", F.lit(0)).alias("missing_refs"))
 
 
 def validation_report(
@@ -203,27 +208,33 @@ def validation_report(
     tables: Mapping[str, DataFrame],
     dimensions: Mapping[str, DataFrame],
 ) -> DataFrame:
-    """All checks as one long table: (check_name, subject, value)."""
+    """All checks as one long table: (check_name, subject, value).
 
-    def long(name: str, frame: DataFrame, subject: Column, value: str) -> DataFrame:
-        return frame.select(
-            F.lit(name).alias("check_name"),
-            subject.alias("subject"),
-            col(value).cast("double").alias("value"),
-        )
+    The fact is read twice: once for its rows and NULLs, once for the values of its keys.
+    """
 
-    drops = drop_ratio(raw, fact)
-    drop_rows = drops.select(*[col(c).cast("double") for c in drops.columns]).unpivot(
-        [], drops.columns, "subject", "value"
-    )
-    nulls = fact_null_checks(fact)
-    null_rows = nulls.unpivot([], nulls.columns, "subject", "value")
+    def long(name: str, frame: DataFrame, subject: str, value: str) -> DataFrame:
+        columns = [F.lit(name).alias("check_name"), col(subject).alias("subject"), col(value).cast("double").alias("value")]
+        return frame.select(*columns)
+
+    nulls = {f"null_{c}": F.count_if(col(c).isNull()) for c in FACT_KEYS}
+    profile = fact.agg(F.count("*").alias("fact_rows"), *[n.alias(name) for name, n in nulls.items()])
+    raw_rows = raw.agg(F.count("*")).scalar()
+    profile = profile.withColumn("raw_rows", raw_rows).withColumn("dropped_rows", col("raw_rows") - col("fact_rows"))
+    ratio = F.when(col("raw_rows") > 0, col("dropped_rows").cast("double") / col("raw_rows"))
+    facts = {("row_count", name): "fact_rows" for name, table in tables.items() if table is fact}
+    facts |= {("row_drop", c): c for c in ("raw_rows", "fact_rows", "dropped_rows", "dropped_ratio")}
+    facts |= {("null_check", c): c for c in nulls}
+    lines = [
+        F.struct(F.lit(check).alias("check_name"), F.lit(subject).alias("subject"), col(c).cast("double").alias("value"))
+        for (check, subject), c in facts.items()
+    ]
+    others = {name: table for name, table in tables.items() if table is not fact}
     return union_all(
         [
-            long("row_count", table_counts(tables), col("table_name"), "n_rows"),
-            long("row_drop", drop_rows, col("subject"), "value"),
-            long("null_check", null_rows, col("subject"), "value"),
-            long("missing_refs", ref_integrity(fact, dimensions), col("key_column"), "missing_refs"),
+            profile.withColumn("dropped_ratio", ratio).select(F.inline(F.array(*lines))),
+            long("row_count", table_counts(others), "table_name", "n_rows"),
+            long("missing_refs", ref_integrity(fact, dimensions), "key_column", "missing_refs"),
         ]
     )
 

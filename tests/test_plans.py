@@ -38,6 +38,17 @@ def test_flagship_counts_before_it_joins(spark, folder):
     assert "partial_count(1)" in plan[join:]
 
 
+def test_validation_reads_the_fact_twice(spark, folder):
+    plan = run("validation_report", spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    scans = [line for line in plan.splitlines() if "Relation [" in line and "fact_id#" in line]
+    assert len(scans) == 2
+
+
+def test_months_read_no_fact_column(spark, folder):
+    plan = plan_of(run("requests_by_month", spark, folder))
+    assert "ReadSchema: struct<>" in plan
+
+
 @pytest.fixture
 def no_broadcast(spark):
     """Joins as they run when a dimension outgrows the broadcast threshold."""
