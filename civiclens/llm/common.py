@@ -76,6 +76,6 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
-def digits_to(frame_rows: int, per_part: int, least: int, most: int) -> int:
+def parts_for(rows: int, per_part: int, least: int, most: int) -> int:
     """How many parts to deal rows into: about ``per_part`` rows each, within fixed bounds."""
-    return max(least, min(most, -(-frame_rows // per_part)))
+    return max(least, min(most, -(-rows // per_part)))

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Scratch, digits_to, table, utf8
+from civiclens.llm.common import Scratch, parts_for, table, utf8
 
 col = F.col
 
@@ -89,7 +89,7 @@ def shard_documents(
     )
     measured = scratch.stage(measured, "measured")
     total = measured.count()
-    blocks = digits_to(total, BLOCK_ROWS, 64, MOST_BLOCKS)
+    blocks = parts_for(total, BLOCK_ROWS, 64, MOST_BLOCKS)
 
     blocked = measured.withColumn("key", _key(seed)).withColumn("block", F.pmod("key", F.lit(blocks)).cast("int"))
     counted = {r["block"]: r["count"] for r in blocked.groupBy("block").count().collect()}
@@ -113,7 +113,7 @@ def shard_documents(
     dealt = scratch.stage(dealt, "dealt")
 
     # Permute within the shard: order by a third hash, whose leading bits split a shard into parts.
-    bits = max(3, (digits_to(total // shards, BLOCK_ROWS, 1, MOST_BLOCKS) - 1).bit_length())
+    bits = max(3, (parts_for(total // shards, BLOCK_ROWS, 1, MOST_BLOCKS) - 1).bit_length())
     keyed = dealt.withColumn("key", _key(seed + 2)).withColumn("part", F.shiftright("key", 64 - bits))
     sizes = keyed.groupBy("shard", "part").count()
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

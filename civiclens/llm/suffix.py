@@ -36,7 +36,7 @@ def _scan_buckets(text, smaller, leftmost, heads, ends):
     n, symbols = len(text), len(heads)
     suffixes = np.full(n, -1, dtype=np.int64)
 
-    def hand_on(found: np.ndarray, own: int, at: np.ndarray, forward: bool) -> None:
+    def hand_on(found: np.ndarray, at: np.ndarray, forward: bool) -> None:
         before = found[found > 0] - 1
         before = before[smaller[before] != forward]
         if not len(before):
@@ -63,9 +63,9 @@ def _scan_buckets(text, smaller, leftmost, heads, ends):
         while done < at[c]:
             fresh = suffixes[done : at[c]].copy()
             done = at[c]
-            hand_on(fresh, c, at, True)
+            hand_on(fresh, at, True)
         if lms_counts[c]:
-            hand_on(grouped[lms_ends[c] - lms_counts[c] : lms_ends[c]], c, at, True)
+            hand_on(grouped[lms_ends[c] - lms_counts[c] : lms_ends[c]], at, True)
     larger_ends = at
     at = ends.copy()
     for c in range(symbols - 1, -1, -1):
@@ -73,9 +73,9 @@ def _scan_buckets(text, smaller, leftmost, heads, ends):
         while done > at[c]:
             fresh = suffixes[at[c] + 1 : done + 1][::-1].copy()
             done = at[c]
-            hand_on(fresh, c, at, False)
+            hand_on(fresh, at, False)
         if larger_ends[c] > heads[c]:
-            hand_on(suffixes[heads[c] : larger_ends[c]][::-1].copy(), c, at, False)
+            hand_on(suffixes[heads[c] : larger_ends[c]][::-1].copy(), at, False)
     suffixes[0] = n - 1
     return suffixes
 

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Scratch, digits_to, table
+from civiclens.llm.common import Scratch, parts_for, table
 
 col = F.col
 
@@ -118,8 +118,8 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """
     scratch = Scratch(rows.sparkSession, "topk")
     rows, queries = scratch.stage(rows, "rows"), scratch.stage(queries, "queries")
-    shards = digits_to(rows.count(), SHARD_ROWS, 24, 1 << 20)
-    blocks = digits_to(queries.count(), BLOCK_QUERIES, 1, 1 << 20)
+    shards = parts_for(rows.count(), SHARD_ROWS, 24, 1 << 20)
+    blocks = parts_for(queries.count(), BLOCK_QUERIES, 1, 1 << 20)
     deal = lambda parts: F.pmod(F.xxhash64("vec_id"), F.lit(parts))
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
     pair = ["shard", "block"]
