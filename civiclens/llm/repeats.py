@@ -28,6 +28,8 @@ col = F.col
 
 HOT = 512
 """Different fragments under one hash from which they are cut finer."""
+FEW = 8
+"""Up to so many fragments under a hash are compared by their middles before they are sorted."""
 BLOCK = 8
 """Windows in a block of the finer cut."""
 SHARD_BYTES = 1 << 20
@@ -207,11 +209,27 @@ def repeated_windows(
     return list(zip(docs[own[low]].tolist(), begin[low].tolist(), finish[high].tolist()))
 
 
+def related(group: list[tuple], length: int) -> list[tuple]:
+    """The fragments (text last) under one hash that can share a window with another of them.
+
+    All windows of a fragment have its middle in common, so two fragments share a window only if
+    each contains the middle of the other. That spares sorting those that agree in little more than the
+    hashed piece. Large groups are sorted whole.
+    """
+    if len(group) > FEW:
+        return group
+    texts = [row[-1] for row in group]
+    cores = [t[len(t) - length : length] for t in texts]
+    near = lambda i, j: cores[i] in texts[j] and cores[j] in texts[i]
+    return [row for i, row in enumerate(group) if any(i != j and near(i, j) for j in range(len(group)))]
+
+
 def _by_suffix_arrays(rows: DataFrame, length: int, everywhere: bool) -> DataFrame:
     """Repeated spans among the fragments under each hash."""
 
     def run(batches: Batches) -> Batches:
         held: list[tuple] = []
+        group: list[tuple] = []
         size, last = 0, None
 
         def solve() -> pa.RecordBatch:
@@ -225,12 +243,15 @@ def _by_suffix_arrays(rows: DataFrame, length: int, everywhere: bool) -> DataFra
 
         for batch in batches:
             for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if size >= SHARD_BYTES and row[:2] != last:
-                    yield solve()
-                    held, size = [], 0
-                held.append(row[2:])
-                size += len(row[5])
-                last = row[:2]
+                if row[:2] != last:
+                    kept = related(group, length)
+                    held += kept
+                    size, group, last = size + sum(len(r[-1]) for r in kept), [], row[:2]
+                    if size >= SHARD_BYTES and held:
+                        yield solve()
+                        held, size = [], 0
+                group.append(row[2:])
+        held += related(group, length)
         if held:
             yield solve()
 
