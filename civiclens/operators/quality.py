@@ -13,6 +13,7 @@ from civiclens.schema import EXPECTED_COLUMNS
 
 col = F.col
 
+# Names of the published checks and the columns they are about.
 CRITICAL_TEXT = {
     "missing_sr_number": "sr_number",
     "missing_sr_type": "sr_type",

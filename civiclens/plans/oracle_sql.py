@@ -74,6 +74,7 @@ SELECT r.*, 1 AS rn FROM raw_requests r
 QUALIFY row_number() OVER (PARTITION BY sr_number ORDER BY created_date NULLS LAST) = 1"""
 
 # --- rule fragments; regular expressions over lower-cased text ---------------------------
+# The keywords, ward lists, ranges and labels of the published rules.
 
 _TYPE = "lower(coalesce(sr_type, ''))"
 _OWNER = "lower(coalesce(owner_department, ''))"
@@ -457,6 +458,7 @@ LEFT JOIN (
   GROUP BY 1) c ON c.bin = b.bin""")
 
 
+# The request types that the derived table has.
 _PIVOT_TYPES = (
     "311 INFORMATION ONLY CALL", "Aircraft Noise Complaint", "Graffiti Removal Request", "Pothole in Street Complaint",
     "Street Light Out Complaint", "Rodent Baiting/Rat Complaint", "Garbage Cart Maintenance",
