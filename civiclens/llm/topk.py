@@ -66,8 +66,8 @@ def best_rows(postings: np.ndarray, ids: np.ndarray, query: np.ndarray, own: int
     threshold = None
     if len(order) and allowed.sum() > 4 * k:
         lead = order[:STEP]
-        sketch = query[lead] @ postings[lead]
-        sketch[~allowed] = np.iinfo(np.int64).min
+        sketch = (query[lead] @ postings[lead]).astype(np.float64)
+        sketch[~allowed] = -np.inf
         probe = np.argpartition(-sketch, 4 * k)[: 4 * k]
         threshold = int(np.sort(query @ postings[:, probe])[-k])
 
