@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from civiclens.llm.common import Batches, Scratch, map_batches, table, utf8
 from civiclens.llm.components import components
+from civiclens.llm.prefixes import frequencies, rarest
 
 col = F.col
 
@@ -33,6 +34,8 @@ BITS = 64
 HALF = 32
 MOST_BITS = 3
 SHINGLE_WORDS = 3
+STAGE_WORDS, ALIKE = 5, 80
+"""Shingles of the pipeline's stage, and the Jaccard similarity (in percent) from which it takes documents for copies."""
 SEED = 42
 NODE_ROWS = 4096
 """Fingerprints below one node of the distributed cut, by way of its depth."""
@@ -43,18 +46,22 @@ DIRECT_PAIRS = 16
 """Below this many leaf pairs a node pair is compared leaf by leaf."""
 
 
-def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
-    """Majority bits of the XXH64 of all word shingles, repeats included; 0 without words."""
+def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS) -> list[int]:
+    """XXH64 of all word shingles, repeats included; of a shorter text, of all its words."""
     parts = text.lower().split()  # of bytes: A-Z only, and cut at ASCII white space
     if not parts:
-        return 0
+        return []
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts])
     starts = np.concatenate([[0], ends[:-1]]).tolist()
     ends = (ends - 1).tolist()
     size = min(words, len(parts))
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1 :])]
+    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[size - 1 :])]
+
+
+def majority(hashes: list[int]) -> int:
+    """The bits that most hashes have; 0 without hashes."""
     counts = np.zeros(BITS, dtype=np.int64)
     for at in range(0, len(hashes), 1 << 16):
         block = np.array(hashes[at : at + (1 << 16)], dtype="<u8")
@@ -62,6 +69,11 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
+    """Majority bits of the XXH64 of all word shingles, repeats included; 0 without words."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(frame: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ``print`` (the 64 bits as a signed long) of every row; a NULL text has no words."""
 
@@ -240,12 +252,127 @@ def op7_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
+    """doc_id, print, and the distinct shingle hashes with their own hash ``node`` of every row."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            nodes, prints, sets = [], [], []
+            for value in batch.column(1):
+                hashes = shingle_hashes(value.as_py(), words)
+                prints.append(majority(hashes))
+                sets.append(np.unique(np.array(hashes, dtype=np.uint64).view(np.int64)))
+                nodes.append(xxhash.xxh3_64_intdigest(sets[-1].tobytes()))
+            longs = [pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in (nodes, prints)]
+            columns = [batch.column(0), *longs, pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "print", "hashes"])
+
+    picked = documents.select(col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body"))
+    return map_batches(picked, run, "doc_id long, node long, print long, hashes array<long>")
+
+
+def _set_prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """key, place and size of the elements of which sets alike enough share at least one."""
+    frequent = frequencies(sets)
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            nodes, sizes, keys = batch.column(0).to_numpy(), [], []
+            for value in batch.column(1):
+                hashes = value.values.to_numpy()
+                least = -(-percent * len(hashes) // 100)
+                sizes.append(len(hashes))
+                keys.append(rarest(hashes, frequent.value, len(hashes) - least + 1 if len(hashes) else 0))
+            each = [len(k) for k in keys]
+            place = np.concatenate([np.arange(n, dtype=np.int32) for n in each] or [np.empty(0, np.int32)])
+            columns = [np.concatenate(keys or [np.empty(0, np.int64)]), np.repeat(nodes, each), place]
+            columns.append(np.repeat(np.array(sizes, dtype=np.int32), each))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "place", "size"])
+
+    emitted = map_batches(sets.select("node", "hashes"), run, "key long, node long, place int, size int")
+    # Exact copies are one set and emit the same.
+    return emitted.groupBy("key", "node").agg(F.first("place").alias("place"), F.first("size").alias("size"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs u, v whose sets have a Jaccard similarity of at least ``percent``."""
+    one, other = sets.toDF("u", "of_u"), sets.toDF("v", "of_v")
+    joined = pairs.join(one, "u").join(other, "v")
+    shared = F.size(F.array_intersect("of_u", "of_v"))
+    enough = (100 + percent) * shared >= percent * (F.size("of_u") + F.size("of_v"))
+    return joined.where(enough).select("u", "v")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int = ALIKE) -> DataFrame:
+    """doc_id and component_id: classes of documents linked by a Jaccard similarity of word shingles.
+
+    All pairs with at least ``percent`` are found: they share an element of their prefixes. The
+    trie's links and a star below each prefix element are compared first; after that only sets not yet in one class are, so
+    a large class costs stars, not all its pairs.
+    """
+    scratch = Scratch(documents.sparkSession, "alike")
+    rows = scratch.stage(shingle_sets(documents.where("doc_id IS NOT NULL"), words), "rows")
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("print").alias("print"))
+    nodes = scratch.stage(nodes, "nodes")
+    prefixes = scratch.stage(_set_prefixes(rows, percent), "prefixes")
+    met = prefixes.groupBy("key").agg(
+        F.count("*").alias("n"),
+        *[F.min(F.struct(F.xxhash64(F.lit(k), "node"), "node", "size")).alias(f"star{k}") for k in (0, 1)],
+    )
+    prefixes = scratch.stage(prefixes.join(met.where("n > 1").drop("n"), "key"), "met")
+    sized = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    stars = prefixes.select("node", "size", F.explode(F.array("star0", "star1")).alias("star"))
+    stars = stars.where(sized(col("size"), col("star.size"))).select(col("node").alias("u"), col("star.node").alias("v"))
+
+    prints = scratch.stage(nodes.groupBy("print").agg(F.min("node").alias("v")), "prints")
+    equal = nodes.join(prints, "print").select(col("node").alias("u"), "v")
+    close = near_links(prints.select("print")).toDF("a", "b")
+    close = close.join(prints.toDF("a", "u"), "a").join(prints.toDF("b", "v"), "b").select("u", "v")
+    tried = scratch.stage(_ordered(stars.union(equal).union(close)), "tried")
+
+    def compared(pairs: DataFrame, name: str) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes, "node")
+        wanted = wanted.select("node", col("least").alias("doc_id"))
+        sets = rows.select("doc_id", "node", "hashes").join(wanted, ["doc_id", "node"])
+        sets = scratch.stage(sets.dropDuplicates(["node"]).select("node", "hashes"), f"sets-{name}")
+        return scratch.stage(_alike(pairs, sets, percent), f"links-{name}")
+
+    links = compared(tried, "first")
+    roots = components(links, scratch)
+    placed = prefixes.select("key", "node", "place", "size").join(roots, "node", "left")
+    placed = scratch.stage(placed.withColumn("root", F.coalesce("root", "node")), "placed")
+    largest = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = largest.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("roots"))
+    placed = scratch.stage(placed.join(largest.where("roots > 1").drop("roots"), "key"), "apart")
+    left = placed.where("root <> largest").select("key", *[col(c).alias(f"{c}_a") for c in ("node", "place", "size", "root")])
+    behind = F.least(col("size_a") - col("place_a"), col("size") - col("place"))
+    pairs = left.join(placed, "key").where(
+        (col("root_a") != col("root"))
+        & ((col("root") == col("largest")) | (col("node_a") < col("node")))
+        & sized(col("size_a"), col("size"))
+        & ((100 + percent) * behind >= percent * (col("size_a") + col("size")))
+    )
+    pairs = _ordered(pairs.select(col("node_a").alias("u"), col("node").alias("v"))).join(tried, ["u", "v"], "left_anti")
+    links = links.union(compared(scratch.stage(pairs, "pairs"), "rest"))
+    scratch.drop("met")
+    scratch.release()
+    roots = components(links, Scratch(documents.sparkSession, "alike-roots"))
+    rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = rooted.join(named, "root").select("node", "component_id")
+    return rows.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
+
+
 def representatives(documents: DataFrame) -> DataFrame:
     """The documents with the smallest id of their class, with their columns.
 
-    Rows that repeat an id and a text are one document and stay once. Rows without an id stay.
+    Classes are those of ``similar_classes``: texts without words are one, and texts under five words are alike
+    if equal. Rows that repeat an id and a text are one document and stay once. Rows without an id stay.
     """
-    classes = near_duplicates(documents).where("doc_id IS NOT NULL")
-    going = classes.groupBy("doc_id").agg(F.min("component_id").alias("least")).where("least < doc_id")
+    going = similar_classes(documents).groupBy("doc_id").agg(F.min("component_id").alias("least")).where("least < doc_id")
     left = documents.join(going.select("doc_id"), "doc_id", "left_anti").select(*documents.columns)
     return left.dropDuplicates(["doc_id", "text"])
