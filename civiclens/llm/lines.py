@@ -1,4 +1,7 @@
-"""Removal of repeated lines, up to one edited word, by a deletion-neighbourhood join.
+"""Removal of repeated lines, up to one edited word in ten, by a deletion-neighbourhood and a prefix join.
+
+Lines of n and more words may be ``edits(n)`` words apart, n being the length of the shorter. Where that is one edit, they
+meet by deletion variants, as follows; where it is more, see the end.
 
 A line is its words; its variants are the line itself and the line without any one of its words. Two
 lines are at most one word apart (inserted, deleted or replaced) exactly if a variant of both is
@@ -9,10 +12,16 @@ Of every set of equal variants only the earliest line matters, so a minimum per
 place of pairs: lines that thousands of documents share, or that differ in one word among
 thousands, cost one row each. Before that, equal lines are one line, and of the rest only those can have a
 partner that share their first or last half with another line; only these emit variants.
+
+Of a long line's pairs of words next to each other, k edits change 2k at most; so of two lines k edits apart
+the 2k+1 rarest pairs of one and of the other have one in common. The earliest line of each such key is compared first, and
+lines that find no partner that way are compared with all earlier ones of their keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -20,17 +29,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm.common import Batches, Scratch, map_batches, table, utf8
+from civiclens.llm.prefixes import frequencies, rarest
 
 col = F.col
 
 LEAST_WORDS = 8
-"""Shorter lines are repeated only if equal: one word of few is no small edit."""
+"""Lines that are both shorter are repeated only if equal: one word of few is no small edit."""
+EDIT_WORDS = 10
+"""One edit is allowed for so many words."""
+LONG_WORDS = 2 * EDIT_WORDS
+"""From here on more than one edit is allowed; a line with one edit has up to this many words."""
+GRAM_WORDS = 2
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 WHOLE = -1
 """Place of the variant that lacks no word."""
 FLUSH = 1 << 16
 
 
+def edits(n: int) -> int:
+    """Inserted, deleted or replaced words that may tell a line of n words from one at least as long."""
+    return max(1, n // EDIT_WORDS)
+
+
 def _half_keys(words: list[bytes]) -> list[int]:
     """Keys of which lines one word apart share at least one: outer halves of this length and of one more word."""
     n = len(words)
@@ -42,7 +62,7 @@ def _half_keys(words: list[bytes]) -> list[int]:
 
 
 def line_keys(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, line, 128-bit digest and half keys (none for a short line) of every line that is not blank."""
+    """doc_id, line, 128-bit digest, half keys (of lines that may be one word apart) and whether it is long, of every line that is not blank."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -51,8 +71,9 @@ def line_keys(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
                 for number, line in enumerate(body.as_py().split(b"\n")):
                     words = line.split()
                     if words:
-                        keys = _half_keys(words) if len(words) >= least_words else []
-                        rows.append((doc_id, number, xxhash.xxh3_128_digest(b" ".join(words)), keys))
+                        keys = _half_keys(words) if least_words - 1 <= len(words) <= LONG_WORDS else []
+                        long = len(words) >= LONG_WORDS
+                        rows.append((doc_id, number, xxhash.xxh3_128_digest(b" ".join(words)), keys, long))
                 if len(rows) >= FLUSH:
                     yield _batch(rows)
                     rows = []
@@ -60,13 +81,13 @@ def line_keys(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
                 yield _batch(rows)
 
     def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        ids, numbers, digests, keys = zip(*rows)
+        ids, numbers, digests, keys, long = zip(*rows)
         columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digests, pa.binary())]
         return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "line", "digest", "halves"]
+            [*columns, pa.array(keys, pa.list_(pa.int64())), pa.array(long)], ["doc_id", "line", "digest", "halves", "long"]
         )
 
-    return map_batches(documents, run, "doc_id long, line int, digest binary, halves array<long>")
+    return map_batches(documents, run, "doc_id long, line int, digest binary, halves array<long>, long boolean")
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -110,15 +131,21 @@ def variant_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _variants(texts: DataFrame) -> DataFrame:
-    """Hashed keys of all variants with the place of the missing word."""
+    """Hashed keys of all variants with the place of the missing word.
+
+    A line under ``LEAST_WORDS`` is only met as a whole, by one that has a word more.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             held, size = [], 0
             for doc_id, number, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 parts = words.as_py().split(b" ")
+                if len(parts) > LONG_WORDS:
+                    continue
                 first, second = variant_hashes(parts)
-                held.append((first, second, np.arange(WHOLE, len(parts)), doc_id, number))
+                n = len(first) if len(parts) >= LEAST_WORDS else 1
+                held.append((first[:n], second[:n], np.arange(WHOLE, len(parts))[:n], doc_id, number))
                 size += len(first)
                 if size >= FLUSH:
                     yield _variant_batch(held)
@@ -150,13 +177,51 @@ def within_one_word(left: list[bytes], right: list[bytes]) -> bool:
     return longer[same + 1 :] == shorter[same + (len(longer) == len(shorter)) :]
 
 
+def within_edits(left: list[bytes], right: list[bytes], most: int) -> bool:
+    """Whether at most so many inserted, deleted or replaced words tell the lines apart.
+
+    The columns of the distance matrix are kept as the bits of its steps (Myers, Hyyrö), so a word costs a few
+    operations on whole numbers of as many bits as the shorter line has words.
+    """
+    start = 0
+    while start < min(len(left), len(right)) and left[start] == right[start]:
+        start += 1
+    left, right = left[start:], right[start:]
+    while left and right and left[-1] == right[-1]:
+        left, right = left[:-1], right[:-1]
+    shorter, longer = sorted((left, right), key=len)
+    distance = len(shorter)
+    if not shorter or len(longer) - len(shorter) > most:
+        return len(longer) <= most
+    places: dict[bytes, int] = {}
+    for i, word in enumerate(shorter):
+        places[word] = places.get(word, 0) | 1 << i
+    full, last = (1 << len(shorter)) - 1, 1 << (len(shorter) - 1)
+    up, down = full, 0
+    for i, word in enumerate(longer, 1):
+        equal = places.get(word, 0)
+        vertical = equal | down
+        across = (((equal & up) + up) ^ up) | equal
+        more, less = down | (full & ~(across | up)), up & across
+        distance += bool(more & last) - bool(less & last)
+        if distance - (len(longer) - i) > most:
+            return False
+        more, less = more << 1 | 1, less << 1
+        up, down = full & (less | ~(vertical | more)), full & more & vertical
+    return distance <= most
+
+
 def _verified(pairs: DataFrame) -> DataFrame:
-    """doc_id and line of the pairs whose words are at most one edit apart."""
+    """doc_id and line of the pairs whose words are no more edits apart than allowed."""
+
+    def near(left: list[bytes], right: list[bytes]) -> bool:
+        most = edits(min(len(left), len(right)))
+        return within_one_word(left, right) if most == 1 else within_edits(left, right, most)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             kept = [
-                within_one_word(a.as_py().split(b" "), b.as_py().split(b" "))
+                near(a.as_py().split(b" "), b.as_py().split(b" "))
                 for a, b in zip(batch.column(2), batch.column(3))
             ]
             yield batch.filter(pa.array(kept, pa.bool_())).select([0, 1])
@@ -169,7 +234,7 @@ def _at(doc: str = "doc_id", line: str = "line") -> Column:
 
 
 def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id and line of every line with an earlier one at most one word apart."""
+    """doc_id and line of every line up to ``LONG_WORDS`` words with an earlier one at most one word apart."""
     variants = scratch.stage(_variants(texts), "variants")
     at, key = _at(), ["key1", "key2"]
     # Most variants belong to one line; only the rest is looked at by place.
@@ -200,11 +265,100 @@ def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
     return _verified(pairs.select("doc_id", "line", "words", "at_words")).distinct()
 
 
+def gram_hashes(words: list[bytes]) -> np.ndarray:
+    """Signed hashes of the words next to each other, with their number where some occur again."""
+    hashed = np.array([xxhash.xxh3_64_intdigest(w, 1) for w in words], dtype=np.uint64)
+    n = len(hashed) - GRAM_WORDS + 1
+    grams = hashed[:n].copy()
+    for k in range(1, GRAM_WORDS):
+        grams = grams * BASES[0] + hashed[k : k + n]
+    order = np.argsort(grams, kind="stable")
+    ranked = grams[order]
+    fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    if not fresh.all():
+        nth = np.arange(n) - np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+        grams[order] = ranked + nth.astype(np.uint64) * BASES[1]
+    return grams.view(np.int64)
+
+
+def _gram_sets(texts: DataFrame) -> DataFrame:
+    """doc_id, line and gram hashes of the long lines."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            parts = [words.as_py().split(b" ") for words in batch.column(2)]
+            long = [len(p) >= LONG_WORDS for p in parts]
+            grams = pa.array([gram_hashes(p) for p, is_long in zip(parts, long) if is_long], pa.list_(pa.int64()))
+            ids = [batch.column(k).filter(pa.array(long, pa.bool_())) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ids, grams], ["doc_id", "line", "hashes"])
+
+    return map_batches(texts, run, "doc_id long, line int, hashes array<long>")
+
+
+def _gram_keys(texts: DataFrame) -> DataFrame:
+    """The rarest grams of the long lines with their place among the line's and the line's words."""
+    sets = _gram_sets(texts)
+    frequent = frequencies(sets)
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            sizes, keys = [], []
+            for value in batch.column(2):
+                grams = value.values.to_numpy()
+                sizes.append(len(grams) + GRAM_WORDS - 1)
+                keys.append(rarest(grams, frequent.value, GRAM_WORDS * edits(sizes[-1]) + 1))
+            if not keys:
+                continue
+            each = [len(k) for k in keys]
+            columns = [np.concatenate(keys), np.concatenate([np.arange(n, dtype=np.int32) for n in each])]
+            columns += [np.repeat(np.array(c), each) for c in (batch.column(0), batch.column(1), np.array(sizes, dtype=np.int32))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "place", "doc_id", "line", "n"])
+
+    return map_batches(sets, run, "key long, place int, doc_id long, line int, n int")
+
+
+def near_long_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id and line of every long line with an earlier one no more edits apart than the shorter allows."""
+    keys = scratch.stage(_gram_keys(texts), "gram-keys")
+    at = F.struct("doc_id", "line", "n", "place")
+    several = keys.groupBy("key").agg(F.min(at).alias("first"), F.max(at).alias("final"))
+    several = several.where("first < final").select("key", "first")
+    met = scratch.stage(keys.join(several, "key"), "met-grams")
+    scratch.drop("gram-keys")
+
+    def possible(n: Column, place: Column, earlier: Callable[[str], Column]) -> Column:
+        """Whether lines with a gram in common at these places can have as many as they need."""
+        shorter = F.least(n, earlier("n"))
+        most = F.greatest(F.lit(1), F.floor(shorter / EDIT_WORDS))
+        behind = F.least(n - place, earlier("n") - earlier("place")) - (GRAM_WORDS - 1)
+        longer = F.greatest(n, earlier("n"))
+        return (longer - shorter <= most) & (behind >= longer - (GRAM_WORDS - 1) - GRAM_WORDS * most)
+
+    def compared(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = scratch.stage(pairs.toDF("doc_id", "line", "at_doc", "at_line").distinct(), f"pairs-{name}")
+        other = texts.toDF("at_doc", "at_line", "at_words")
+        joined = pairs.join(texts, ["doc_id", "line"]).join(other, ["at_doc", "at_line"])
+        return scratch.stage(_verified(joined.select("doc_id", "line", "words", "at_words")).distinct(), f"near-{name}")
+
+    first = lambda c: col(f"first.{c}")
+    before = F.struct(first("doc_id"), first("line")) < F.struct("doc_id", "line")
+    pairs = met.where(before & possible(col("n"), col("place"), first))
+    found = compared(pairs.select("doc_id", "line", first("doc_id"), first("line")), "first")
+    left = met.where(before).drop("first").join(found, ["doc_id", "line"], "left_anti")
+    earlier = met.drop("first").select("key", *[col(c).alias(f"at_{c}") for c in ("doc_id", "line", "n", "place")])
+    rest = left.join(earlier, "key").where(
+        (F.struct(col("at_doc_id").alias("doc_id"), col("at_line").alias("line")) < F.struct("doc_id", "line"))
+        & possible(col("n"), col("place"), lambda c: col(f"at_{c}"))
+    )
+    rest = rest.select("doc_id", "line", "at_doc_id", "at_line")
+    return found.union(compared(rest, "rest"))
+
+
 def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and ``removed``, the numbers (from 0) of its lines that repeat an earlier one.
 
     Lines end at a line feed; blank ones take no part. A line repeats another if the words are equal or,
-    from ``LEAST_WORDS`` words on, at most one word is inserted, deleted or replaced. Earlier means a
+    if the longer has ``LEAST_WORDS`` words, at most ``edits(words of the shorter)`` words are inserted, deleted or replaced. Earlier means a
     smaller doc_id, or a smaller number in the same document; lines are compared with the input, not with what is
     left of it. A NULL text has no lines, a document without an id takes no part, and rows repeated whole
     are one document.
@@ -214,14 +368,15 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
         col(id_column).cast("long").alias("doc_id"), utf8(text).alias("body")
     )
     lines = scratch.stage(line_keys(documents), "lines")
-    firsts = lines.groupBy("digest").agg(F.min(_at()).alias("first"), F.first("halves").alias("halves"), F.count("*").alias("n"))
+    firsts = lines.groupBy("digest").agg(F.min(_at()).alias("first"), F.first("halves").alias("halves"), F.first("long").alias("long"), F.count("*").alias("n"))
     firsts = scratch.stage(firsts, "firsts")
     copies = lines.select("doc_id", "line", "digest").join(firsts.where("n > 1").select("digest", "first"), "digest")
     copies = scratch.stage(copies.where(_at() > col("first")).select("doc_id", "line"), "copies")
 
     halves = firsts.select("first.*", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")  # a line has a half once
-    wanted = scratch.stage(halves.join(shared, "half", "left_semi").select("doc_id", "line").distinct(), "wanted")
+    wanted = halves.join(shared, "half", "left_semi").select("doc_id", "line").union(firsts.where("long").select("first.*"))
+    wanted = scratch.stage(wanted.distinct(), "wanted")
     for done in ("lines", "firsts"):
         scratch.drop(done)
     scratch.release()
@@ -231,6 +386,9 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
     for done in ("variants", "met-variants"):
         scratch.drop(done)
     scratch.release()
+    near = near.union(near_long_copies(texts, scratch))
+    scratch.drop("met-grams")
+    scratch.release()
     return copies.union(near).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
