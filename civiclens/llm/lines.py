@@ -281,23 +281,35 @@ def gram_hashes(words: list[bytes]) -> np.ndarray:
     return grams.view(np.int64)
 
 
-def _gram_sets(texts: DataFrame) -> DataFrame:
+def _gram_sets(documents: DataFrame) -> DataFrame:
     """doc_id, line and gram hashes of the long lines."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            parts = [words.as_py().split(b" ") for words in batch.column(2)]
-            long = [len(p) >= LONG_WORDS for p in parts]
-            grams = pa.array([gram_hashes(p) for p, is_long in zip(parts, long) if is_long], pa.list_(pa.int64()))
-            ids = [batch.column(k).filter(pa.array(long, pa.bool_())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*ids, grams], ["doc_id", "line", "hashes"])
+            rows, held = [], 0
+            for doc_id, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for number, line in enumerate(body.as_py().split(b"\n")):
+                    words = line.split()
+                    if len(words) >= LONG_WORDS:
+                        rows.append((doc_id, number, gram_hashes(words)))
+                        held += len(words)
+                if held >= 4 * FLUSH:
+                    yield _gram_batch(rows)
+                    rows, held = [], 0
+            if rows:
+                yield _gram_batch(rows)
+
+    def _gram_batch(rows: list[tuple]) -> pa.RecordBatch:
+        ids, numbers, grams = zip(*rows)
+        columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(grams, pa.list_(pa.int64()))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "hashes"])
 
-    return map_batches(texts, run, "doc_id long, line int, hashes array<long>")
+    return map_batches(documents, run, "doc_id long, line int, hashes array<long>")
 
 
-def _gram_keys(texts: DataFrame) -> DataFrame:
+def _gram_keys(documents: DataFrame) -> DataFrame:
     """The rarest grams of the long lines with their place among the line's and the line's words."""
-    sets = _gram_sets(texts)
+    sets = _gram_sets(documents)
     frequent = frequencies(sets)
 
     def run(batches: Batches) -> Batches:
@@ -317,14 +329,21 @@ def _gram_keys(texts: DataFrame) -> DataFrame:
     return map_batches(sets, run, "key long, place int, doc_id long, line int, n int")
 
 
-def near_long_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id and line of every long line with an earlier one no more edits apart than the shorter allows."""
-    keys = scratch.stage(_gram_keys(texts), "gram-keys")
-    at = F.struct("doc_id", "line", "n", "place")
-    several = keys.groupBy("key").agg(F.min(at).alias("first"), F.max(at).alias("final"))
-    several = several.where("first < final").select("key", "first")
-    met = scratch.stage(keys.join(several, "key"), "met-grams")
+def met_grams(documents: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rarest grams that several long lines have; of equal lines the earliest stands for all."""
+    keys = scratch.stage(_gram_keys(documents), "gram-keys")
+    several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = keys.join(several, "key", "left_semi")
+    met = scratch.stage(met.join(firsts.where("long").select("first.*"), ["doc_id", "line"], "left_semi"), "met-grams")
     scratch.drop("gram-keys")
+    scratch.release()
+    return met
+
+
+def near_long_copies(met: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """doc_id and line of every long line with an earlier one no more edits apart than the shorter allows."""
+    first = met.groupBy("key").agg(F.min(F.struct("doc_id", "line", "n", "place")).alias("first"))
+    met = scratch.stage(met.join(first, "key"), "starred-grams")
 
     def possible(n: Column, place: Column, earlier: Callable[[str], Column]) -> Column:
         """Whether lines with a gram in common at these places can have as many as they need."""
@@ -375,8 +394,9 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
 
     halves = firsts.select("first.*", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")  # a line has a half once
-    wanted = halves.join(shared, "half", "left_semi").select("doc_id", "line").union(firsts.where("long").select("first.*"))
-    wanted = scratch.stage(wanted.distinct(), "wanted")
+    wanted = halves.join(shared, "half", "left_semi").select("doc_id", "line")
+    met = met_grams(documents, firsts, scratch)
+    wanted = scratch.stage(wanted.union(met.select("doc_id", "line")).distinct(), "wanted")
     for done in ("lines", "firsts"):
         scratch.drop(done)
     scratch.release()
@@ -386,8 +406,9 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
     for done in ("variants", "met-variants"):
         scratch.drop(done)
     scratch.release()
-    near = near.union(near_long_copies(texts, scratch))
-    scratch.drop("met-grams")
+    near = near.union(near_long_copies(met, texts, scratch))
+    for done in ("met-grams", "starred-grams"):
+        scratch.drop(done)
     scratch.release()
     return copies.union(near).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
