@@ -79,3 +79,19 @@ def utf8(column: str) -> Column:
 def parts_for(rows: int, per_part: int, least: int, most: int) -> int:
     """How many parts to deal rows into: about ``per_part`` rows each, within fixed bounds."""
     return max(least, min(most, -(-rows // per_part)))
+
+
+HOT_PARTS = 1000
+"""A key with more than one in so many rows is hot, so there are fewer hot keys than this."""
+
+
+def join_counted(rows: DataFrame, firsts: DataFrame, keys: list[str], places: str) -> DataFrame:
+    """Inner join of ``rows`` with one row per key, where ``places`` says how many rows the key has.
+
+    Rows of hot keys stay where they are: their keys, fewer than ``HOT_PARTS`` whatever the input, are broadcast. The others are shuffled,
+    and none of their keys fills a task. Both frames are read twice; give staged ones.
+    """
+    hot = F.col(places) > rows.count() / HOT_PARTS
+    few = F.broadcast(firsts.where(hot))
+    rest = rows.join(F.broadcast(firsts.where(hot).select(*keys)), keys, "left_anti")
+    return rows.join(few, keys).unionByName(rest.join(firsts.where(~hot), keys))

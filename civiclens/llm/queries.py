@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civiclens.llm import bpe, clusters, collocations, decontam, lines, pages, passages, quality, shards, simhash, topk, warc
+from civiclens.llm import automata, bpe, clusters, collocations, decontam, lines, pages, passages, quality, shards, simhash, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_latent_decontamination": decontam.op1_latent_decontamination,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_maxscore_top5": topk.op8_maxscore_top5,
     "op9_pairwise_quality": quality.op9_pairwise_quality,
     "op10_line_variants": lines.op10_line_variants,
+    "op11_automata_words": automata.op11_automata_words,
     "op12_vantage_clusters": clusters.op12_vantage_clusters,
     "op13_branch_phrases": collocations.op13_branch_phrases,
 }

@@ -15,7 +15,7 @@ def test_query_agrees_with_its_sql(spark, folder, name):
 
 def test_all_operators_are_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
 
 
