@@ -38,7 +38,7 @@ UNKNOWN = "und"
 FILTER_BITS = 24
 WORD_SHIFT = 17
 """How far the first word's hash is moved before it meets the second's in a filter."""
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 """Bytes of text counted at a time; a text that is longer is cut where pieces end."""
 OPENED = 4
 """The first threshold is set for so many times the phrases wanted; each further round opens ``WIDER`` times as many."""
