@@ -2,7 +2,8 @@
 
 Every window of ``length`` words belongs to the smallest hash of the ``gram``-word pieces in it, its anchor, so
 equal windows have the same anchor at the same distance wherever they stand. Consecutive windows with one anchor
-form a fragment, in which no two windows are equal. Of equal fragments the earliest is the reference; the others are
+form a fragment, in which no two windows are equal; one alone with its anchor is done, which a bit field of fixed size tells before
+anything is shuffled. Of equal fragments the earliest is the reference; the others are
 repeated whole. The references that share an anchor are a shard: it has a suffix automaton, and its fragments are streamed
 through it in the order of the corpus, each before it is added. Matching statistics, the length of the
 longest match that ends at a word, give the maximal spans that stand in an earlier fragment.
@@ -20,10 +21,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, Scratch, join_counted, map_batches, table, utf8
+from civiclens.llm.common import Batches, Scratch, bit_field, has_bit, join_counted, map_batches, table, utf8
 
 col = F.col
 
@@ -34,6 +36,8 @@ HOT = 256
 CHUNK = 4 << 20
 """Bytes of text hashed at a time."""
 ROWS = 1 << 16
+FILTER_BITS = 27
+"""Bits of the field (16 MB, whatever the input) that tells which anchors can occur twice."""
 BASE = 0x9E3779B97F4A7C15
 ODD = np.uint64(0xFF51AFD7ED558CCD)
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -139,12 +143,24 @@ def _parts(batches: Batches, length: int) -> Iterator[tuple[list, list[bytes], n
         yield keys, texts, *hashed_words(texts)[:2], 0
 
 
-def _cut(bodies: DataFrame, length: int, gram: int) -> DataFrame:
-    """All fragments, with the first word's number in the text."""
+def _anchors(bodies: DataFrame, length: int, gram: int) -> DataFrame:
+    """The anchors of all fragments."""
+
+    def run(batches: Batches) -> Batches:
+        for _, _, hashes, owner, _ in _parts(batches, length):
+            yield pa.RecordBatch.from_arrays([pa.array(fragments(hashes, owner, length, gram)[2])], ["anchor"])
+
+    return map_batches(bodies, run, "anchor long")
+
+
+def _cut(bodies: DataFrame, length: int, gram: int, met: Broadcast) -> DataFrame:
+    """The fragments whose anchors ``met`` has, with the first word's number in the text."""
 
     def run(batches: Batches) -> Batches:
         for keys, _, hashes, owner, before in _parts(batches, length):
-            starts, counts, anchors, digests = fragments(hashes, owner, length, gram)
+            found = fragments(hashes, owner, length, gram)
+            several = has_bit(met.value, found[2] & ((1 << FILTER_BITS) - 1))
+            starts, counts, anchors, digests = (part[several] for part in found)
             docs, tags = (np.array(k, dtype=np.int64) for k in zip(*keys))
             own = owner[starts] if len(starts) else starts
             at = starts - np.searchsorted(owner, own) + before
@@ -329,11 +345,16 @@ def repeated_words(bodies: DataFrame, length: int, gram: int, scratch: Scratch)
 
     ``bodies`` has doc and tag (long), which together name a text, and body (binary).
     """
-    cut = scratch.stage(_cut(bodies, length, gram), "fragments")
+    anchors = _anchors(bodies, length, gram).groupBy("anchor").agg(F.count("*").alias("places")).where("places > 1")
+    met = bit_field(anchors, col("anchor").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), FILTER_BITS)
+    scratch.release()
+    # A fragment alone with its anchor holds no window that stands elsewhere.
+    cut = scratch.stage(_cut(bodies, length, gram, met), "fragments")
     first = cut.groupBy("anchor", "digest").agg(F.min(_at()).alias("first"), F.first("n").alias("n"), F.count("*").alias("places"))
     first = scratch.stage(first, "references")
-    met = join_counted(cut, first.where("places > 1").select("anchor", "digest", "first", "places"), ["anchor", "digest"], "places")
-    copies = met.where(_at() > col("first")).select("doc", "tag", "start", (col("start") + col("n") + (length - 1)).alias("end"))
+    scratch.release()
+    copied = join_counted(cut, first.where("places > 1").select("anchor", "digest", "first", "places"), ["anchor", "digest"], "places")
+    copies = copied.where(_at() > col("first")).select("doc", "tag", "start", (col("start") + col("n") + (length - 1)).alias("end"))
     found = [scratch.stage(copies, "spans-copies")]
     scratch.drop("fragments")
     scratch.release()

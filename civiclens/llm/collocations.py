@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, Scratch, map_batches, table, utf8
+from civiclens.llm.common import Batches, Scratch, bit_field, map_batches, table, utf8
 
 col = F.col
 
@@ -146,16 +146,7 @@ def _bucket(first: str, second: str | None = None) -> Column:
 
 
 def _filter(frame: DataFrame, bucket: Column) -> Broadcast:
-    """A bit per bucket, built from bitmaps of 4 KB that tasks merge."""
-    marks = frame.select((bucket + 1).alias("bucket"))  # bitmaps are numbered from 1
-    number, place = F.bitmap_bucket_number("bucket"), F.bitmap_bit_position("bucket")
-    found = marks.groupBy(number.alias("number")).agg(F.bitmap_construct_agg(place).alias("bits"))
-    bits = np.zeros(1 << FILTER_BITS - 3, dtype=np.uint8)
-    for row in found.collect():  # 512 rows
-        part = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
-        start = (row["number"] - 1) * len(part)
-        bits[start : start + len(part)] = part
-    return frame.sparkSession.sparkContext.broadcast(bits)
+    return bit_field(frame, bucket, FILTER_BITS)
 
 
 def _counted(documents: DataFrame, words: int, filters: list[Broadcast]) -> DataFrame:

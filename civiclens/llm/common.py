@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,3 +97,23 @@ def join_counted(rows: DataFrame, firsts: DataFrame, keys: list[str], places: st
     few = F.broadcast(firsts.where(hot))
     rest = rows.join(F.broadcast(firsts.where(hot).select(*keys)), keys, "left_anti")
     return rows.join(few, keys).unionByName(rest.join(firsts.where(~hot), keys))
+
+
+def bit_field(frame: DataFrame, bucket: Column, bits: int) -> Broadcast:
+    """A bit for each of ``2**bits`` buckets, set where a row is, packed into bytes; its size does not depend on the rows.
+
+    Tasks merge bitmaps of 4 KB, and the driver puts these together.
+    """
+    marks = frame.select((bucket + 1).alias("bucket"))  # bitmaps are numbered from 1
+    number, place = F.bitmap_bucket_number("bucket"), F.bitmap_bit_position("bucket")
+    found = marks.groupBy(number.alias("number")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    packed = np.zeros(1 << bits - 3, dtype=np.uint8)
+    for row in found.collect():
+        part = np.frombuffer(bytes(row["bits"]), dtype=np.uint8)
+        start = (row["number"] - 1) * len(part)
+        packed[start : start + len(part)] = part
+    return frame.sparkSession.sparkContext.broadcast(packed)
+
+
+def has_bit(packed: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return (packed[buckets >> 3] >> (buckets & 7).astype(np.uint8) & 1).astype(bool)
