@@ -27,7 +27,7 @@ HEADLINE = (
     "requests_by_month",
     "join_service_department",
 )
-ONCE = ("ingest_append", "resumable_ingest", "aligned_append", "csv_roundtrip", "model_benchmark", "closure_regression")
+ONCE = ("ingest_append", "resumable_ingest", "aligned_append", "csv_roundtrip", "model_benchmark", "closure_regression", "incremental_dedup", "stable_keys", "incremental_fact")
 RUNS = 3
 
 

@@ -78,6 +78,20 @@ def dense_ids(frame: DataFrame, order: Sequence[Column], id_column: str, stage:
     )
 
 
+def numbered(
+    frame: DataFrame, order: Sequence[Column], id_column: str, stage: Stage, group: str | None = None, rank: str | None = None
+) -> DataFrame:
+    """``dense_ids`` and, for a group that leads the order and is never NULL, the rank inside it."""
+    rows = dense_ids(frame, order, id_column, stage)
+    if group:
+        rows = rank_within(rows, group, id_column, rank)
+    return rows.drop(BLOCK)
+
+
+Number = Callable[..., DataFrame]
+"""``numbered`` or something with its arguments, such as ``Registry.number``."""
+
+
 def rank_within(numbered: DataFrame, group: str, id_column: str, rank_column: str) -> DataFrame:
     """Rank of each row inside its group, for rows numbered by ``dense_ids`` with the group
     as the leading sort key.

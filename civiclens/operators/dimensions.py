@@ -3,6 +3,7 @@
 Every builder takes the deduplicated requests, reduces them to distinct keys first and
 classifies those, so the CASE ladders run on few rows. Members are distinct over the raw
 text: padded and blank variants of one name are separate members, as in the source system.
+``number`` gives the ids: anew for each build, or from a registry that keeps those of earlier loads.
 """
 
 from __future__ import annotations
@@ -16,12 +17,11 @@ from pyspark.sql import functions as F
 from civiclens.functions import rules
 from civiclens.functions.calendar import calendar_attributes
 from civiclens.functions.keys import (
-    BLOCK,
+    Number,
     Stage,
-    dense_ids,
     location_hash,
     nulls_last,
-    rank_within,
+    numbered,
     trimmed_hash,
 )
 from civiclens.functions.text import clean, clean_or, try_double, try_int, try_timestamp
@@ -83,11 +83,11 @@ def _filled(default: str, *names: str) -> list[Column]:
     return [F.coalesce(col(name), F.lit(default)) for name in names]
 
 
-def dim_service(requests: DataFrame, stage: Stage) -> DataFrame:
+def dim_service(requests: DataFrame, stage: Stage, number: Number = numbered) -> DataFrame:
     keys = requests.select(*SERVICE_KEYS).where(any_present(*SERVICE_KEYS)).distinct()
     order = [*_filled("", *SERVICE_KEYS), *nulls_last(*SERVICE_KEYS)]
     kind = col("sr_type")
-    return dense_ids(keys, order, "service_id", stage).select(
+    return number(keys, order, "service_id", stage).select(
         "service_id",
         *_named(clean_service_keys()),
         rules.service_category(kind).alias("service_category"),
@@ -101,11 +101,11 @@ def dim_service(requests: DataFrame, stage: Stage) -> DataFrame:
     )
 
 
-def dim_department(requests: DataFrame, stage: Stage) -> DataFrame:
+def dim_department(requests: DataFrame, stage: Stage, number: Number = numbered) -> DataFrame:
     keys = requests.select(*DEPARTMENT_KEYS).distinct()
     order = [*clean_department_keys().values(), *nulls_last(*DEPARTMENT_KEYS)]
     owner = col("owner_department")
-    return dense_ids(keys, order, "department_id", stage).select(
+    return number(keys, order, "department_id", stage).select(
         "department_id",
         *_named(clean_department_keys()),
         rules.department_type(owner).alias("department_type"),
@@ -129,7 +129,7 @@ def dim_time(requests: DataFrame) -> DataFrame:
     )
 
 
-def dim_geography(requests: DataFrame, stage: Stage) -> DataFrame:
+def dim_geography(requests: DataFrame, stage: Stage, number: Number = numbered) -> DataFrame:
     keys = (
         requests.select(*GEOGRAPHY_KEYS)
         .where(any_present("community_area", "ward", "police_district"))
@@ -141,7 +141,7 @@ def dim_geography(requests: DataFrame, stage: Stage) -> DataFrame:
     ]
     area, district, ward = col("community_area"), col("police_district"), try_int("ward")
     cleaned = clean_geography_keys()
-    return dense_ids(keys, order, "geography_id", stage).select(
+    return number(keys, order, "geography_id", stage).select(
         "geography_id",
         cleaned["community_area"].alias("community_area"),
         rules.labelled("Community Area ", clean("community_area")).alias("community_area_name"),
@@ -173,10 +173,10 @@ def infrastructure_profile() -> dict[str, Column]:
     }
 
 
-def dim_infrastructure(requests: DataFrame, stage: Stage) -> DataFrame:
+def dim_infrastructure(requests: DataFrame, stage: Stage, number: Number = numbered) -> DataFrame:
     keys = requests.select(*INFRASTRUCTURE_KEYS).where(any_present(*INFRASTRUCTURE_KEYS)).distinct()
     order = [*_filled("Unknown", *INFRASTRUCTURE_KEYS), *nulls_last(*INFRASTRUCTURE_KEYS)]
-    return dense_ids(keys, order, "infrastructure_id", stage).select(
+    return number(keys, order, "infrastructure_id", stage).select(
         "infrastructure_id",
         *_named(clean_infrastructure_keys()),
         *_named(infrastructure_profile()),
@@ -205,14 +205,14 @@ def clean_location() -> dict[str, Column]:
     return text
 
 
-def dim_location(requests: DataFrame, stage: Stage) -> DataFrame:
+def dim_location(requests: DataFrame, stage: Stage, number: Number = numbered) -> DataFrame:
     """One row per distinct cleaned place, hashed after the DISTINCT. The key is the content hash plus the rank of the
     row among those sharing the hash; all remaining columns settle the order."""
     columns = list(clean_location())
     places = requests.select(*_named(clean_location())).distinct()
     places = places.withColumn("location_hash", location_hash({c: col(c) for c in columns}))
-    numbered = dense_ids(places, nulls_last("location_hash", *columns), "location_id", stage)
-    ranked = rank_within(numbered, "location_hash", "location_id", "_rank").drop(BLOCK)
+    order = nulls_last("location_hash", *columns)
+    ranked = number(places, order, "location_id", stage, group="location_hash", rank="_rank")
 
     address, street, ward = col("street_address"), col("street_name"), col("ward")
     latitude, longitude = col("latitude"), col("longitude")

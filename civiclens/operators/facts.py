@@ -156,17 +156,13 @@ def attach_by_address_key(requests: DataFrame, dim_location: DataFrame) -> DataF
     return joined.withColumn("location_id", F.coalesce("location_id", F.lit(UNKNOWN_MEMBER)))
 
 
-def fact_requests(
-    requests: DataFrame,
-    dim_service: DataFrame,
-    dim_department: DataFrame,
-    dim_location: DataFrame,
-    stage: Stage,
+def fact_rows(
+    requests: DataFrame, dim_service: DataFrame, dim_department: DataFrame, dim_location: DataFrame, *carried: str
 ) -> DataFrame:
-    """The fact the reports read: one row per request, unknown ids are -1.
+    """One row per request with the ids of its members, -1 where unknown, and the request columns to carry on.
 
     Departments match the *creating* department against names that come from owning
-    departments, as the source system does. ``year`` and ``month`` are the partition columns.
+    departments, as the source system does.
     """
     services = unique_members(dim_service, ["service_name"], "service_id")
     departments = unique_members(dim_department, ["department_name"], "department_id")
@@ -175,7 +171,7 @@ def fact_requests(
         joined, departments, {"department_name": F.trim("created_department")}, "department_id"
     )
     joined = attach_by_address_key(with_location_key(joined), dim_location)
-    rows = joined.select(
+    return joined.select(
         "sr_number",
         strict_timestamp("created_date").alias("created_date"),
         strict_timestamp("closed_date").alias("closed_date"),
@@ -184,7 +180,19 @@ def fact_requests(
         F.coalesce("department_id", F.lit(UNKNOWN_MEMBER)).alias("department_id"),
         "location_id",
         strict_timestamp("created_date").cast("date").alias("date_id"),
+        *carried,
     )
+
+
+def fact_requests(
+    requests: DataFrame,
+    dim_service: DataFrame,
+    dim_department: DataFrame,
+    dim_location: DataFrame,
+    stage: Stage,
+) -> DataFrame:
+    """The fact the reports read; ``year`` and ``month`` are the partition columns."""
+    rows = fact_rows(requests, dim_service, dim_department, dim_location)
     numbered = dense_ids(rows, nulls_last("date_id", "sr_number"), "fact_id", stage)
     return numbered.select(
         "fact_id",

@@ -25,6 +25,7 @@ from civiclens.operators.dimensions import (
     infrastructure_profile,
 )
 from civiclens.operators.funnel import reduction_funnel
+from civiclens.operators.incremental import Lake
 from civiclens.operators.sampling import first_rows, hash_sample
 from civiclens.plans.workspace import DIMENSIONS, Workspace, workspace
 from civiclens.schema import RAW_SCHEMA
@@ -281,6 +282,63 @@ def csv_roundtrip(ws: Workspace) -> DataFrame:
     return files.read_csv(ws.spark, folder, export.schema)
 
 
+def feed_batches(raw: DataFrame) -> list[DataFrame]:
+    """The feed in three batches: the older requests, the newer ones, and corrections that date one month's back by 40 days."""
+    day = F.date_sub(F.left("created_date", F.lit(10)).cast("date"), 40).cast("string")
+    corrected = F.concat(day, F.substring("created_date", 11, 100))
+    older = col("created_date") < "1995-01-01"
+    return [
+        raw.where(older),
+        raw.where(F.coalesce(~older, F.lit(True))),
+        raw.where(ingest.created_month() == "1996-03").withColumn("created_date", corrected),
+    ]
+
+
+def _lake(ws: Workspace) -> Lake:
+    """Three batches merged and loaded one by one, with the members as they were after the first two."""
+
+    def fill(folder: str) -> None:
+        lake = Lake(ws.spark, folder)
+        for n, batch in enumerate(feed_batches(ws.raw), start=1):
+            lake.merge(batch)
+            lake.load_fact()
+            if n < 3:
+                members = _members(lake).withColumn("load", F.lit(n))
+                members.write.parquet(f"{folder}/members_after/{n}")
+
+    return Lake(ws.spark, ws.once("lake", fill))
+
+
+def _members(lake: Lake) -> DataFrame:
+    services = lake.dimension("dim_service").select(
+        F.lit("dim_service").alias("dimension"), col("service_id").alias("member_id"), col("service_hash").alias("member_key")
+    )
+    return services.union(lake.dimension("dim_location").select(F.lit("dim_location"), "location_id", "location_key"))
+
+
+def incremental_dedup(ws: Workspace) -> DataFrame:
+    """The earliest record of each request over three merges."""
+    return _lake(ws).requests().select("sr_number", "created_date", "sr_type", ingest.MONTH_COLUMN)
+
+
+def stable_keys(ws: Workspace) -> DataFrame:
+    """Members with their ids after the first and after the second load."""
+    root = _lake(ws).root
+    schema = "dimension string, member_id long, member_key string, load int"
+    return ws.spark.read.schema(schema).parquet(f"{root}/members_after/1", f"{root}/members_after/2")
+
+
+def incremental_fact(ws: Workspace) -> DataFrame:
+    """The fact after three loads with the names of its members."""
+    lake = _lake(ws)
+    services = lake.dimension("dim_service").select("service_id", "service_name")
+    departments = lake.dimension("dim_department").select("department_id", "department_name")
+    named = lake.fact().join(services, "service_id", "left").join(departments, "department_id", "left")
+    return named.select(
+        "fact_id", "sr_number", "created_date", "status", "service_name", "department_name", "date_id", "year", "month"
+    )
+
+
 def pending_months(ws: Workspace) -> DataFrame:
     """Months still to load when the log holds all months before 1996."""
     months = reports.counts_by(
@@ -345,6 +403,9 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "month_calendar": lambda ws: ingest.month_calendar(ws.raw),
     "ingest_append": ingest_append,
     "resumable_ingest": resumable_ingest,
+    "incremental_dedup": incremental_dedup,
+    "stable_keys": stable_keys,
+    "incremental_fact": incremental_fact,
     "schema_evolution": schema_evolution,
     "aligned_append": aligned_append,
     "csv_roundtrip": csv_roundtrip,

@@ -366,8 +366,18 @@ SELECT f.*, {", ".join(f"c{n}.code AS {c}_code" for n, c in enumerate(_ENCODED))
 FROM featured f
 {_CODES}"""
 
+_RELATIONS["batches"] = """
+SELECT *, CASE WHEN created_date < '1995-01-01' THEN 1 ELSE 2 END AS load FROM raw_requests
+UNION ALL
+SELECT * REPLACE (CAST(CAST(left(created_date, 10) AS DATE) - 40 AS VARCHAR) || substring(created_date, 11) AS created_date), 3
+FROM raw_requests WHERE left(created_date, 7) = '1996-03'"""
+_RELATIONS["merged"] = """
+SELECT * FROM batches QUALIFY row_number() OVER (PARTITION BY sr_number ORDER BY created_date NULLS LAST) = 1"""
+
 _NEEDS = {
     "raw_requests": (),
+    "batches": ("raw_requests",),
+    "merged": ("batches",),
     "requests": ("raw_requests",),
     "dim_service": ("requests",),
     "dim_department": ("requests",),
@@ -535,6 +545,28 @@ _SAMPLE_HASH = "md5(concat_ws('|', sr_number, created_date, '42'))"
 _GEO_SAMPLE = f"""SELECT sr_number, sr_type, created_date, latitude, longitude FROM raw_requests
     WHERE latitude IS NOT NULL AND longitude IS NOT NULL ORDER BY {_SAMPLE_HASH}, 1, 2, 3, 4, 5 LIMIT """
 
+_SERVICE_ORDER = """coalesce(sr_type, ''), coalesce(sr_short_code, ''), coalesce(origin, ''),
+    sr_type NULLS LAST, sr_short_code NULLS LAST, origin NULLS LAST"""
+_STABLE_KEYS = f""", services AS (
+    SELECT sr_type, sr_short_code, origin, min(load) AS load FROM batches
+    WHERE coalesce(sr_type, sr_short_code, origin) IS NOT NULL AND load < 3 GROUP BY ALL
+), numbered AS (
+    SELECT 'dim_service' AS dimension, row_number() OVER (ORDER BY load, {_SERVICE_ORDER}) AS member_id,
+        {_SERVICE_HASH} AS member_key, load FROM services
+), places AS (
+    SELECT {_LOCATION_HASH} AS h, {_PLACES}, load FROM batches WHERE load < 3
+), located AS (
+    SELECT h, {", ".join(_PLACE_COLUMNS)}, min(load) AS load FROM places GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY h ORDER BY load, {_PLACE_ORDER}) AS n FROM located
+), every AS (
+    SELECT * FROM numbered UNION ALL
+    SELECT 'dim_location', row_number() OVER (ORDER BY load, h, n), h || '_' || CAST(n AS VARCHAR), load FROM ranked
+)
+SELECT dimension, member_id, member_key, seen.load
+FROM every JOIN (VALUES (1), (2)) seen(load) ON every.load <= seen.load"""
+
+
 ORACLE: dict[str, str] = {
     "count_requests_per_service": _fact("SELECT service_id, count(*) AS cnt FROM fact_requests GROUP BY 1"),
     "top_10_services": _fact(
@@ -560,6 +592,15 @@ ORACLE: dict[str, str] = {
         FROM raw_requests)"""),
     "ingest_append": _raw(_INGESTED),
     "resumable_ingest": _raw(_INGESTED),
+    "incremental_dedup": _with("SELECT sr_number, created_date, sr_type, left(created_date, 7) AS ingest_month FROM merged", "merged"),
+    "stable_keys": _with("", "batches").rstrip() + _STABLE_KEYS,
+    "incremental_fact": _with(f"""SELECT row_number() OVER (ORDER BY CAST(created_date AS DATE) NULLS LAST, sr_number) AS fact_id, sr_number,
+        CAST(created_date AS TIMESTAMP) AS created_date, status, s.name AS service_name, d.name AS department_name,
+        CAST(created_date AS DATE) AS date_id, CAST(year(CAST(created_date AS DATE)) AS INTEGER) AS "year",
+        CAST(month(CAST(created_date AS DATE)) AS INTEGER) AS "month"
+        FROM merged
+        LEFT JOIN (SELECT DISTINCT {_SERVICE_NAME} AS name FROM batches) s ON trim(sr_type) = s.name
+        LEFT JOIN (SELECT DISTINCT {_DEPARTMENT_NAME} AS name FROM batches) d ON trim(created_department) = d.name""", "merged"),
     "schema_evolution": _raw("""SELECT sr_number, sr_type, created_date,
         CASE WHEN legacy_record THEN legacy_sr_number END AS legacy_sr_number,
         CASE WHEN NOT coalesce(legacy_record, false) THEN created_department END AS created_department,
