@@ -20,12 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclens.llm.common import Batches, Scratch, bit_field, has_bit, join_counted, map_batches, table, utf8
+from civiclens.llm.hashing import Rolling, hashed_words, mixed
 
 col = F.col
 
@@ -38,47 +38,7 @@ CHUNK = 4 << 20
 ROWS = 1 << 16
 FILTER_BITS = 27
 """Bits of the field (16 MB, whatever the input) that tells which anchors can occur twice."""
-BASE = 0x9E3779B97F4A7C15
-ODD = np.uint64(0xFF51AFD7ED558CCD)
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-IS_SPACE = np.zeros(256, dtype=bool)
-IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def _mixed(values: np.ndarray) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(33))) * ODD
-    return values ^ (values >> np.uint64(29))
-
-
-def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of every word its hash, the number of its text and the place of its first byte in the texts joined by a line feed."""
-    body = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
-    inside = ~IS_SPACE[body]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
-    starts, lengths = edges[::2], edges[1::2] - edges[::2]
-    if not len(starts):
-        return np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), starts
-    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(body[inside])]
-    words = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-    distinct = np.array([xxhash.xxh3_64_intdigest(w) for w in words.dictionary.to_pylist()], dtype=np.uint64)
-    owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), starts, side="right")
-    return distinct[words.indices.to_numpy(zero_copy_only=False)], owner, starts
-
-
-class Rolling:
-    """Hashes of runs of words, from prefix sums modulo 2**64."""
-
-    def __init__(self, hashes: np.ndarray):
-        n = len(hashes)
-        powers, self.inverse = np.ones(n + 1, dtype=np.uint64), np.ones(n + 1, dtype=np.uint64)
-        powers[1:] = np.cumprod(np.full(n, BASE, dtype=np.uint64))
-        self.inverse[1:] = np.cumprod(np.full(n, pow(BASE, -1, 1 << 64), dtype=np.uint64))
-        self.sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(hashes * powers[:n], out=self.sums[1:])
-
-    def of(self, start: np.ndarray | slice, end: np.ndarray | slice) -> np.ndarray:
-        return _mixed((self.sums[end] - self.sums[start]) * self.inverse[start])
 
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
@@ -327,7 +287,7 @@ def _by_windows(references: DataFrame, length: int, scratch: Scratch) -> DataFra
             for doc, tag, start, words in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
                 hashes = np.frombuffer(words.as_buffer(), dtype=np.uint64)
                 first = np.arange(len(hashes) - length + 1)
-                keys = [Rolling(h).of(first, first + length).view(np.int64) for h in (hashes, _mixed(hashes + np.uint64(1)))]
+                keys = [Rolling(h).of(first, first + length).view(np.int64) for h in (hashes, mixed(hashes + np.uint64(1)))]
                 held.append((np.full(len(first), doc), np.full(len(first), tag), (first + start).astype(np.int32), *keys))
             columns = [np.concatenate(c) for c in zip(*held)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["doc", "tag", "start", "key1", "key2"])

@@ -13,23 +13,30 @@ place of pairs: lines that thousands of documents share, or that differ in one w
 thousands, cost one row each. Before that, equal lines are one line, and of the rest only those can have a
 partner that share their first or last half with another line; only these emit variants.
 
-Of a long line's pairs of words next to each other, k edits change 2k at most; so of two lines k edits apart
-the 2k+1 rarest pairs of one and of the other have one in common. The earliest line of each such key is compared first, and
-lines that find no partner that way are compared with all earlier ones of their keys.
+The variants of k edits would be n^k. Of a long line's pairs of words next to each other, k edits change 2k at most; so of two lines k edits apart
+the 2k+1 rarest pairs of one and of the other have one in common. Pairs that only equal lines have are left out. The earliest
+line of each such key is compared first, and lines that find no partner that way are compared with all earlier ones of their keys.
+
+Lines are cut, hashed and given their keys for a whole chunk of texts at a time. Which lines are the first of their kind, and which keys
+meet, tasks know from bit fields of fixed size, so what cannot meet is left out before it is shuffled; a false positive is left
+out by the exact join behind.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, Scratch, map_batches, table, utf8
-from civiclens.llm.prefixes import frequencies, rarest
+from civiclens.llm.common import Batches, Scratch, bit_field, has_bit, join_counted, map_batches, table, utf8
+from civiclens.llm.hashing import Rolling, hashed_words, mixed
 
 col = F.col
 
@@ -44,6 +51,14 @@ BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 WHOLE = -1
 """Place of the variant that lacks no word."""
 FLUSH = 1 << 16
+CHUNK = 1 << 20
+"""Bytes of text hashed at a time; a longer text is cut at line ends."""
+BUCKETS = 1 << 18
+"""Counters of how often pairs of words occur; the rarest ones are taken as keys."""
+SLICE = 1 << 12
+FILTER_BITS = 27
+LINE_END = re.compile(rb"\n")
+AT = ("doc", "tag", "line")
 
 
 def edits(n: int) -> int:
@@ -51,67 +66,196 @@ def edits(n: int) -> int:
     return max(1, n // EDIT_WORDS)
 
 
-def _half_keys(words: list[bytes]) -> list[int]:
-    """Keys of which lines one word apart share at least one: outer halves of this length and of one more word."""
-    n = len(words)
-    keys = []
-    for half in {(n - 1) // 2, n // 2}:
-        for side, part in ((0, words[:half]), (1, words[n - half :])):
-            keys.append(xxhash.xxh3_64_intdigest(b" ".join(part), 2 * half + side) - (1 << 63))
-    return keys
+def _parts(batches: Batches) -> Iterator[tuple[list[tuple], list[bytes], list[int]]]:
+    """(doc, tag), text and number of the first line of texts of about ``CHUNK`` bytes; a long text is cut at line ends."""
+    keys, texts, firsts, size = [], [], [], 0
+    for batch in batches:
+        for doc, tag, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            body, start, number = body.as_py(), 0, 0
+            while start < len(body):
+                end = LINE_END.search(body, start + CHUNK)
+                end = end.end() if end else len(body)
+                part = body[start:end]
+                keys.append((doc, tag))
+                texts.append(part)
+                firsts.append(number)
+                number, start, size = number + part.count(b"\n"), end, size + len(part)
+                if size >= CHUNK:
+                    yield keys, texts, firsts
+                    keys, texts, firsts, size = [], [], [], 0
+    if texts:
+        yield keys, texts, firsts
+
+
+class Lines:
+    """The lines with words of some texts: first word and word behind the last one, and where each stands."""
+
+    def __init__(self, keys: list[tuple], texts: list[bytes], firsts: list[int]):
+        self.hashes, owner, places = hashed_words(texts)
+        body = np.frombuffer(b"\n".join(texts), dtype=np.uint8)
+        ends = np.flatnonzero(body == 10)
+        line = np.searchsorted(ends, places)
+        head = np.flatnonzero(np.diff(line, prepend=-1))
+        self.start, self.end = head, np.append(head[1:], len(line))[: len(head)]
+        self.n = self.end - self.start
+        # Line ends before a text: those inside the earlier texts and one behind each.
+        starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])[:-1]
+        own = owner[head]
+        self.line = line[head] - np.searchsorted(ends, starts)[own] + np.array(firsts, dtype=np.int64)[own]
+        self.doc, self.tag = (np.array(k, dtype=np.int64)[own] for k in zip(*keys))
+        self.rolling = Rolling(self.hashes)
+
+    @functools.cached_property
+    def digests(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits of each line's words."""
+        second = Rolling(mixed(self.hashes + np.uint64(1)))
+        return tuple(r.of(self.start, self.end).view(np.int64) for r in (self.rolling, second))
+
+    def halves(self) -> pa.ListArray:
+        """Keys of which lines one word apart share at least one: outer halves of this length and of one more word."""
+        short = np.flatnonzero((self.n >= LEAST_WORDS - 1) & (self.n <= LONG_WORDS))
+        start, end, n = self.start[short], self.end[short], self.n[short]
+        rows, keys = [], []
+        for half, which in (((n - 1) // 2, n > 0), (n // 2, n % 2 == 0)):
+            for side, (low, high) in enumerate(((start, start + half), (end - half, end))):
+                found = mixed(self.rolling.of(low, high) + (2 * half + side).astype(np.uint64))
+                rows.append(short[which])
+                keys.append(found[which].view(np.int64))
+        row, key = np.concatenate(rows), np.concatenate(keys)
+        order = np.argsort(row, kind="stable")
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(self.n)))])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[order]))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, line and place in the line of all words next to each other in long lines."""
+        long = self.n >= LONG_WORDS
+        inside = np.repeat(long, self.n)
+        last = np.zeros(len(self.hashes), dtype=bool)
+        last[self.end - 1] = True
+        first = np.flatnonzero(inside & ~last)
+        line = np.repeat(np.arange(len(self.n)), self.n)[first]
+        return mixed(self.hashes[first] * BASES[0] + self.hashes[first + 1]), line, first - self.start[line]
+
+
+LINE_TABLE = "doc long, tag long, line int, n int, digest1 long, digest2 long, halves array<long>, counts binary"
+
+
+def line_table(documents: DataFrame) -> DataFrame:
+    """Place, words, digest and half keys of every line that is not blank.
+
+    Besides, each task adds the counts of the word pairs it has seen, in rows that have ``counts`` and as ``line`` the number of a
+    slice of the counters.
+    """
+
+    def run(batches: Batches) -> Batches:
+        seen = np.zeros(BUCKETS, dtype=np.int64)
+        for part in _parts(batches):
+            found = Lines(*part)
+            if not len(found.n):
+                continue
+            grams = found.pairs()[0]
+            seen += np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            n = len(found.n)
+            columns = [found.doc, found.tag, found.line.astype(np.int32), found.n.astype(np.int32), *found.digests]
+            yield _batch([*(pa.array(c) for c in columns), found.halves(), pa.nulls(n, pa.binary())])
+        slices = [(k, seen[k * SLICE : (k + 1) * SLICE]) for k in range(BUCKETS // SLICE)]
+        slices = [(k, counts.tobytes()) for k, counts in slices if counts.any()]
+        if slices:
+            n = len(slices)
+            none = [pa.nulls(n, t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()))]
+            none[2] = pa.array([k for k, _ in slices], pa.int32())
+            yield _batch([*none, pa.array([c for _, c in slices], pa.binary())])
+
+    def _batch(columns: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in LINE_TABLE.split(", ")])
+
+    return map_batches(documents, run, LINE_TABLE)
 
 
-def line_keys(documents: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, line, 128-bit digest, half keys (of lines that may be one word apart) and whether it is long, of every line that is not blank."""
+def pair_counts(lines: DataFrame) -> Broadcast:
+    """How often each bucket of word pairs occurs; 2 MB whatever the input."""
 
     def run(batches: Batches) -> Batches:
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            rows: list[tuple] = []
-            for doc_id, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for number, line in enumerate(body.as_py().split(b"\n")):
-                    words = line.split()
-                    if words:
-                        keys = _half_keys(words) if least_words - 1 <= len(words) <= LONG_WORDS else []
-                        long = len(words) >= LONG_WORDS
-                        rows.append((doc_id, number, xxhash.xxh3_128_digest(b" ".join(words)), keys, long))
-                if len(rows) >= FLUSH:
-                    yield _batch(rows)
-                    rows = []
-            if rows:
-                yield _batch(rows)
-
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
-        ids, numbers, digests, keys, long = zip(*rows)
-        columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(digests, pa.binary())]
-        return pa.RecordBatch.from_arrays(
-            [*columns, pa.array(keys, pa.list_(pa.int64())), pa.array(long)], ["doc_id", "line", "digest", "halves", "long"]
-        )
-
-    return map_batches(documents, run, "doc_id long, line int, digest binary, halves array<long>, long boolean")
+            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                sums[k] = sums.get(k, 0) + np.frombuffer(counts.as_buffer(), dtype=np.int64)
+        columns = [pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["line", "counts"])
+
+    counted = lines.where("counts IS NOT NULL").select("line", "counts").repartition(BUCKETS // SLICE, "line")
+    total = np.zeros(BUCKETS, dtype=np.int64)
+    for row in map_batches(counted, run, "line int, counts binary").collect():  # 64 rows
+        total[row["line"] * SLICE : (row["line"] + 1) * SLICE] = np.frombuffer(bytes(row["counts"]), dtype=np.int64)
+    return lines.sparkSession.sparkContext.broadcast(total)
+
+
+def _line_bucket(doc, tag, line, digest):
+    """Place of a line in the field of first ones, of numbers or of numpy arrays."""
+    return (digest ^ (tag >> 13) ^ (doc << 20) ^ (line << 7)) & ((1 << FILTER_BITS) - 1)
+
+
+def _line_bucket_column() -> Column:
+    parts = [col("digest1"), F.shiftright("tag", 13), F.shiftleft("doc", 20), F.shiftleft(col("line").cast("long"), 7)]
+    return functools.reduce(lambda a, b: a.bitwiseXOR(b), parts).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+
+
+def pair_keys(documents: DataFrame, counts: Broadcast, first_lines: Broadcast) -> DataFrame:
+    """The rarest pairs of the first long lines, with their place among the line's pairs, its words and its digest.
+
+    A pair that a line has several times is a key for each time.
+    """
+
+    def run(batches: Batches) -> Batches:
+        for part in _parts(batches):
+            found = Lines(*part)
+            if not len(found.n):
+                continue
+            first = has_bit(first_lines.value, _line_bucket(found.doc, found.tag, found.line, found.digests[0]))
+            grams, line, place = found.pairs()
+            kept = first[line]
+            grams, line, place = grams[kept], line[kept], place[kept]
+            if not len(grams):
+                continue
+            rarity = counts.value[(grams & np.uint64(BUCKETS - 1)).astype(np.int64)]
+            order = np.lexsort((place, grams, rarity, line))
+            grams, line, place = grams[order], line[order], place[order]
+            at = np.arange(len(grams))
+            head = np.append(True, line[1:] != line[:-1])
+            fresh = head | np.append(True, grams[1:] != grams[:-1])
+            rank = at - np.maximum.accumulate(np.where(head, at, 0))
+            again = at - np.maximum.accumulate(np.where(fresh, at, 0))
+            # Where each pair of the line stands among its sorted ones, as the bound on what two lines can share needs it.
+            most = np.maximum(1, found.n // EDIT_WORDS)
+            taken = rank <= GRAM_WORDS * most[line]
+            keys = grams[taken] + again[taken].astype(np.uint64) * BASES[1]
+            line = line[taken]
+            columns = [keys.view(np.int64), rank[taken].astype(np.int32), found.doc[line], found.tag[line]]
+            columns += [found.line[line].astype(np.int32), found.n[line].astype(np.int32), found.digests[0][line]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "place", *AT, "n", "digest1"])
+
+    return map_batches(documents, run, "key long, place int, doc long, tag long, line int, n int, digest1 long")
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words of the wanted lines, joined by single spaces."""
-    numbers = wanted.groupBy("doc_id").agg(F.collect_set("line").alias("lines"))
+    numbers = wanted.groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
     # The same plan at every size: texts are dealt by id, also while the numbers would fit a broadcast.
-    joined = documents.join(numbers.hint("merge"), "doc_id").select("doc_id", "body", "lines")
+    joined = documents.join(numbers.hint("merge"), ["doc", "tag"]).select("doc", "tag", "body", "lines")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = [
-                (doc_id, number, b" ".join(lines[number].split()))
-                for doc_id, body, numbers in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))
+                (doc, tag, number, b" ".join(lines[number].split()))
+                for doc, tag, body, numbers in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3))
                 for lines in [body.as_py().split(b"\n")]
                 for number in numbers.as_py()
-                if number < len(lines)
             ]
-            ids, numbers, words = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(words, pa.binary())],
-                ["doc_id", "line", "words"],
-            )
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*AT, "words"])
 
-    return map_batches(joined, run, "doc_id long, line int, words binary")
+    return map_batches(joined, run, "doc long, tag long, line int, words binary")
 
 
 def variant_hashes(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,13 +283,13 @@ def _variants(texts: DataFrame) -> DataFrame:
     def run(batches: Batches) -> Batches:
         for batch in batches:
             held, size = [], 0
-            for doc_id, number, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for doc, tag, line, words in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
                 parts = words.as_py().split(b" ")
                 if len(parts) > LONG_WORDS:
                     continue
                 first, second = variant_hashes(parts)
                 n = len(first) if len(parts) >= LEAST_WORDS else 1
-                held.append((first[:n], second[:n], np.arange(WHOLE, len(parts))[:n], doc_id, number))
+                held.append((first[:n], second[:n], np.arange(WHOLE, len(parts))[:n], doc, tag, line))
                 size += len(first)
                 if size >= FLUSH:
                     yield _variant_batch(held)
@@ -158,12 +302,10 @@ def _variants(texts: DataFrame) -> DataFrame:
         spread = lambda k, kind: np.repeat(np.array([h[k] for h in held], dtype=kind), sizes)
         columns = [np.concatenate([h[k] for h in held]) for k in range(3)]
         columns[2] = columns[2].astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c) for c in (*columns, spread(3, np.int64), spread(4, np.int32))],
-            ["key1", "key2", "place", "doc_id", "line"],
-        )
+        columns += [spread(3, np.int64), spread(4, np.int64), spread(5, np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key1", "key2", "place", *AT])
 
-    return map_batches(texts, run, "key1 long, key2 long, place int, doc_id long, line int")
+    return map_batches(texts, run, "key1 long, key2 long, place int, doc long, tag long, line int")
 
 
 def within_one_word(left: list[bytes], right: list[bytes]) -> bool:
@@ -212,7 +354,7 @@ def within_edits(left: list[bytes], right: list[bytes], most: int) -> bool:
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """doc_id and line of the pairs whose words are no more edits apart than allowed."""
+    """Places of the first of two lines whose words are no more edits apart than allowed."""
 
     def near(left: list[bytes], right: list[bytes]) -> bool:
         most = edits(min(len(left), len(right)))
@@ -222,27 +364,32 @@ def _verified(pairs: DataFrame) -> DataFrame:
         for batch in batches:
             kept = [
                 near(a.as_py().split(b" "), b.as_py().split(b" "))
-                for a, b in zip(batch.column(2), batch.column(3))
+                for a, b in zip(batch.column(3), batch.column(4))
             ]
-            yield batch.filter(pa.array(kept, pa.bool_())).select([0, 1])
+            yield batch.filter(pa.array(kept, pa.bool_())).select([0, 1, 2])
+
+    return map_batches(pairs.select(*AT, "words", "at_words"), run, "doc long, tag long, line int")
+
 
-    return map_batches(pairs, run, "doc_id long, line int")
+def _at(prefix: str = "") -> Column:
+    return F.struct(*[col(prefix + c).alias(c) for c in AT])
 
 
-def _at(doc: str = "doc_id", line: str = "line") -> Column:
-    return F.struct(col(doc).alias("doc_id"), col(line).alias("line"))
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The lines whose pairs (place and ``at_`` place of an earlier line) hold on the words."""
+    other = texts.select(*[col(c).alias(f"at_{c}") for c in (*AT, "words")])
+    joined = pairs.join(texts, list(AT)).join(other, [f"at_{c}" for c in AT])
+    return _verified(joined).distinct()
 
 
 def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id and line of every line up to ``LONG_WORDS`` words with an earlier one at most one word apart."""
+    """Place of every line up to ``LONG_WORDS`` words with an earlier one at most one word apart."""
     variants = scratch.stage(_variants(texts), "variants")
     at, key = _at(), ["key1", "key2"]
     # Most variants belong to one line; only the rest is looked at by place.
-    several = variants.groupBy(*key).agg(
-        *[f(c).alias(f"{name}_{c}") for c in ("doc_id", "line") for name, f in (("low", F.min), ("high", F.max))]
-    )
-    several = several.where("low_doc_id < high_doc_id OR low_line < high_line").select(*key)
+    several = variants.groupBy(*key).agg(F.min(at).alias("low"), F.max(at).alias("high")).where("low < high").select(*key)
     variants = scratch.stage(variants.join(several, key, "left_semi"), "met-variants")
+    scratch.drop("variants")
     by_place = variants.groupBy(*key, "place").agg(F.min(at).alias("first"))
     whole = F.min(F.when(col("place") == WHOLE, at))
     by_key = variants.groupBy(*key).agg(F.min(at).alias("any"), whole.alias("whole"))
@@ -252,101 +399,47 @@ def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
     earliest = lambda first: col(first).isNotNull() & (col(first) < at)
     partner = F.when(col("place") == WHOLE, col("any")).otherwise(col("whole"))
     found = (
-        met.select("doc_id", "line", partner.alias("first"))
-        .union(alike.select("doc_id", "line", "first"))
+        met.select(*AT, partner.alias("first"))
+        .union(alike.select(*AT, "first"))
         .where(earliest("first"))
-        .groupBy("doc_id", "line")
-        .agg(F.collect_set("first").alias("firsts"))
-        .select("doc_id", "line", F.explode("firsts").alias("first"))
+        .distinct()
+        .select(*AT, *[col(f"first.{c}").alias(f"at_{c}") for c in AT])
     )
-    found = scratch.stage(found.select("doc_id", "line", "first.*").toDF("doc_id", "line", "at_doc", "at_line"), "found")
-    other = texts.toDF("at_doc", "at_line", "at_words")
-    pairs = found.join(texts, ["doc_id", "line"]).join(other, ["at_doc", "at_line"])
-    return _verified(pairs.select("doc_id", "line", "words", "at_words")).distinct()
-
+    return _compared(scratch.stage(found, "found"), texts)
 
-def gram_hashes(words: list[bytes]) -> np.ndarray:
-    """Signed hashes of the words next to each other, with their number where some occur again."""
-    hashed = np.array([xxhash.xxh3_64_intdigest(w, 1) for w in words], dtype=np.uint64)
-    n = len(hashed) - GRAM_WORDS + 1
-    grams = hashed[:n].copy()
-    for k in range(1, GRAM_WORDS):
-        grams = grams * BASES[0] + hashed[k : k + n]
-    order = np.argsort(grams, kind="stable")
-    ranked = grams[order]
-    fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    if not fresh.all():
-        nth = np.arange(n) - np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-        grams[order] = ranked + nth.astype(np.uint64) * BASES[1]
-    return grams.view(np.int64)
-
-
-def _gram_sets(documents: DataFrame) -> DataFrame:
-    """doc_id, line and gram hashes of the long lines."""
 
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            rows, held = [], 0
-            for doc_id, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for number, line in enumerate(body.as_py().split(b"\n")):
-                    words = line.split()
-                    if len(words) >= LONG_WORDS:
-                        rows.append((doc_id, number, gram_hashes(words)))
-                        held += len(words)
-                if held >= 4 * FLUSH:
-                    yield _gram_batch(rows)
-                    rows, held = [], 0
-            if rows:
-                yield _gram_batch(rows)
-
-    def _gram_batch(rows: list[tuple]) -> pa.RecordBatch:
-        ids, numbers, grams = zip(*rows)
-        columns = [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(grams, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "line", "hashes"])
-
-    return map_batches(documents, run, "doc_id long, line int, hashes array<long>")
-
-
-def _gram_keys(documents: DataFrame) -> DataFrame:
-    """The rarest grams of the long lines with their place among the line's and the line's words."""
-    sets = _gram_sets(documents)
-    frequent = frequencies(sets)
+def met_keys(documents: DataFrame, lines: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rarest pairs that several different long lines have; of equal lines the earliest stands for all."""
+    long = firsts.where(col("n") >= LONG_WORDS).select("first.*", "digest1")
+    first_lines = bit_field(long, _line_bucket_column(), FILTER_BITS)
+    keys = scratch.stage(pair_keys(documents, pair_counts(lines), first_lines), "pair-keys")
+    several = keys.groupBy("key").agg(F.min("digest1").alias("low"), F.max("digest1").alias("high")).where("low < high")
+    several = scratch.stage(several.select("key"), "several")
+    field = bit_field(several, col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), FILTER_BITS)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            sizes, keys = [], []
-            for value in batch.column(2):
-                grams = value.values.to_numpy()
-                sizes.append(len(grams) + GRAM_WORDS - 1)
-                keys.append(rarest(grams, frequent.value, GRAM_WORDS * edits(sizes[-1]) + 1))
-            if not keys:
-                continue
-            each = [len(k) for k in keys]
-            columns = [np.concatenate(keys), np.concatenate([np.arange(n, dtype=np.int32) for n in each])]
-            columns += [np.repeat(np.array(c), each) for c in (batch.column(0), batch.column(1), np.array(sizes, dtype=np.int32))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "place", "doc_id", "line", "n"])
-
-    return map_batches(sets, run, "key long, place int, doc_id long, line int, n int")
-
-
-def met_grams(documents: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rarest grams that several long lines have; of equal lines the earliest stands for all."""
-    keys = scratch.stage(_gram_keys(documents), "gram-keys")
-    several = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    met = keys.join(several, "key", "left_semi")
-    met = scratch.stage(met.join(firsts.where("long").select("first.*"), ["doc_id", "line"], "left_semi"), "met-grams")
-    scratch.drop("gram-keys")
+            met = has_bit(field.value, batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1))
+            yield batch.filter(pa.array(met))
+
+    few = map_batches(keys.drop("digest1"), run, "key long, place int, doc long, tag long, line int, n int")
+    few = scratch.stage(few.join(several, "key", "left_semi"), "met-or-copied")
+    scratch.drop("pair-keys")
+    met = scratch.stage(few.join(long.drop("digest1"), list(AT), "left_semi"), "met-keys")
+    for done in ("several", "met-or-copied"):
+        scratch.drop(done)
     scratch.release()
     return met
 
 
 def near_long_copies(met: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """doc_id and line of every long line with an earlier one no more edits apart than the shorter allows."""
-    first = met.groupBy("key").agg(F.min(F.struct("doc_id", "line", "n", "place")).alias("first"))
-    met = scratch.stage(met.join(first, "key"), "starred-grams")
+    """Place of every long line with an earlier one no more edits apart than the shorter allows."""
+    members = [*AT, "n", "place"]
+    first = met.groupBy("key").agg(F.min(F.struct(*members)).alias("first"), F.count("*").alias("places"))
+    met = scratch.stage(join_counted(met, scratch.stage(first, "first-keys"), ["key"], "places").drop("places"), "starred-keys")
 
     def possible(n: Column, place: Column, earlier: Callable[[str], Column]) -> Column:
-        """Whether lines with a gram in common at these places can have as many as they need."""
+        """Whether lines with a pair in common at these places of their order can share as many as they need."""
         shorter = F.least(n, earlier("n"))
         most = F.greatest(F.lit(1), F.floor(shorter / EDIT_WORDS))
         behind = F.least(n - place, earlier("n") - earlier("place")) - (GRAM_WORDS - 1)
@@ -354,63 +447,58 @@ def near_long_copies(met: DataFrame, texts: DataFrame, scratch: Scratch) -> Data
         return (longer - shorter <= most) & (behind >= longer - (GRAM_WORDS - 1) - GRAM_WORDS * most)
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.stage(pairs.toDF("doc_id", "line", "at_doc", "at_line").distinct(), f"pairs-{name}")
-        other = texts.toDF("at_doc", "at_line", "at_words")
-        joined = pairs.join(texts, ["doc_id", "line"]).join(other, ["at_doc", "at_line"])
-        return scratch.stage(_verified(joined.select("doc_id", "line", "words", "at_words")).distinct(), f"near-{name}")
+        pairs = scratch.stage(pairs.distinct(), f"pairs-{name}")
+        return scratch.stage(_compared(pairs, texts), f"near-{name}")
 
     first = lambda c: col(f"first.{c}")
-    before = F.struct(first("doc_id"), first("line")) < F.struct("doc_id", "line")
+    before = F.struct(*[first(c) for c in AT]) < _at()
     pairs = met.where(before & possible(col("n"), col("place"), first))
-    found = compared(pairs.select("doc_id", "line", first("doc_id"), first("line")), "first")
-    left = met.where(before).drop("first").join(found, ["doc_id", "line"], "left_anti")
-    earlier = met.drop("first").select("key", *[col(c).alias(f"at_{c}") for c in ("doc_id", "line", "n", "place")])
-    rest = left.join(earlier, "key").where(
-        (F.struct(col("at_doc_id").alias("doc_id"), col("at_line").alias("line")) < F.struct("doc_id", "line"))
-        & possible(col("n"), col("place"), lambda c: col(f"at_{c}"))
-    )
-    rest = rest.select("doc_id", "line", "at_doc_id", "at_line")
-    return found.union(compared(rest, "rest"))
+    found = compared(pairs.select(*AT, *[first(c).alias(f"at_{c}") for c in AT]), "first")
+    left = met.where(before).drop("first").join(found, list(AT), "left_anti")
+    earlier = met.drop("first").select("key", *[col(c).alias(f"at_{c}") for c in members])
+    rest = left.join(earlier, "key").where((_at("at_") < _at()) & possible(col("n"), col("place"), lambda c: col(f"at_{c}")))
+    return found.union(compared(rest.select(*AT, *[f"at_{c}" for c in AT]), "rest"))
 
 
 def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and ``removed``, the numbers (from 0) of its lines that repeat an earlier one.
+    """doc, tag (the hash of its text) and ``removed``, the numbers (from 0) of its lines that repeat an earlier one.
 
     Lines end at a line feed; blank ones take no part. A line repeats another if the words are equal or,
     if the longer has ``LEAST_WORDS`` words, at most ``edits(words of the shorter)`` words are inserted, deleted or replaced. Earlier means a
     smaller doc_id, or a smaller number in the same document; lines are compared with the input, not with what is
-    left of it. A NULL text has no lines, a document without an id takes no part, and rows repeated whole
-    are one document.
+    left of it. A NULL text has no lines, a document without an id takes no part, rows repeated whole
+    are one document, and two texts under one id are two documents in the order of their hashes.
     """
     scratch = Scratch(frame.sparkSession, "lines")
-    documents = frame.where(col(id_column).isNotNull()).select(
-        col(id_column).cast("long").alias("doc_id"), utf8(text).alias("body")
+    documents = frame.where(col(id_column).isNotNull()).select(col(id_column).cast("long").alias("doc"), utf8(text).alias("body"))
+    documents = documents.select("doc", F.xxhash64("body").alias("tag"), "body")
+    lines = scratch.stage(line_table(documents), "lines")
+    placed, key = lines.where("counts IS NULL"), ["digest1", "digest2"]
+    firsts = placed.groupBy(*key).agg(
+        F.min(_at()).alias("first"), F.first("halves").alias("halves"), F.first("n").alias("n"), F.count("*").alias("places")
     )
-    lines = scratch.stage(line_keys(documents), "lines")
-    firsts = lines.groupBy("digest").agg(F.min(_at()).alias("first"), F.first("halves").alias("halves"), F.first("long").alias("long"), F.count("*").alias("n"))
     firsts = scratch.stage(firsts, "firsts")
-    copies = lines.select("doc_id", "line", "digest").join(firsts.where("n > 1").select("digest", "first"), "digest")
-    copies = scratch.stage(copies.where(_at() > col("first")).select("doc_id", "line"), "copies")
+    copied = join_counted(placed.select(*AT, *key), firsts.where("places > 1").select(*key, "first", "places"), key, "places")
+    copies = scratch.stage(copied.where(_at() > col("first")).select(*AT), "copies")
 
-    halves = firsts.select("first.*", F.explode("halves").alias("half"))
+    halves = firsts.where(F.size("halves") > 0).select("first.*", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1")  # a line has a half once
-    wanted = halves.join(shared, "half", "left_semi").select("doc_id", "line")
-    met = met_grams(documents, firsts, scratch)
-    wanted = scratch.stage(wanted.union(met.select("doc_id", "line")).distinct(), "wanted")
+    wanted = scratch.stage(halves.join(shared, "half", "left_semi").select(*AT).distinct(), "wanted")
+    scratch.release()
+    met = met_keys(documents, lines, firsts, scratch)
     for done in ("lines", "firsts"):
         scratch.drop(done)
-    scratch.release()
+    wanted = wanted.union(met.select(*AT)).distinct()
     texts = scratch.stage(_texts(documents, wanted), "texts")
     scratch.release()
     near = scratch.stage(near_copies(texts, scratch), "near")
-    for done in ("variants", "met-variants"):
-        scratch.drop(done)
+    scratch.drop("met-variants")
     scratch.release()
-    near = near.union(near_long_copies(met, texts, scratch))
-    for done in ("met-grams", "starred-grams"):
+    near = scratch.stage(near.union(near_long_copies(met, texts, scratch)), "near-all")
+    for done in ("met-keys", "starred-keys", "first-keys", "texts"):
         scratch.drop(done)
     scratch.release()
-    return copies.union(near).groupBy("doc_id").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    return copies.union(near).groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
 def without_lines(text: Column, removed: Column) -> Column:
@@ -421,20 +509,25 @@ def without_lines(text: Column, removed: Column) -> Column:
     return F.when(removed.isNull() | text.isNull(), text).otherwise(rebuilt)
 
 
+def _with_removed(documents: DataFrame) -> DataFrame:
+    """``row`` (all columns of a document) and ``removed``, the numbers of its repeated lines or NULL."""
+    columns = [documents[c] for c in documents.columns]
+    tag = F.xxhash64(F.coalesce(documents["text"].cast("binary"), F.lit(b"")))
+    keyed = documents.select(F.struct(*columns).alias("row"), documents["doc_id"].cast("long").alias("doc"), tag.alias("tag"))
+    return keyed.join(repeated_lines(documents.select("doc_id", "text")), ["doc", "tag"], "left").select("row", "removed")
+
+
 def deduplicated(documents: DataFrame) -> DataFrame:
     """The documents with their columns, their repeated lines removed; no document is dropped."""
-    removed = repeated_lines(documents).select(col("doc_id").alias("_id"), col("removed").alias("_removed"))
-    joined = documents.join(removed, documents["doc_id"] == removed["_id"], "left")
-    text = without_lines(documents["text"], col("_removed"))
+    joined = _with_removed(documents)
+    text = without_lines(col("row").getField("text"), col("removed"))
     columns = {"text": text, "n_chars": F.length(text).cast("long")}
-    return joined.select(*[columns.get(c, documents[c]).alias(c) for c in documents.columns])
+    return joined.select(*[columns.get(c, col("row").getField(c)).alias(c) for c in documents.columns])
 
 
 def op10_line_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Lines removed from every document, and the digest of what is left."""
-    documents = table(spark, folder, "documents").select("doc_id", "text")
-    removed = repeated_lines(documents)
-    joined = documents.join(removed, "doc_id", "left")
+    joined = _with_removed(table(spark, folder, "documents").select("doc_id", "text")).select("row.*", "removed")
     lines = F.filter(F.split("text", "\n", -1), lambda line: F.rlike(line, F.lit(r"[^\x20\x09-\x0D]")))
     return joined.select(
         "doc_id",

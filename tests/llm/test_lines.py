@@ -53,14 +53,14 @@ def made(seed):
 
 def test_lines_are_those_of_brute_force(texts):
     docs = made(4)
-    found = {r.doc_id: r.removed for r in repeated_lines(texts(*docs.items())).collect()}
+    found = {r.doc: r.removed for r in repeated_lines(texts(*docs.items())).collect()}
     assert found == brute(docs)
 
 
 def test_one_template_with_thousands_of_fillings(texts):
     """All lines differ from each other in one word: one row per line, not one per pair."""
     docs = {i: f"this line has ten words and the last is {i}" for i in range(3000)}
-    found = {r.doc_id: r.removed for r in repeated_lines(texts(*docs.items())).collect()}
+    found = {r.doc: r.removed for r in repeated_lines(texts(*docs.items())).collect()}
     assert found == {i: [0] for i in range(1, 3000)}
 
 

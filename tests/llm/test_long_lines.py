@@ -32,7 +32,7 @@ def test_longer_lines_may_have_more_edits(texts):
     rnd = random.Random(8)
     base = [[rnd.choice("abcdefgh") * rnd.randint(1, 9) for _ in range(rnd.choice([6, 7, 8, 19, 20, 21, 30, 35, 64, 100]))] for _ in range(30)]
     docs = {i: "\n".join(" ".join(edited(rnd, rnd.choice(base), rnd.randint(0, 12) // 2)) for _ in range(4)) for i in range(100)}
-    found = {r.doc_id: r.removed for r in repeated_lines(texts(*docs.items())).collect()}
+    found = {r.doc: r.removed for r in repeated_lines(texts(*docs.items())).collect()}
     assert found == brute(docs)
 
 
@@ -42,7 +42,7 @@ def test_two_and_three_edits_and_a_line_under_eight_words(texts):
     docs = {1: words, 2: three, 3: ["z", *three[1:]], 4: words[:25], 5: ["x", "y", *words[2:25]], 6: ["x", "y", "z", *words[3:25]]}
     docs |= {11: list("abcdefgh"), 12: list("abcdefg"), 13: list("abcdef"), 14: list("1234567"), 15: list("12345678")}
     found = repeated_lines(texts(*[(i, " ".join(line)) for i, line in docs.items()])).collect()
-    assert {r.doc_id for r in found} == {2, 3, 5, 6, 12, 15}
+    assert {r.doc for r in found} == {2, 3, 5, 6, 12, 15}
 
 
 def test_edits_are_counted_exactly():
