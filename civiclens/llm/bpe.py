@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, map_batches, table, utf8
+from civiclens.llm.common import Batches, free_name, map_batches, table, utf8
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -217,7 +217,7 @@ def encode(
     is empty and has no tokens. Bytes that are not UTF-8 are read as U+FFFD.
     """
     ranks = _rank_file(frame.sparkSession, vocabulary)
-    picked = frame.select(*keep, utf8(text).alias("_body"))
+    picked = frame.select(*keep, utf8(text).alias(free_name(keep, "_body")))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
     added = ["n_tokens long", "token_ids binary", *["decoded binary"] * round_trip]
 
@@ -247,7 +247,7 @@ def decode(
 ) -> DataFrame:
     """The ``keep`` columns and ``decoded``, the bytes of the packed ids of every row; NULL ids are none."""
     ranks = _rank_file(frame.sparkSession, vocabulary)
-    picked = frame.select(*keep, F.coalesce(F.col(ids), F.lit(b"")).alias("_ids"))
+    picked = frame.select(*keep, F.coalesce(F.col(ids), F.lit(b"")).alias(free_name(keep, "_ids")))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in picked.schema.fields[:-1]]
 
     def run(batches: Batches) -> Batches:

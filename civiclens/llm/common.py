@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -78,6 +78,14 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))
 
 
+def free_name(taken: Iterable[str], name: str) -> str:
+    """The name, with underscores behind it until no column has it."""
+    known = {t.lower() for t in taken}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def parts_for(rows: int, per_part: int, least: int, most: int) -> int:
     """How many parts to deal rows into: about ``per_part`` rows each, within fixed bounds."""
     return max(least, min(most, -(-rows // per_part)))

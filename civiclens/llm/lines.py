@@ -511,7 +511,7 @@ def without_lines(text: Column, removed: Column) -> Column:
 
 def _with_removed(documents: DataFrame) -> DataFrame:
     """``row`` (all columns of a document) and ``removed``, the numbers of its repeated lines or NULL."""
-    columns = [documents[c] for c in documents.columns]
+    columns = [documents[f"`{c}`"] for c in documents.columns]
     tag = F.xxhash64(F.coalesce(documents["text"].cast("binary"), F.lit(b"")))
     keyed = documents.select(F.struct(*columns).alias("row"), documents["doc_id"].cast("long").alias("doc"), tag.alias("tag"))
     return keyed.join(repeated_lines(documents.select("doc_id", "text")), ["doc", "tag"], "left").select("row", "removed")

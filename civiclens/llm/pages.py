@@ -236,8 +236,8 @@ def _structured(pages: DataFrame) -> DataFrame:
 
 def _unstructured(pages: DataFrame, spans: DataFrame) -> DataFrame:
     """Text of the pages with open blocks, by the host's repeated runs."""
-    by_page = spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    joined = pages.join(by_page, pages["page_id"] == by_page["doc"], "left")
+    by_page = spans.groupBy(col("doc").alias("page_id"), "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    joined = pages.join(by_page, ["page_id", "tag"], "left")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -259,15 +259,14 @@ def main_texts(
 
     A NULL page is empty, a page without text has the text ''. A URL without a host shares one group
     with the others like it. A page without an id takes no part in the comparison and keeps its open blocks
-    whole; rows repeated whole are one page. Other columns are ignored.
+    whole; rows repeated whole are one page, different pages under one id are several. Other columns are ignored.
     """
     scratch = Scratch(frame.sparkSession, "pages")
     pages = frame.select(col(id_column).cast("long").alias("page_id"), col(html).alias("html"), col(url).alias("url"))
     streams = scratch.stage(_streams(pages), "streams")
-    host = F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit("")))
-    bodies = streams.where("page_id IS NOT NULL").select(
-        col("page_id").alias("doc"), F.xxhash64(host).alias("salt"), "body"
-    )
+    host = F.xxhash64(F.lower(F.coalesce(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1), F.lit(""))))
+    streams = streams.withColumn("tag", F.xxhash64("body", host))
+    bodies = streams.where("page_id IS NOT NULL").select(col("page_id").alias("doc"), "tag", host.alias("salt"), "body")
     spans = scratch.stage(repeats(bodies, run_bytes, GRAM, True, scratch), "spans")
     return _structured(pages).union(_unstructured(streams.where(F.size("kinds") > 0), spans))
 

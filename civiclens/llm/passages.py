@@ -25,15 +25,17 @@ def without_repeats(
     """doc_id, n_bytes, spans (maximal removed runs of bytes) and kept (the bytes left) of every row.
 
     Texts are UTF-8 bytes, NULL is empty; strings do not cross texts and are judged on the input.
-    Earlier means a smaller id, or the same id and an earlier start. A row without an id takes no
-    part and is kept whole; rows repeated whole are one text and lose the same.
+    Earlier means a smaller id, or the same text and an earlier start. A row without an id takes no
+    part and is kept whole; rows repeated whole are one text and lose the same, and two texts under one id are two, in the
+    order of their hashes.
     """
     scratch = Scratch(frame.sparkSession, "passages")
     named = frame.select(col(id_column).cast("long").alias("doc_id"), utf8(text).alias("body"))
-    bodies = named.where("doc_id IS NOT NULL").select(col("doc_id").alias("doc"), F.lit(0).cast("long").alias("salt"), "body")
+    named = named.withColumn("tag", F.xxhash64("body"))
+    bodies = named.where("doc_id IS NOT NULL").select(col("doc_id").alias("doc"), "tag", F.lit(0).cast("long").alias("salt"), "body")
     found = repeats(bodies, length, gram, False, scratch)
-    by_doc = found.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    joined = named.join(by_doc, named["doc_id"] == by_doc["doc"], "left").select("doc_id", "body", "found")
+    by_row = found.groupBy(col("doc").alias("doc_id"), "tag").agg(F.collect_list(F.struct("start", "end")).alias("found"))
+    joined = named.join(by_row, ["doc_id", "tag"], "left").select("doc_id", "body", "found")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:

@@ -221,4 +221,6 @@ def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "quality")
     featured = scratch.stage(with_features(documents.select("doc_id", "text")).select("doc_id", "_features"), "features")
     ranking = fit_ranking(featured, labels, scratch)
-    return with_features(documents).where(ranking.score() >= ACCEPT).select(*documents.columns)
+    # The columns travel in one of their own, so none has a name that the features or the helpers have.
+    packed = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), "text")
+    return with_features(packed).where(ranking.score() >= ACCEPT).select("row.*")

@@ -2,9 +2,10 @@
 
 Every window of ``length`` bytes belongs to the smallest hash of the ``gram``-byte pieces in it, so
 equal windows meet under the same hash wherever they stand. Consecutive windows with the same
-hash form a fragment. Fragments are dealt to shards by that hash; of equal fragments one goes
+hash form a fragment; one alone under its hash is done, which a bit field of fixed size tells before
+anything is shuffled. Fragments are dealt to shards by that hash; of equal fragments one goes
 on for all. Each shard builds one suffix array of its fragments by induced sorting, and runs of
-common prefixes of ``length`` bytes tell which windows repeat.
+common prefixes of ``length`` bytes tell which windows repeat. Rows with different salts never meet, also not in one array.
 
 A hash under which very many different fragments meet (the edge of a passage that thousands
 of texts quote) is cut finer: into blocks of windows keyed by the bytes they have in common, and what
@@ -18,17 +19,18 @@ import functools
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, Scratch, map_batches
+from civiclens.llm.common import Batches, Scratch, bit_field, has_bit, join_counted, map_batches
 from civiclens.llm.suffix import permuted_prefixes, suffix_array
 
 col = F.col
 
 HOT = 512
 """Different fragments under one hash from which they are cut finer."""
-FEW = 8
+FEW = 64
 """Up to so many fragments under a hash are compared by their middles before they are sorted."""
 BLOCK = 8
 """Windows in a block of the finer cut."""
@@ -36,6 +38,8 @@ SHARD_BYTES = 1 << 20
 """Text of one suffix array, about; fragments under one hash stay together."""
 CHUNK = 1 << 18
 """Windows of a text hashed at a time."""
+FILTER_BITS = 27
+"""Bits of the field (16 MB, whatever the input) that tells which hashes can occur twice."""
 BASE = 0x9E3779B97F4A7C15
 ODD = np.uint64(0xFF51AFD7ED558CCD)
 CUT = "start int, n int, anchor long, digest long"
@@ -99,37 +103,59 @@ def fragments(body: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
-def _fragments(bodies: DataFrame, length: int, gram: int) -> DataFrame:
+ROW = ("doc", "tag")
+"""The id and the hash of its text name a row."""
+
+
+def _packed(batches: Batches) -> Batches:
+    """Small batches of many short texts, put together."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= 1 << 16:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _bucket(salt: int, anchors: np.ndarray) -> np.ndarray:
+    return (anchors ^ salt) & ((1 << FILTER_BITS) - 1)
+
+
+def _anchors(bodies: DataFrame, length: int, gram: int) -> DataFrame:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for salt, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                anchors = fragments(body.as_py(), length, gram)[2]
+                if len(anchors):
+                    salts = np.full(len(anchors), salt, dtype=np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(salts), pa.array(anchors)], ["salt", "anchor"])
+
+    return map_batches(bodies.select("salt", "body"), lambda batches: _packed(run(batches)), "salt long, anchor long")
+
+
+def _fragments(bodies: DataFrame, length: int, gram: int, met: Broadcast) -> DataFrame:
+    """The fragments whose hashes ``met`` has."""
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for i in range(batch.num_rows):
-                starts, counts, anchors, digests = fragments(batch.column(2)[i].as_py(), length, gram)
+            for doc, tag, salt, body in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
+                found = fragments(body.as_py(), length, gram)
+                if not len(found[0]):
+                    continue
+                several = has_bit(met.value, _bucket(salt, found[2]))
+                starts, counts, anchors, digests = (part[several] for part in found)
                 for at in range(0, len(starts), 1 << 16):
                     part = slice(at, at + (1 << 16))
-                    n = len(starts[part])
-                    columns = [
-                        pa.array(np.full(n, batch.column(0)[i].as_py(), dtype=np.int64)),
-                        pa.array(np.full(n, batch.column(1)[i].as_py(), dtype=np.int64)),
-                        pa.array(starts[part].astype(np.int32)),
-                        pa.array(counts[part].astype(np.int32)),
-                        pa.array(anchors[part]),
-                        pa.array(digests[part]),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc", "salt", "start", "n", "anchor", "digest"])
-
-    def packed(batches: Batches) -> Batches:
-        """Small batches of many short texts, put together."""
-        held, rows = [], 0
-        for batch in run(batches):
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= 1 << 16:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                held, rows = [], 0
-        if held:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    columns = [pa.array(np.full(len(starts[part]), k, dtype=np.int64)) for k in (doc, tag, salt)]
+                    columns += [pa.array(c[part].astype(np.int32)) for c in (starts, counts)]
+                    columns += [pa.array(c[part]) for c in (anchors, digests)]
+                    yield pa.RecordBatch.from_arrays(columns, [*ROW, "salt", "start", "n", "anchor", "digest"])
 
-    return map_batches(bodies, packed, f"doc long, salt long, {CUT}")
+    picked = bodies.select(*ROW, "salt", "body")
+    return map_batches(picked, lambda batches: _packed(run(batches)), f"doc long, tag long, salt long, {CUT}")
 
 
 def _settle(rows: DataFrame, length: int, everywhere: bool, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
@@ -139,13 +165,24 @@ def _settle(rows: DataFrame, length: int, everywhere: bool, scratch: Scratch, na
     under their hash); those alone under theirs are done.
     """
     key, equal = ["salt", "anchor"], ["salt", "anchor", "digest"]
-    at = F.struct("doc", "start")
-    first = rows.groupBy(*equal).agg(F.min(at).alias("first"), F.min("doc").alias("low"), F.max("doc").alias("high"))
-    met = scratch.stage(rows.join(first, equal).withColumn("shared", col("low") < col("high")), f"{name}-met")
+    at, row = F.struct(*ROW, "start"), F.struct(*ROW)
+    taken = ["n", *[c for c in rows.columns if c == "bytes"]]
+    first = rows.groupBy(*equal).agg(
+        F.min(at).alias("first"),
+        (F.min(row) < F.max(row)).alias("shared"),
+        F.count("*").alias("places"),
+        *[F.first(c).alias(c) for c in taken],
+    )
+    first = scratch.stage(first, f"{name}-first")
+    several = first.where("places > 1").select(*equal, "first", "shared", "places")
+    met = join_counted(rows, several, equal, "places")
     repeated = col("shared") if everywhere else at > col("first")
-    spans = met.where(repeated).select("doc", "start", (col("start") + col("n") + (length - 1)).alias("end"))
-    goes_on = ~col("shared") | (at == col("first")) if everywhere else at == col("first")
-    left = met.where(goes_on).drop("first", "low", "high").dropDuplicates(["salt", "anchor", "doc", "start"])
+    spans = met.where(repeated).select(*ROW, "start", (col("start") + col("n") + (length - 1)).alias("end"))
+    left = first.select(*equal, "first.*", "shared", *taken)
+    if everywhere:
+        # Of fragments that one row has several times each place counts, should a window in them stand elsewhere.
+        again = met.where(~col("shared") & (at > col("first"))).dropDuplicates([*key, *ROW, "start"])
+        left = left.unionByName(again.select(*left.columns))
     sizes = left.groupBy(*key).agg(F.count("*").alias("size")).where("size > 1")
     return spans, left.join(sizes, key)
 
@@ -153,18 +190,24 @@ def _settle(rows: DataFrame, length: int, everywhere: bool, scratch: Scratch, na
 def _with_bytes(rows: DataFrame, bodies: DataFrame, length: int) -> DataFrame:
     """The rows with the bytes of their fragments."""
     wanted = ["start", "n", "salt", "anchor", "digest", "shared", "size"]
-    by_doc = rows.groupBy("doc").agg(F.collect_list(F.struct(*wanted)).alias("cut"))
-    joined = bodies.drop("salt").dropDuplicates(["doc"]).join(by_doc, "doc")
+    by_row = rows.groupBy(*ROW).agg(F.collect_list(F.struct(*wanted)).alias("cut"))
+    joined = bodies.select(*ROW, "body").dropDuplicates(list(ROW)).join(by_row, list(ROW))
     end = col("cut.n") + (length - 1)
-    return joined.select("doc", "body", F.explode("cut").alias("cut")).select(
-        "doc", "cut.*", F.substring("body", col("cut.start") + 1, end).alias("bytes")
+    return joined.select(*ROW, "body", F.explode("cut").alias("cut")).select(
+        *ROW, "cut.*", F.substring("body", col("cut.start") + 1, end).alias("bytes")
     )
 
 
 def repeated_windows(
-    texts: list[bytes], docs: np.ndarray, starts: np.ndarray, shared: np.ndarray, length: int, everywhere: bool
+    texts: list[bytes],
+    docs: np.ndarray,
+    starts: np.ndarray,
+    shared: np.ndarray,
+    salts: np.ndarray,
+    length: int,
+    everywhere: bool,
 ) -> list[tuple[int, int, int]]:
-    """Spans (doc, start, end) of repeated windows, from one suffix array of all the texts."""
+    """Spans (doc, start, end) of windows repeated under their salt, from one suffix array of all the texts."""
     sizes = np.array([len(t) for t in texts])
     ends = np.cumsum(sizes + 1)
     # 0 ends the whole, 1 ends each text, bytes count from 2.
@@ -186,10 +229,10 @@ def repeated_windows(
     if not len(place):
         return []
     own = owner[place]
-    doc, at = docs[own], starts[own] + place - (ends - 1 - sizes)[own]
-    order = np.lexsort((at, doc, group))
-    place, group, doc, own = place[order], group[order], doc[order], own[order]
-    head = np.append(True, group[1:] != group[:-1])
+    doc, at, salt = docs[own], starts[own] + place - (ends - 1 - sizes)[own], salts[own]
+    order = np.lexsort((at, doc, salt, group))
+    place, group, salt, doc, own = (c[order] for c in (place, group, salt, doc, own))
+    head = np.append(True, (group[1:] != group[:-1]) | (salt[1:] != salt[:-1]))
     if everywhere:
         bounds = np.flatnonzero(head)
         last = np.append(bounds[1:], len(group)) - 1
@@ -233,30 +276,38 @@ def _by_suffix_arrays(rows: DataFrame, length: int, everywhere: bool) -> DataFra
         size, last = 0, None
 
         def solve() -> pa.RecordBatch:
-            docs, starts, shared, texts = zip(*held)
+            salts, docs, tags, starts, shared, texts = zip(*held)
+            names = sorted(set(zip(docs, tags)))
+            places = {name: k for k, name in enumerate(names)}
             found = repeated_windows(
-                list(texts), np.array(docs), np.array(starts), np.array(shared, dtype=bool), length, everywhere
+                list(texts),
+                np.array([places[name] for name in zip(docs, tags)]),
+                np.array(starts),
+                np.array(shared, dtype=bool),
+                np.array(salts, dtype=np.int64),
+                length,
+                everywhere,
             )
-            columns = list(zip(*found)) or [(), (), ()]
-            kinds = (pa.int64(), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc", "start", "end"])
+            columns = list(zip(*[(*names[k], start, end) for k, start, end in found])) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*ROW, "start", "end"])
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if row[:2] != last:
+            for salt, anchor, *row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                if (salt, anchor) != last:
                     kept = related(group, length)
                     held += kept
-                    size, group, last = size + sum(len(r[-1]) for r in kept), [], row[:2]
+                    size, group, last = size + sum(len(r[-1]) for r in kept), [], (salt, anchor)
                     if size >= SHARD_BYTES and held:
                         yield solve()
                         held, size = [], 0
-                group.append(row[2:])
+                group.append((salt, *row))
         held += related(group, length)
         if held:
             yield solve()
 
-    dealt = rows.select("salt", "anchor", "doc", "start", "shared", "bytes").repartition("salt", "anchor")
-    return map_batches(dealt.sortWithinPartitions("salt", "anchor"), run, "doc long, start int, end int")
+    dealt = rows.select("salt", "anchor", *ROW, "start", "shared", "bytes").repartition("salt", "anchor")
+    return map_batches(dealt.sortWithinPartitions("salt", "anchor"), run, "doc long, tag long, start int, end int")
 
 
 def _finer(rows: DataFrame, length: int, gram: int, block: int) -> DataFrame:
@@ -271,8 +322,6 @@ def _finer(rows: DataFrame, length: int, gram: int, block: int) -> DataFrame:
             return [(s, 1, k, k, body[s : s + length]) for s, k in enumerate(keys.tolist())]
         grams = rolling.of(slice(0, len(piece) - gram + 1), slice(gram, len(piece) + 1))
         places = np.flatnonzero(grams == np.array([anchor]).view(np.uint64)[0])
-        if not len(places):  # another text under the same id: nothing of it met here
-            return []
         place = int(places[0])
         ahead = place - np.arange(n)
         out = []
@@ -289,37 +338,39 @@ def _finer(rows: DataFrame, length: int, gram: int, block: int) -> DataFrame:
     def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = [
-                (doc, salt, start + s, m, key, digest, part)
-                for doc, salt, start, n, anchor, body in zip(*(batch.column(i).to_pylist() for i in range(6)))
+                (doc, tag, salt, start + s, m, key, digest, part)
+                for doc, tag, salt, start, n, anchor, body in zip(*(batch.column(i).to_pylist() for i in range(7)))
                 for s, m, key, digest, part in cut(body, n, anchor)
             ]
-            names = ["doc", "salt", "start", "n", "anchor", "digest", "bytes"]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            columns = list(zip(*rows)) or [()] * 7
+            names = [*ROW, "salt", "start", "n", "anchor", "digest", "bytes"]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            columns = list(zip(*rows)) or [()] * 8
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    picked = rows.select("doc", "salt", "start", "n", "anchor", "bytes")
-    return map_batches(picked, run, f"doc long, salt long, {CUT}, bytes binary")
+    picked = rows.select(*ROW, "salt", "start", "n", "anchor", "bytes")
+    return map_batches(picked, run, f"doc long, tag long, salt long, {CUT}, bytes binary")
 
 
 def repeats(bodies: DataFrame, length: int, gram: int, everywhere: bool, scratch: Scratch) -> DataFrame:
-    """doc, start, end (bytes) of spans made of windows of ``length`` bytes that repeat under the same salt.
+    """doc, tag, start, end (bytes) of spans made of windows of ``length`` bytes that repeat under the same salt.
 
-    ``bodies`` has doc (long), salt (long) and body (binary). A window repeats if it starts earlier too
-    (a smaller doc, or the same doc and a smaller start); with ``everywhere``, if it stands in at
-    least two docs, and then all its places count. Spans may overlap and touch.
+    ``bodies`` has doc and tag (long), which together name a row, salt (long) and body (binary). A window repeats if it
+    starts earlier too (a smaller doc, tag or, in the same row, start); with ``everywhere``, if it stands in at
+    least two rows, and then all its places count. Spans may overlap and touch.
     """
-    cut = scratch.stage(_fragments(bodies, length, gram), "fragments")
-    common = cut.groupBy("salt", "anchor").agg(F.count("*").alias("places")).where("places > 1")
-    rows = scratch.stage(cut.join(common.drop("places"), ["salt", "anchor"]), "common")
-    scratch.drop("fragments")
+    common = _anchors(bodies, length, gram).groupBy("salt", "anchor").agg(F.count("*").alias("places")).where("places > 1")
+    bucket = col("anchor").bitwiseXOR(col("salt")).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    met = bit_field(common, bucket, FILTER_BITS)
     scratch.release()
+    rows = scratch.stage(_fragments(bodies, length, gram, met), "fragments")
     spans, left = _settle(rows, length, everywhere, scratch, "whole")
     found = [scratch.stage(spans, "spans-whole")]
     left = scratch.stage(left, "left")
-    scratch.drop("common")
-    scratch.drop("whole-met")
+    for done in ("fragments", "whole-first"):
+        scratch.drop(done)
+    scratch.release()
     left = scratch.stage(_with_bytes(left, bodies, length), "bytes")
+    scratch.drop("left")
     scratch.release()
     found.append(scratch.stage(_by_suffix_arrays(left.where(col("size") <= HOT), length, everywhere), "spans-sorted"))
     hot = left.where(col("size") > HOT)

@@ -7,11 +7,12 @@ goes by id, since nothing can name them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civiclens.llm import bpe, decontam, simhash
 from civiclens.llm import lines as line_dedup
 from civiclens.llm import quality as ranking
-from civiclens.llm.common import table
+from civiclens.llm.common import table, utf8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,5 +36,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens and token_ids (packed) of every document."""
-    return bpe.encode(docs, keep=("doc_id", "lang", "source"))
+    """doc_id, lang, source, n_tokens and token_ids (packed) of every document.
+
+    The ids are decoded again; a document that they do not give back ends the job. A text that is no
+    UTF-8 cannot come back and is not compared.
+    """
+    kept = ("doc_id", "lang", "source")
+    coded = bpe.encode(docs.select(*kept, "text"), keep=(*kept, "text"), round_trip=True)
+    same = (F.col("decoded") == utf8("text")) | ~F.is_valid_utf8(F.coalesce("text", F.lit("")))
+    wrong = F.raise_error(F.concat(F.lit("tokens do not give back document "), F.col("doc_id").cast("string")))
+    return coded.select(*kept, F.when(same, F.col("n_tokens")).otherwise(wrong.cast("long")).alias("n_tokens"), "token_ids")

@@ -94,3 +94,13 @@ def test_nulls_repeated_rows_long_texts_and_no_rows(texts):
         (True, 0, "a b"),
     ]
     assert deduplicated(texts()).collect() == []
+
+
+def test_texts_under_one_id_and_names_the_operator_uses(texts, spark):
+    p, q = (" ".join(f"{c}{k}" for k in range(12)) for c in "pq")
+    frame = texts((0, p), (1, p), (1, q), (1, q))
+    for name in ("_removed", "removed", "row", "doc", "tag", "first", "n", "halves", "counts", "key", "_id", "odd name", "dot.ted"):
+        frame = frame.withColumn(name, frame["line"])
+    rows = deduplicated(frame)
+    assert rows.columns == frame.columns
+    assert sorted((r.doc_id, r.text, r["dot.ted"], r.row) for r in rows.collect()) == [(0, p, 1, 1), (1, "", 1, 1), (1, q, 1, 1), (1, q, 1, 1)]

@@ -62,3 +62,21 @@ def test_articles_of_the_given_pages(spark, folder):
         inner = re.sub(r"</?b>", "", re.sub(r"<(p|/p|br|h1|/h1)>", " ", inner))
         want = " ".join(html.unescape(inner).split())
         assert rows[page.page_id].text == want and rows[page.page_id].n_chars == len(want)
+
+
+def test_hosts_are_kept_apart_however_rows_are_dealt(spark):
+    """Runs that several hosts share once each are no repeats; pages under one id are several."""
+    run = lambda k: " ".join(f"run{k} word{j}" for j in range(12))
+    rows = [(10 * h + k, f"http://h{h}.x/{k}", f"<div>{run(k)}</div><p>Own {h} {k}.</p>") for h in range(4) for k in range(6)]
+    rows += [(900 + k, "http://twice.x/", f"<div>{run(k % 2)}</div><p>Own {k}.</p>") for k in range(4)]
+    rows += [(900, "http://twice.x/", f"<div>{run(9)}</div>"), (900, "http://other.x/", f"<div>{run(0)}</div><p>Own 0.</p>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = sorted([(10 * h + k, f"{run(k)} Own {h} {k}.") for h in range(4) for k in range(6)])
+    want += sorted([(900, "Own 0."), (900, run(9)), (900, f"{run(0)} Own 0."), *[(900 + k, f"Own {k}.") for k in (1, 2, 3)]])
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "211"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert sorted((r.page_id, r.text) for r in main_texts(frame).collect()) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)

@@ -80,3 +80,10 @@ def test_the_query_reports_digests(spark, folder):
     for i, kept in want.items():
         assert rows[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
         assert rows[i].n_removed == len(docs[i]) - len(kept)
+
+
+def test_texts_under_one_id_are_several(texts):
+    rnd = random.Random(2)
+    p, q = ("".join(rnd.choice("abcd ") for _ in range(300)) for _ in range(2))
+    rows = without_repeats(texts((0, p), (1, p), (1, q), (1, q))).collect()
+    assert sorted((r.doc_id, r.n_bytes, bytes(r.kept).decode()) for r in rows) == sorted([(0, 300, p), (1, 300, ""), (1, 300, q), (1, 300, q)])
