@@ -14,8 +14,10 @@ thousands, cost one row each. Before that, equal lines are one line, and of the
 partner that share their first or last half with another line; only these emit variants.
 
 The variants of k edits would be n^k. Of a long line's pairs of words next to each other, k edits change 2k at most; so of two lines k edits apart
-the 2k+1 rarest pairs of one and of the other have one in common. Pairs that only equal lines have are left out. The earliest
-line of each such key is compared first, and lines that find no partner that way are compared with all earlier ones of their keys.
+the 2k+1 rarest pairs of one and of the other have one in common. The earliest
+line of each such key is met first, and lines that find no partner that way meet all earlier ones of their keys. Each line has a sketch
+of 64 bits, the parities of the bits that its words' hashes choose; one edit changes two of them at most, so most lines that cannot be near are
+told apart by their sketches and only the rest by their words.
 
 Lines are cut, hashed and given their keys for a whole chunk of texts at a time. Which lines are the first of their kind, and which keys
 meet, tasks know from bit fields of fixed size, so what cannot meet is left out before it is shuffled; a false positive is left
@@ -66,6 +68,10 @@ def edits(n: int) -> int:
     return max(1, n // EDIT_WORDS)
 
 
+def _names(ddl: str) -> list[str]:
+    return [column.split()[0] for column in ddl.split(", ")]
+
+
 def _parts(batches: Batches) -> Iterator[tuple[list[tuple], list[bytes], list[int]]]:
     """(doc, tag), text and number of the first line of texts of about ``CHUNK`` bytes; a long text is cut at line ends."""
     keys, texts, firsts, size = [], [], [], 0
@@ -103,7 +109,10 @@ class Lines:
         own = owner[head]
         self.line = line[head] - np.searchsorted(ends, starts)[own] + np.array(firsts, dtype=np.int64)[own]
         self.doc, self.tag = (np.array(k, dtype=np.int64)[own] for k in zip(*keys))
-        self.rolling = Rolling(self.hashes)
+
+    @functools.cached_property
+    def rolling(self) -> Rolling:
+        return Rolling(self.hashes)
 
     @functools.cached_property
     def digests(self) -> tuple[np.ndarray, np.ndarray]:
@@ -126,6 +135,11 @@ class Lines:
         offsets = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(self.n)))])
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[order]))
 
+    def sketches(self) -> np.ndarray:
+        """Parities of the bits chosen by each line's words."""
+        bits = np.uint64(1) << (self.hashes >> np.uint64(58))
+        return np.bitwise_xor.reduceat(bits, self.start).view(np.int64) if len(self.start) else self.start
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash, line and place in the line of all words next to each other in long lines."""
         long = self.n >= LONG_WORDS
@@ -167,7 +181,7 @@ def line_table(documents: DataFrame) -> DataFrame:
             yield _batch([*none, pa.array([c for _, c in slices], pa.binary())])
 
     def _batch(columns: list[pa.Array]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in LINE_TABLE.split(", ")])
+        return pa.RecordBatch.from_arrays(columns, _names(LINE_TABLE))
 
     return map_batches(documents, run, LINE_TABLE)
 
@@ -190,18 +204,21 @@ def pair_counts(lines: DataFrame) -> Broadcast:
     return lines.sparkSession.sparkContext.broadcast(total)
 
 
-def _line_bucket(doc, tag, line, digest):
-    """Place of a line in the field of first ones, of numbers or of numpy arrays."""
-    return (digest ^ (tag >> 13) ^ (doc << 20) ^ (line << 7)) & ((1 << FILTER_BITS) - 1)
+def _line_bucket(doc: np.ndarray, tag: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Places of lines in the field of first ones."""
+    return ((tag >> 13) ^ (doc << 20) ^ (line << 7)) & ((1 << FILTER_BITS) - 1)
 
 
 def _line_bucket_column() -> Column:
-    parts = [col("digest1"), F.shiftright("tag", 13), F.shiftleft("doc", 20), F.shiftleft(col("line").cast("long"), 7)]
+    parts = [F.shiftright("tag", 13), F.shiftleft("doc", 20), F.shiftleft(col("line").cast("long"), 7)]
     return functools.reduce(lambda a, b: a.bitwiseXOR(b), parts).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
 
 
+KEY_TABLE = "key long, place int, doc long, tag long, line int, n int, sketch long"
+
+
 def pair_keys(documents: DataFrame, counts: Broadcast, first_lines: Broadcast) -> DataFrame:
-    """The rarest pairs of the first long lines, with their place among the line's pairs, its words and its digest.
+    """The rarest pairs of the first long lines, with their place among the line's pairs, its words and its sketch.
 
     A pair that a line has several times is a key for each time.
     """
@@ -211,37 +228,34 @@ def pair_keys(documents: DataFrame, counts: Broadcast, first_lines: Broadcast) -
             found = Lines(*part)
             if not len(found.n):
                 continue
-            first = has_bit(first_lines.value, _line_bucket(found.doc, found.tag, found.line, found.digests[0]))
-            grams, line, place = found.pairs()
+            first = has_bit(first_lines.value, _line_bucket(found.doc, found.tag, found.line))
+            grams, line, _ = found.pairs()
             kept = first[line]
-            grams, line, place = grams[kept], line[kept], place[kept]
+            grams, line = grams[kept], line[kept]
             if not len(grams):
                 continue
             rarity = counts.value[(grams & np.uint64(BUCKETS - 1)).astype(np.int64)]
-            order = np.lexsort((place, grams, rarity, line))
-            grams, line, place = grams[order], line[order], place[order]
+            order = np.lexsort((grams, line << 40 | np.minimum(rarity, (1 << 40) - 1)))
+            grams, line = grams[order], line[order]
             at = np.arange(len(grams))
             head = np.append(True, line[1:] != line[:-1])
             fresh = head | np.append(True, grams[1:] != grams[:-1])
             rank = at - np.maximum.accumulate(np.where(head, at, 0))
-            again = at - np.maximum.accumulate(np.where(fresh, at, 0))
-            # Where each pair of the line stands among its sorted ones, as the bound on what two lines can share needs it.
-            most = np.maximum(1, found.n // EDIT_WORDS)
-            taken = rank <= GRAM_WORDS * most[line]
-            keys = grams[taken] + again[taken].astype(np.uint64) * BASES[1]
+            taken = np.flatnonzero(rank <= GRAM_WORDS * np.maximum(1, found.n // EDIT_WORDS)[line])
+            again = (at - np.maximum.accumulate(np.where(fresh, at, 0)))[taken]
+            keys = grams[taken] + again.astype(np.uint64) * BASES[1]
             line = line[taken]
             columns = [keys.view(np.int64), rank[taken].astype(np.int32), found.doc[line], found.tag[line]]
-            columns += [found.line[line].astype(np.int32), found.n[line].astype(np.int32), found.digests[0][line]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "place", *AT, "n", "digest1"])
+            columns += [found.line[line].astype(np.int32), found.n[line].astype(np.int32), found.sketches()[line]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _names(KEY_TABLE))
 
-    return map_batches(documents, run, "key long, place int, doc long, tag long, line int, n int, digest1 long")
+    return map_batches(documents, run, KEY_TABLE)
 
 
 def _texts(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words of the wanted lines, joined by single spaces."""
     numbers = wanted.groupBy("doc", "tag").agg(F.collect_set("line").alias("lines"))
-    # The same plan at every size: texts are dealt by id, also while the numbers would fit a broadcast.
-    joined = documents.join(numbers.hint("merge"), ["doc", "tag"]).select("doc", "tag", "body", "lines")
+    joined = documents.join(numbers, ["doc", "tag"]).select("doc", "tag", "body", "lines")
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -409,55 +423,61 @@ def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def met_keys(documents: DataFrame, lines: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rarest pairs that several different long lines have; of equal lines the earliest stands for all."""
-    long = firsts.where(col("n") >= LONG_WORDS).select("first.*", "digest1")
+    """The rarest pairs that several long lines have, with the earliest of these; of equal lines the earliest stands for all."""
+    long = firsts.where(col("n") >= LONG_WORDS).select("first.*")
     first_lines = bit_field(long, _line_bucket_column(), FILTER_BITS)
     keys = scratch.stage(pair_keys(documents, pair_counts(lines), first_lines), "pair-keys")
-    several = keys.groupBy("key").agg(F.min("digest1").alias("low"), F.max("digest1").alias("high")).where("low < high")
-    several = scratch.stage(several.select("key"), "several")
+    scratch.drop("lines")
+    several = keys.groupBy("key").agg(F.count("*").alias("places")).where("places > 1").select("key")
     field = bit_field(several, col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), FILTER_BITS)
+    scratch.release()
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            met = has_bit(field.value, batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1))
-            yield batch.filter(pa.array(met))
+            yield batch.filter(pa.array(has_bit(field.value, batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1))))
 
-    few = map_batches(keys.drop("digest1"), run, "key long, place int, doc long, tag long, line int, n int")
-    few = scratch.stage(few.join(several, "key", "left_semi"), "met-or-copied")
+    few = map_batches(keys, run, KEY_TABLE)
+    # The field of first lines may have let a copy through.
+    met = scratch.stage(few.join(long, list(AT), "left_semi"), "met-keys")
     scratch.drop("pair-keys")
-    met = scratch.stage(few.join(long.drop("digest1"), list(AT), "left_semi"), "met-keys")
-    for done in ("several", "met-or-copied"):
+    scratch.release()
+    members = [*AT, "n", "place", "sketch"]
+    first = met.groupBy("key").agg(F.min(F.struct(*members)).alias("first"), F.count("*").alias("places"))
+    first = scratch.stage(first.where("places > 1"), "first-keys")
+    starred = scratch.stage(join_counted(met, first, ["key"], "places").drop("places"), "starred-keys")
+    for done in ("met-keys", "first-keys"):
         scratch.drop(done)
     scratch.release()
-    return met
-
+    return starred
 
-def near_long_copies(met: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Place of every long line with an earlier one no more edits apart than the shorter allows."""
-    members = [*AT, "n", "place"]
-    first = met.groupBy("key").agg(F.min(F.struct(*members)).alias("first"), F.count("*").alias("places"))
-    met = scratch.stage(join_counted(met, scratch.stage(first, "first-keys"), ["key"], "places").drop("places"), "starred-keys")
 
-    def possible(n: Column, place: Column, earlier: Callable[[str], Column]) -> Column:
-        """Whether lines with a pair in common at these places of their order can share as many as they need."""
-        shorter = F.least(n, earlier("n"))
-        most = F.greatest(F.lit(1), F.floor(shorter / EDIT_WORDS))
-        behind = F.least(n - place, earlier("n") - earlier("place")) - (GRAM_WORDS - 1)
-        longer = F.greatest(n, earlier("n"))
-        return (longer - shorter <= most) & (behind >= longer - (GRAM_WORDS - 1) - GRAM_WORDS * most)
+def _possible(earlier: Callable[[str], Column]) -> Column:
+    """Whether lines with a pair in common can be near: by their words, the places of the pair in their order, and their sketches."""
+    n, place = col("n"), col("place")
+    shorter, longer = F.least(n, earlier("n")), F.greatest(n, earlier("n"))
+    most = F.greatest(F.lit(1), F.floor(shorter / EDIT_WORDS))
+    behind = F.least(n - place, earlier("n") - earlier("place")) - (GRAM_WORDS - 1)
+    shared = behind >= longer - (GRAM_WORDS - 1) - GRAM_WORDS * most
+    return (longer - shorter <= most) & shared & (F.bit_count(col("sketch").bitwiseXOR(earlier("sketch"))) <= 2 * most)
 
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.stage(pairs.distinct(), f"pairs-{name}")
-        return scratch.stage(_compared(pairs, texts), f"near-{name}")
 
+def _star_pairs(met: DataFrame) -> DataFrame:
+    """Lines and the earliest line of one of their keys that may be near."""
     first = lambda c: col(f"first.{c}")
     before = F.struct(*[first(c) for c in AT]) < _at()
-    pairs = met.where(before & possible(col("n"), col("place"), first))
-    found = compared(pairs.select(*AT, *[first(c).alias(f"at_{c}") for c in AT]), "first")
-    left = met.where(before).drop("first").join(found, list(AT), "left_anti")
-    earlier = met.drop("first").select("key", *[col(c).alias(f"at_{c}") for c in members])
-    rest = left.join(earlier, "key").where((_at("at_") < _at()) & possible(col("n"), col("place"), lambda c: col(f"at_{c}")))
-    return found.union(compared(rest.select(*AT, *[f"at_{c}" for c in AT]), "rest"))
+    return met.where(before & _possible(first)).select(*AT, *[first(c).alias(f"at_{c}") for c in AT]).distinct()
+
+
+def _all_pairs(left: DataFrame, met: DataFrame) -> DataFrame:
+    """Lines of ``left`` and all earlier lines of their keys that may be near."""
+    left = left.where(F.struct(*[col(f"first.{c}").alias(c) for c in AT]) < _at()).drop("first")
+    earlier = met.select("key", *[col(c).alias(f"at_{c}") for c in (*AT, "n", "place", "sketch")])
+    rest = left.join(earlier, "key").where((_at("at_") < _at()) & _possible(lambda c: col(f"at_{c}")))
+    return rest.select(*AT, *[f"at_{c}" for c in AT]).distinct()
+
+
+def _of_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(*AT).union(pairs.select(*[f"at_{c}" for c in AT])).distinct()
 
 
 def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -486,19 +506,28 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
     wanted = scratch.stage(halves.join(shared, "half", "left_semi").select(*AT).distinct(), "wanted")
     scratch.release()
     met = met_keys(documents, lines, firsts, scratch)
-    for done in ("lines", "firsts"):
-        scratch.drop(done)
-    wanted = wanted.union(met.select(*AT)).distinct()
-    texts = scratch.stage(_texts(documents, wanted), "texts")
+    scratch.drop("firsts")
+    stars = scratch.stage(_star_pairs(met), "star-pairs")
+    alone = met.join(stars.select(*AT), list(AT), "left_anti")
+    pairs = scratch.stage(stars.union(_all_pairs(alone, met)), "pairs")
     scratch.release()
-    near = scratch.stage(near_copies(texts, scratch), "near")
-    scratch.drop("met-variants")
+    texts = scratch.stage(_texts(documents, wanted.union(_of_pairs(pairs)).distinct()), "texts")
     scratch.release()
-    near = scratch.stage(near.union(near_long_copies(met, texts, scratch)), "near-all")
-    for done in ("met-keys", "starred-keys", "first-keys", "texts"):
+    near = [scratch.stage(near_copies(texts, scratch), "near"), scratch.stage(_compared(pairs, texts), "near-long")]
+    for done in ("met-variants", "texts"):
         scratch.drop(done)
     scratch.release()
-    return copies.union(near).groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    # Lines that may be near the earliest one of a key, and are not, have not met the others yet.
+    failed = stars.select(*AT).distinct().join(near[1], list(AT), "left_anti")
+    again = met.join(scratch.stage(failed, "failed"), list(AT), "left_semi")
+    if not again.isEmpty():
+        others = scratch.stage(_all_pairs(again, met), "other-pairs")
+        near.append(scratch.stage(_compared(others, _texts(documents, _of_pairs(others))), "near-others"))
+    scratch.drop("starred-keys")
+    scratch.release()
+    for more in near:
+        copies = copies.union(more)
+    return copies.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed"))
 
 
 def without_lines(text: Column, removed: Column) -> Column:

@@ -52,3 +52,11 @@ def test_edits_are_counted_exactly():
         b = [rnd.choice([b"a", b"b", b"c"]) for _ in range(rnd.randint(0, 9))]
         most = rnd.randint(0, 5)
         assert within_edits(a, b, most) == (words_distance(a, b) <= most)
+
+
+def test_lines_with_the_same_sketch_in_another_order(texts):
+    """The earliest line of their keys has the same words elsewhere, so only the words tell that it is not near."""
+    words = [f"w{i}" for i in range(40)]
+    docs = {1: [*words[20:], *words[:20]], 2: words, 3: [*words[:10], "x", *words[11:]], 4: [*words[20:], *words[1:20], "y"]}
+    found = repeated_lines(texts(*[(i, " ".join(line)) for i, line in docs.items()])).collect()
+    assert {r.doc for r in found} == {3, 4}
