@@ -136,8 +136,8 @@ def overview(frame: DataFrame) -> DataFrame:
 
 
 def column_validation(frame: DataFrame, expected: Sequence[str] = EXPECTED_COLUMNS) -> DataFrame:
-    """Expected against actual columns, ignoring case: present, missing or extra. The table's
-    schema tells; its rows are not read."""
+    """Expected against actual columns, ignoring case: present, missing or extra, as the table's
+    schema tells."""
     wanted = [c.lower() for c in expected]
     actual = [c.lower() for c in frame.columns]
     status = [(c, "present" if c in actual else "missing") for c in wanted]
@@ -145,6 +145,12 @@ def column_validation(frame: DataFrame, expected: Sequence[str] = EXPECTED_COLUM
     return frame.sparkSession.createDataFrame(status, "column_name string, column_status string")
 
 
+def validated_columns(frame: DataFrame, expected: Sequence[str] = EXPECTED_COLUMNS) -> DataFrame:
+    """``column_validation`` with the values that each column has in the table; NULL for a missing one."""
+    filled = non_null_counts(frame).select(F.lower("column_name").alias("column_name"), "non_null")
+    return column_validation(frame, expected).join(filled, "column_name", "left")
+
+
 def duplicate_keys(frame: DataFrame, key: str = "sr_number") -> DataFrame:
     return frame.groupBy(key).agg(F.count("*").alias("cnt")).where("cnt > 1")
 

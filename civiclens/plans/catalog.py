@@ -230,7 +230,12 @@ def _landing(ws: Workspace) -> str:
 
 
 def _loaded(ws: Workspace, table: DataFrame) -> DataFrame:
-    return table.select(*ws.raw.columns, ingest.MONTH_COLUMN)
+    return table.select(*_flat(ws.raw).columns, ingest.MONTH_COLUMN)
+
+
+def _flat(raw: DataFrame) -> DataFrame:
+    """All columns but the struct."""
+    return raw.drop("location")
 
 
 def ingest_append(ws: Workspace) -> DataFrame:
@@ -277,7 +282,7 @@ def aligned_append(ws: Workspace) -> DataFrame:
 def csv_roundtrip(ws: Workspace) -> DataFrame:
     """All flat columns written and read again."""
     folder = ws.folder("export")
-    export = ws.raw.select(*[f.name for f in ws.raw.schema if f.name != "location"])
+    export = _flat(ws.raw)
     files.write_csv(export, folder)
     return files.read_csv(ws.spark, folder, export.schema)
 
@@ -410,7 +415,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "aligned_append": aligned_append,
     "csv_roundtrip": csv_roundtrip,
     "pending_months": pending_months,
-    "debug_sample": lambda ws: first_rows(ws.raw),
+    "debug_sample": lambda ws: first_rows(_flat(ws.raw)),
     "location_key": location_key,
     # projections and predicates
     "clean_strings": clean_strings,
@@ -522,7 +527,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "dim_location": lambda ws: _without_load_times(ws.table("dim_location")),
     "fact_star": lambda ws: ws.table("fact_star"),
     "fact_requests": lambda ws: _fact_columns(ws.table("fact_requests")),
-    "column_validation": lambda ws: quality.column_validation(ws.raw),
+    "column_validation": lambda ws: quality.validated_columns(ws.raw),
     "validation_report": lambda ws: quality.validation_report(
         ws.raw,
         ws.table("fact_requests"),

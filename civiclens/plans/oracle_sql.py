@@ -63,7 +63,9 @@ SELECT
   CASE WHEN b.a % 13 = 0 THEN NULL ELSE CAST(1110000 + b.a * 137 AS STRING) || '.621' END AS x_coordinate,
   CASE WHEN b.a % 13 = 0 THEN NULL ELSE CAST(1810000 + b.a * 211 AS STRING) || '.942' END AS y_coordinate,
   CASE WHEN b.a % 13 = 0 THEN NULL ELSE '41.' || CAST(600000 + (b.a % 50) * 4217 AS STRING) END AS latitude,
-  CASE WHEN b.a % 13 = 0 THEN NULL ELSE '-87.' || CAST(500000 + (b.a % 50) * 7211 AS STRING) END AS longitude
+  CASE WHEN b.a % 13 = 0 THEN NULL ELSE '-87.' || CAST(500000 + (b.a % 50) * 7211 AS STRING) END AS longitude,
+  CASE WHEN b.a % 13 = 0 THEN NULL ELSE {'latitude': '41.' || CAST(600000 + (b.a % 50) * 4217 AS STRING),
+    'longitude': '-87.' || CAST(500000 + (b.a % 50) * 7211 AS STRING)} END AS location
 FROM base b
 JOIN sr_types t ON t.k = b.l_partkey % 16
 JOIN depts w ON w.k = b.l_suppkey % 10
@@ -447,7 +449,7 @@ _RAW_TYPES = {
 def _per_raw_column(select: str) -> str:
     parts = [
         select.format(column=c, position=n, type=t) + " FROM raw_requests"
-        for n, (c, t) in enumerate(_RAW_TYPES.items(), start=1)
+        for n, (c, t) in enumerate((_RAW_TYPES | {"location": "struct<latitude:string,longitude:string>"}).items(), start=1)
     ]
     return " UNION ALL ".join(parts)
 
@@ -768,7 +770,7 @@ ORACLE: dict[str, str] = {
     "table_counts": _with(_COUNTS, *_ALL_TABLES),
     "drop_ratio": _fact(_DROPS),
     "overview": _raw(_per_raw_column("""SELECT {position} AS position, '{column}' AS column_name, '{type}' AS data_type,
-        count({column}) AS non_null, count(*) AS n_rows, 38 AS n_columns""")),
+        count({column}) AS non_null, count(*) AS n_rows, 39 AS n_columns""")),
     "dedup_requests": _requests("SELECT * FROM requests"),
     "fact_id_dense": _fact("SELECT fact_id, date_id, sr_number FROM fact_requests"),
     "dim_service": _with("SELECT * FROM dim_service", "dim_service"),
@@ -780,8 +782,7 @@ ORACLE: dict[str, str] = {
     "fact_star": _with("SELECT * FROM fact_star", "fact_star"),
     "fact_requests": _fact("SELECT * FROM fact_requests"),
     "column_validation": _raw(
-        _per_raw_column("SELECT DISTINCT '{column}' AS column_name, 'present' AS column_status")
-        + " UNION ALL SELECT 'location', 'missing'"
+        _per_raw_column("SELECT '{column}' AS column_name, 'present' AS column_status, count({column}) AS non_null")
     ),
     "validation_report": _with(
         f"""SELECT 'row_count' AS check_name, table_name AS subject, CAST(n_rows AS DOUBLE) AS value FROM ({_COUNTS})

@@ -30,34 +30,45 @@ def read_landing(spark: SparkSession, folder: str, partitions: Sequence[str], pa
     return reader.text([f"{folder}/{p}" for p in partitions])
 
 
-def grown_schema(lines: DataFrame, schema: StructType, reserved: Sequence[str]) -> StructType:
-    """The schema and, as text, the fields of the lines that it does not name.
+def parse_landing(lines: DataFrame, schema: StructType) -> DataFrame:
+    """``_row`` (the record), ``_others`` (fields the schema does not name, as text) and ``line`` (if rejected) of each line.
 
-    One pass finds the field names, of which there are as many as columns in a table. Of names that
-    differ in case only the first is kept.
+    A line is rejected if it is no JSON object or a field does not have its type; absent fields are NULL, blank lines are
+    left out. Columns other than ``value`` are kept. Write the result and read it with ``late_columns`` and ``records``: then
+    a line is parsed once however many questions there are.
     """
-    fields = lines.select(F.explode(F.map_keys(F.from_json("value", "map<string,string>")))).distinct()
-    known = {name.lower() for name in (*schema.names, *reserved, CORRUPT)}
-    grown = StructType([*schema])
-    for (name,) in sorted(fields.collect()):
-        if name.lower() not in known:
-            grown.add(name, "string")
-            known.add(name.lower())
-    return grown
+    others = [c for c in lines.columns if c != "value"]
+    known = [name.lower() for name in (*schema.names, *others, CORRUPT)]
+    parsed = F.from_json("value", StructType([*schema]).add(CORRUPT, "string"), {"columnNameOfCorruptRecord": CORRUPT})
+    rows = lines.where(F.trim("value") != "").withColumn("_row", parsed)
+    broken = F.col(f"_row.{CORRUPT}").isNotNull()
+    fields = F.from_json("value", "map<string,string>")
+    late = F.map_filter(fields, lambda name, _: ~F.lower(name).isin(known))
+    return rows.select(
+        F.when(~broken, F.col("_row").dropFields(CORRUPT)).alias("_row"),
+        F.when(~broken, late).alias("_others"),
+        F.when(broken, F.col("value")).alias("line"),
+        *others,
+    )
 
 
-def parse_landing(lines: DataFrame, schema: StructType) -> tuple[DataFrame, DataFrame]:
-    """Records and rejected lines. Absent fields are NULL; blank lines are neither.
+def late_columns(parsed: DataFrame) -> list[str]:
+    """Names of the fields that the schema does not name, of which there are as many as columns in a table.
 
-    A line is rejected if it is no JSON object or a field does not have its type. Columns other than
-    ``value`` are kept on both sides.
+    Of names that differ in case only the first is kept.
     """
-    others = [c for c in lines.columns if c != "value"]
-    parsed = F.from_json("value", StructType([*schema]).add(CORRUPT, "string"), {"columnNameOfCorruptRecord": CORRUPT})
-    rows = lines.where(F.trim("value") != "").withColumn("_row", parsed)
-    good = rows.where(f"_row.{CORRUPT} IS NULL").select("_row.*", *others).drop(CORRUPT)
-    bad = rows.where(f"_row.{CORRUPT} IS NOT NULL").select(F.col("value").alias("line"), *others)
-    return good, bad
+    fields = parsed.where("line IS NULL").select(F.explode(F.map_keys("_others")).alias("name")).distinct()
+    kept: dict[str, str] = {}
+    for (name,) in sorted(fields.collect()):
+        kept.setdefault(name.lower(), name)
+    return list(kept.values())
+
+
+def records(parsed: DataFrame, late: Sequence[str]) -> DataFrame:
+    """The records with their late columns as text."""
+    carried = [c for c in parsed.columns if c not in ("_row", "_others", "line")]
+    added = [F.try_element_at("_others", F.lit(name)).alias(name) for name in late]
+    return parsed.where("line IS NULL").select("_row.*", *added, *carried)
 
 
 def write_csv(frame: DataFrame, folder: str) -> None:

@@ -65,7 +65,7 @@ def _unless(condition: Column, value: Column) -> Column:
 
 
 def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
-    """38 of the 39 raw columns; the ``location`` struct, which nothing reads, is left out."""
+    """The 39 raw columns; ``location`` is the last."""
     lines = read_table(spark, folder, "lineitem")
     orders = read_table(spark, folder, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"
@@ -95,6 +95,8 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     a, order_text = col("a"), _number(col("l_orderkey"))
     kind = col("l_partkey") % len(REQUEST_TYPES)
     unplaced = a % 13 == 0
+    latitude = _unless(unplaced, F.concat(F.lit("41."), _number(a % 50 * 4217 + 600000)))
+    longitude = _unless(unplaced, F.concat(F.lit("-87."), _number(a % 50 * 7211 + 500000)))
     return base.select(
         F.concat(F.lit("SR"), order_text, F.lit("-"), _number(col("l_linenumber"))).alias("sr_number"),
         _pick(tuple(t for t, _ in REQUEST_TYPES), kind).alias("sr_type"),
@@ -155,6 +157,7 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(None).cast("string").alias("created_month"),
         _unless(unplaced, F.concat(_number(a * 137 + 1110000), F.lit(".621"))).alias("x_coordinate"),
         _unless(unplaced, F.concat(_number(a * 211 + 1810000), F.lit(".942"))).alias("y_coordinate"),
-        _unless(unplaced, F.concat(F.lit("41."), _number(a % 50 * 4217 + 600000))).alias("latitude"),
-        _unless(unplaced, F.concat(F.lit("-87."), _number(a % 50 * 7211 + 500000))).alias("longitude"),
+        latitude.alias("latitude"),
+        longitude.alias("longitude"),
+        _unless(unplaced, F.struct(latitude.alias("latitude"), longitude.alias("longitude"))).alias("location"),
     )

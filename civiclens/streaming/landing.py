@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from civiclens.schema import RAW_SCHEMA
-from civiclens.sources.files import LINE, grown_schema, parse_landing
+from civiclens.sources.files import LINE, late_columns, parse_landing, records
 from civiclens.sources.ingest import MONTH_COLUMN, with_month
 
 BATCH = "batch_id"
@@ -28,11 +28,12 @@ def ingest_stream(
     """
 
     def write(lines: DataFrame, batch: int) -> None:
-        lines = lines.persist()
-        good, bad = parse_landing(lines, grown_schema(lines, schema, [MONTH_COLUMN]))
+        parsed = parse_landing(lines, schema).persist()
+        good = records(parsed, late_columns(parsed))
         good.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(f"{target}/{BATCH}={batch}")
-        bad.write.mode("overwrite").parquet(f"{target}-rejects/{BATCH}={batch}")
-        lines.unpersist()
+        rejected = parsed.where("line IS NOT NULL").select("line", MONTH_COLUMN)
+        rejected.write.mode("overwrite").parquet(f"{target}-rejects/{BATCH}={batch}")
+        parsed.unpersist()
 
     landed = spark.readStream.schema(with_month(LINE)).text(landing)
     query = (

@@ -1,4 +1,5 @@
 import os
+import shutil
 import subprocess
 import sys
 import uuid
@@ -71,10 +72,10 @@ def test_a_load_that_died_before_logging_is_repeated_without_duplicates(spark, r
     assert spark.table(table).count() == 2
 
 
-def land_lines(folder, month, *lines):
+def land_lines(folder, month, *lines, name=None):
     path = Path(folder, f"ingest_month={month}")
     path.mkdir(parents=True, exist_ok=True)
-    (path / f"part-{uuid.uuid4().hex}.json").write_text("\n".join(lines) + "\n")
+    (path / f"part-{name or uuid.uuid4().hex}.json").write_text("\n".join(lines) + "\n")
 
 
 def test_late_columns_are_loaded_by_default(spark, place):
@@ -99,9 +100,35 @@ def test_undated_rows_late_files_and_broken_lines(spark, raw_frame, place):
     assert load() == []
     rows = spark.table(table).select("sr_number", "ingest_month").collect()
     assert sorted(map(tuple, rows)) == [("1", "2024-01"), ("2", "unknown"), ("3", "unknown"), ("4", "2024-01")]
-    assert {r.line for r in spark.read.parquet(f"{log}/rejects").collect()} == {
-        "{broken", "[1]", '{"sr_number": "5", "duplicate": "x"}',
-    }
+    rejected = ["[1]", "{broken", '{"sr_number": "5", "duplicate": "x"}']
+    assert sorted(r.line for r in spark.read.parquet(f"{log}/rejects").collect()) == sorted(rejected)
+    land_lines(landing, "2024-01", "{broken", name="more")
+    assert load() == [("2024-01", 2, 4)]
+    lines = [(r.line, r.ingest_month) for r in spark.read.parquet(f"{log}/rejects").collect()]
+    assert sorted(lines) == sorted((line, "2024-01") for line in [*rejected, "{broken"])
+
+
+def test_a_load_that_died_before_the_log_is_repeated(spark, raw_frame, place):
+    table, location, landing, log = place
+    land_lines(landing, "2024-01", '{"sr_number": "1"}', "{broken")
+    load = lambda: [tuple(r) for r in ingest.ingest_landing(spark, landing, table, location, log).collect()]
+    assert load() == [("2024-01", 1, 1)]
+    shutil.rmtree(f"{log}/files")
+    assert load() == [("2024-01", 1, 1)]
+    assert spark.table(table).count() == spark.read.parquet(f"{log}/rejects").count() == 1
+
+
+def test_a_month_with_rejects_only_has_no_rows(spark, raw_frame, place):
+    table, location, landing, log = place
+    load = lambda: [tuple(r) for r in ingest.ingest_landing(spark, landing, table, location, log).collect()]
+    land_lines(landing, "2024-01", '{"sr_number": "1"}', name="a")
+    land_lines(landing, "2024-02", '{"sr_number": "2"}', "{broken", name="a")
+    assert load() == [("2024-01", 1, 0), ("2024-02", 1, 1)]
+    land_lines(landing, "2024-01", "{broken, and longer", name="a")
+    land_lines(landing, "2024-02", '{"sr_number": "2", "status": "Open"}', name="a")
+    assert load() == [("2024-01", 0, 1), ("2024-02", 1, 0)]
+    assert [(r.sr_number, r.ingest_month) for r in spark.table(table).collect()] == [("2", "2024-02")]
+    assert [r.line for r in spark.read.parquet(f"{log}/rejects").collect()] == ["{broken, and longer"]
 
 
 def test_a_new_application_goes_on(spark, raw_frame, place):

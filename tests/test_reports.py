@@ -78,6 +78,8 @@ def test_missing_values_and_validation(raw_frame):
     status = {r.column_name: r.column_status for r in quality.column_validation(raw).collect()}
     assert (status["surplus"], status["location"], status["status"]) == ("extra", "missing", "present")
     assert len(status) == 40
+    filled = {r.column_name: (r.column_status, r.non_null) for r in quality.validated_columns(raw).collect()}
+    assert filled["status"] == ("present", 1) and filled["surplus"] == ("extra", 2) and filled["location"] == ("missing", None)
 
 
 def test_cardinality_counts_blank_as_unknown(raw_frame):
