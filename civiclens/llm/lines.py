@@ -518,16 +518,20 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
         scratch.drop(done)
     scratch.release()
     # Lines that may be near the earliest one of a key, and are not, have not met the others yet.
-    failed = stars.select(*AT).distinct().join(near[1], list(AT), "left_anti")
-    again = met.join(scratch.stage(failed, "failed"), list(AT), "left_semi")
-    if not again.isEmpty():
+    failed = scratch.stage(stars.select(*AT).distinct().join(near[1], list(AT), "left_anti"), "failed")
+    if not failed.isEmpty():
+        again = met.join(failed, list(AT), "left_semi")
         others = scratch.stage(_all_pairs(again, met), "other-pairs")
+        scratch.release()
         near.append(scratch.stage(_compared(others, _texts(documents, _of_pairs(others))), "near-others"))
-    scratch.drop("starred-keys")
-    scratch.release()
     for more in near:
         copies = copies.union(more)
-    return copies.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    removed = copies.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed"))
+    removed = scratch.stage(removed, "removed")
+    for done in ("starred-keys", "star-pairs", "pairs", "other-pairs", "wanted", "copies", "near", "near-long", "near-others", "failed"):
+        scratch.drop(done)
+    scratch.release()
+    return removed
 
 
 def without_lines(text: Column, removed: Column) -> Column:
