@@ -315,6 +315,7 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
     a large class costs stars, not all its pairs.
     """
     scratch = Scratch(documents.sparkSession, "alike")
+    scratch.release()  # of what the stage before has left
     rows = scratch.stage(shingle_sets(documents.where("doc_id IS NOT NULL"), words), "rows")
     nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("print").alias("print"))
     nodes = scratch.stage(nodes, "nodes")
@@ -324,6 +325,8 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
         *[F.min(F.struct(F.xxhash64(F.lit(k), "node"), "node", "size")).alias(f"star{k}") for k in (0, 1)],
     )
     prefixes = scratch.stage(prefixes.join(met.where("n > 1").drop("n"), "key"), "met")
+    scratch.drop("prefixes")
+    scratch.release()
     sized = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
     stars = prefixes.select("node", "size", F.explode(F.array("star0", "star1")).alias("star"))
     stars = stars.where(sized(col("size"), col("star.size"))).select(col("node").alias("u"), col("star.node").alias("v"))
@@ -342,12 +345,17 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
         return scratch.stage(_alike(pairs, sets, percent), f"links-{name}")
 
     links = compared(tried, "first")
+    scratch.drop("sets-first")
+    scratch.release()
     roots = components(links, scratch)
     placed = prefixes.select("key", "node", "place", "size").join(roots, "node", "left")
     placed = scratch.stage(placed.withColumn("root", F.coalesce("root", "node")), "placed")
     largest = placed.groupBy("key", "root").agg(F.count("*").alias("n"))
     largest = largest.groupBy("key").agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count("*").alias("roots"))
     placed = scratch.stage(placed.join(largest.where("roots > 1").drop("roots"), "key"), "apart")
+    for done in ("placed", "met"):
+        scratch.drop(done)
+    scratch.release()
     left = placed.where("root <> largest").select("key", *[col(c).alias(f"{c}_a") for c in ("node", "place", "size", "root")])
     behind = F.least(col("size_a") - col("place_a"), col("size") - col("place"))
     pairs = left.join(placed, "key").where(
@@ -358,7 +366,8 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
     )
     pairs = _ordered(pairs.select(col("node_a").alias("u"), col("node").alias("v"))).join(tried, ["u", "v"], "left_anti")
     links = links.union(compared(scratch.stage(pairs, "pairs"), "rest"))
-    scratch.drop("met")
+    for done in ("apart", "sets-rest"):
+        scratch.drop(done)
     scratch.release()
     roots = components(links, Scratch(documents.sparkSession, "alike-roots"))
     rooted = nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
