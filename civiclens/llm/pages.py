@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -67,14 +68,34 @@ class Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, int | None]] = []  # name, and the kind it sets
+        self.names: Counter[str] = Counter()  # of the open elements
+        self.kinds: list[int] = []  # that they set, and how many of each
+        self.set: Counter[int] = Counter()
+        self.unseen = 0
         self.blocks: list[tuple[int, str]] = []
         self.pieces: list[str] = []
 
     def kind(self) -> int:
-        kinds = [kind for _, kind in self.open if kind is not None]
-        if TEMPLATE in kinds:
+        if self.set[TEMPLATE]:
             return TEMPLATE
-        return OPEN if not kinds else MAIN if kinds[-1] == MAIN else TEMPLATE
+        return OPEN if not self.kinds else MAIN if self.kinds[-1] == MAIN else TEMPLATE
+
+    def _push(self, tag: str, sets: int | None) -> None:
+        self.open.append((tag, sets))
+        self.names[tag] += 1
+        self.unseen += tag in UNSEEN
+        if sets is not None:
+            self.kinds.append(sets)
+            self.set[sets] += 1
+
+    def _pop_to(self, size: int) -> None:
+        """Close elements until so many are open; each is closed once, so a page takes time in proportion to its length."""
+        while len(self.open) > size:
+            tag, sets = self.open.pop()
+            self.names[tag] -= 1
+            self.unseen -= tag in UNSEEN
+            if sets is not None:
+                self.set[self.kinds.pop()] -= 1
 
     def flush(self) -> None:
         text = " ".join("".join(self.pieces).split())
@@ -94,7 +115,7 @@ class Blocks(HTMLParser):
         marked = self._marked(tag, words, values, inside)
         if tag in ("article", "main") or values.get("role") in ("main", "article"):
             # An article inside another's comments or related links is no text of its own.
-            within = any(kind == MAIN for _, kind in self.open) and not inside
+            within = self.set[MAIN] > 0 and not inside
             return WRAPPER if within or (marked and inside) else MAIN
         return WRAPPER if marked else None
 
@@ -119,7 +140,7 @@ class Blocks(HTMLParser):
         sets = self._sets(tag, attributes)
         if sets is not None:
             self.flush()
-        self.open.append((tag, sets))
+        self._push(tag, sets)
 
     def handle_startendtag(self, tag: str, attributes: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attributes)
@@ -128,19 +149,21 @@ class Blocks(HTMLParser):
 
     def _close(self, tag: str, bounds: frozenset[str]) -> None:
         """Close an element left open, unless it lies outside of the innermost bound."""
+        if not self.names[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
-                del self.open[i:]
+                self._pop_to(i)
                 return
             if self.open[i][0] in bounds:
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in range(len(self.open) - 1, -1, -1) if self.names[tag] else ():
             if self.open[i][0] == tag:
                 if tag not in INLINE_ELEMENTS or any(sets is not None for _, sets in self.open[i:]):
                     self.flush()
-                del self.open[i:]
+                self._pop_to(i)
                 return
         if tag not in INLINE_ELEMENTS:
             self.flush()
@@ -148,7 +171,7 @@ class Blocks(HTMLParser):
     def handle_data(self, data: str) -> None:
         if self.open and self.open[-1][0] == "head" and data.strip():
             self._close("head", frozenset())
-        if not any(name in UNSEEN for name, _ in self.open):
+        if not self.unseen:
             self.pieces.append(data)
 
 
@@ -193,7 +216,7 @@ def main_text(found: list[tuple[int, str]], repeated: list[tuple[int, int]]) ->
 
 
 def _streams(pages: DataFrame) -> DataFrame:
-    """Per page its stream outside articles; all blocks where one of them is open."""
+    """Per page its stream outside articles and all its blocks."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -201,8 +224,6 @@ def _streams(pages: DataFrame) -> DataFrame:
             for html in batch.column(1):
                 found = blocks(html.as_py() or "")
                 streams.append(stream(found))
-                if all(kind != OPEN for kind, _ in found):
-                    found = []
                 kinds.append([kind for kind, _ in found])
                 texts.append([text for _, text in found])
             yield pa.RecordBatch.from_arrays(
@@ -220,22 +241,8 @@ def _streams(pages: DataFrame) -> DataFrame:
     return map_batches(pages.select("page_id", "html", "url"), run, schema)
 
 
-def _structured(pages: DataFrame) -> DataFrame:
-    """Text of the pages without open blocks."""
-
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            found = [blocks(html.as_py() or "") for html in batch.column(1)]
-            whole = pa.array([all(kind != OPEN for kind, _ in page) for page in found], pa.bool_())
-            texts = pa.array([main_text(page, []) for page in found], pa.string())
-            columns = [batch.column(0), batch.column(2), texts]
-            yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text"]).filter(whole)
-
-    return map_batches(pages.select("page_id", "html", "url"), run, "page_id long, url string, text string")
-
-
-def _unstructured(pages: DataFrame, spans: DataFrame) -> DataFrame:
-    """Text of the pages with open blocks, by the host's repeated runs."""
+def _texts(pages: DataFrame, spans: DataFrame) -> DataFrame:
+    """Text of the pages, by their blocks and the host's repeated runs."""
     by_page = spans.groupBy(col("doc").alias("page_id"), "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = pages.join(by_page, ["page_id", "tag"], "left")
 
@@ -268,7 +275,7 @@ def main_texts(
     streams = streams.withColumn("tag", F.xxhash64("body", host))
     bodies = streams.where("page_id IS NOT NULL").select(col("page_id").alias("doc"), "tag", host.alias("salt"), "body")
     spans = scratch.stage(repeats(bodies, run_bytes, GRAM, True, scratch), "spans")
-    return _structured(pages).union(_unstructured(streams.where(F.size("kinds") > 0), spans))
+    return _texts(streams, spans)
 
 
 def op3_host_suffix_pages(spark: SparkSession, folder: str) -> DataFrame:

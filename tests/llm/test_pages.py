@@ -80,3 +80,13 @@ def test_hosts_are_kept_apart_however_rows_are_dealt(spark):
             assert sorted((r.page_id, r.text) for r in main_texts(frame).collect()) == want
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+
+
+def test_deep_pages_take_time_in_proportion():
+    import time
+
+    start = time.perf_counter()
+    assert len(texts("<div>x" * 100_000)) == 100_000
+    assert len(texts("<b>x</i><p>" * 50_000 + "</p>" * 50_000)) == 50_000
+    assert len(texts("<article>" * 50_000 + "x")) == 1
+    assert time.perf_counter() - start < 60
