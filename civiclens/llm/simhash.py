@@ -339,7 +339,9 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes, "node")
-        wanted = wanted.select("node", col("least").alias("doc_id"))
+        # Written, so that its size is known and few sets are fetched without shuffling all.
+        wanted = scratch.stage(wanted.select("node", col("least").alias("doc_id")), f"wanted-{name}")
+        scratch.release()
         sets = rows.select("doc_id", "node", "hashes").join(wanted, ["doc_id", "node"])
         sets = scratch.stage(sets.dropDuplicates(["node"]).select("node", "hashes"), f"sets-{name}")
         return scratch.stage(_alike(pairs, sets, percent), f"links-{name}")
