@@ -513,7 +513,7 @@ QUERIES: dict[str, Callable[[Workspace], DataFrame]] = {
     "drop_ratio": lambda ws: quality.drop_ratio(ws.raw, ws.table("fact_requests")),
     "overview": lambda ws: quality.overview(ws.raw),
     # windows, samples
-    "dedup_requests": lambda ws: ws.requests,
+    "dedup_requests": lambda ws: _flat(ws.requests),
     "fact_id_dense": lambda ws: ws.table("fact_requests").select("fact_id", "date_id", "sr_number"),
     "closure_sample": lambda ws: eda.closure_sample(ws.raw),
     "geo_point_sample": lambda ws: hash_sample(eda.geo_points(ws.raw), eda.MAP_POINTS, ["sr_number", "created_date"]),

@@ -771,7 +771,7 @@ ORACLE: dict[str, str] = {
     "drop_ratio": _fact(_DROPS),
     "overview": _raw(_per_raw_column("""SELECT {position} AS position, '{column}' AS column_name, '{type}' AS data_type,
         count({column}) AS non_null, count(*) AS n_rows, 39 AS n_columns""")),
-    "dedup_requests": _requests("SELECT * FROM requests"),
+    "dedup_requests": _requests("SELECT * EXCLUDE (location) FROM requests"),
     "fact_id_dense": _fact("SELECT fact_id, date_id, sr_number FROM fact_requests"),
     "dim_service": _with("SELECT * FROM dim_service", "dim_service"),
     "dim_department": _with("SELECT * FROM dim_department", "dim_department"),
