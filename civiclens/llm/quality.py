@@ -16,6 +16,7 @@ import operator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -221,6 +222,11 @@ def accepted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     scratch = Scratch(documents.sparkSession, "quality")
     featured = scratch.stage(with_features(documents.select("doc_id", "text")).select("doc_id", "_features"), "features")
     ranking = fit_ranking(featured, labels, scratch)
-    # The columns travel in one of their own, so none has a name that the features or the helpers have.
-    packed = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), "text")
-    return with_features(packed).where(ranking.score() >= ACCEPT).select("row.*")
+    # Only the text goes to Python. The columns travel in one of their own, so none has a name that a helper has.
+    measured = F.pandas_udf(_measured, "array<double>").asNondeterministic()(utf8("text"))
+    packed = documents.select(F.struct(*[documents[f"`{c}`"] for c in documents.columns]).alias("row"), measured.alias("_features"))
+    return packed.where(ranking.score() >= ACCEPT).select("row.*")
+
+
+def _measured(bodies: pd.Series) -> pd.Series:
+    return bodies.map(features)

@@ -46,3 +46,12 @@ def test_held_out_labels(spark, tmp_path):
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert sum(p == q for p, q in held) / len(held) > 0.97
+
+
+def test_accepted_keeps_columns_with_names_of_helpers(spark):
+    from civiclens.llm.quality import accepted
+
+    rows = [(i, f"some plain text number {i}", "b", [0.5], "r", 1) for i in range(3)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _body string, _features array<double>, row string, `a.b` int")
+    kept = accepted(frame, spark.createDataFrame([], "doc_id long, quality int"))
+    assert kept.columns == frame.columns and sorted(map(tuple, kept.collect())) == rows
