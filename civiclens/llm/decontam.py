@@ -1,11 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Texts are windows of words (passages), weighted by TF-IDF over hashed terms; document frequencies
-count every document. A randomised SVD of passages (all of the benchmark's and a bounded sample of the
-corpus's) gives a latent space: each step multiplies the passage matrix on the executors, and only sums
-of fixed size come back. Terms outside the benchmark's vocabulary cannot bring a passage
-closer to an item, so the space has the benchmark's terms; every passage of the corpus is weighed, and those with
-enough of their weight on these terms are projected.
+count every document. A randomised SVD of all passages, the benchmark's and the corpus's, gives a latent
+space. Terms outside the benchmark's vocabulary cannot bring a passage closer to an item, so the space has the
+benchmark's terms, and of the passage matrix A only A'A is needed: one pass over the texts counts exactly how often two terms
+share a passage, and each step of the SVD multiplies these counts on the executors. Every passage of the corpus is
+weighed, and those with enough of their weight on these terms are projected.
 
 Passages near an item by cosine are candidates. Each is verified on its words: the longest common
 subsequence with the item, and for paraphrases also that with the item's answer (its last sentence).
@@ -18,9 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +31,12 @@ TERMS = 1 << 18
 """Hashed terms: the bound of all statistics that tasks hold."""
 WINDOW, STRIDE, ITEM_STRIDE = 24, 8, 12
 RANK, OVERSAMPLE, POWER_STEPS = 256, 16, 2
-SAMPLE_PASSAGES = 20_000
-"""Corpus passages that take part in the SVD, about; all passages are searched."""
+DENSE_TERMS = 1 << 12
+"""Largest vocabulary whose pairs a task counts in a table of all of them (67 MB)."""
+PART_PLACES = 1 << 16
+"""Places whose pairs are counted at a time."""
+HELD_PAIRS = 1 << 21
+"""Pairs that a task holds for a larger vocabulary, before it adds them up and gives them out."""
 BLOCK_ITEMS = 5_000
 """Benchmark items searched at a time; larger benchmarks take several passes over the corpus."""
 SHARE = 0.3
@@ -117,8 +119,33 @@ def _groups(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, Words]]:
 
 def window_starts(words: int, stride: int) -> np.ndarray:
     """Starts of the windows of a text: every ``stride`` words, and the last whole one."""
-    last = max(0, words - WINDOW)
-    return np.unique(np.append(np.arange(0, last + 1, stride), last)) if words else np.empty(0, dtype=np.int64)
+    return all_windows(np.array([0, words]), stride)[1]
+
+
+def all_windows(bounds: np.ndarray, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, start and end of the windows of several texts, as ``window_starts`` has them."""
+    lengths = np.diff(bounds)
+    last = np.maximum(0, lengths - WINDOW)
+    each = np.where(lengths > 0, last // stride + 1 + (last % stride != 0), 0)
+    text = np.repeat(np.arange(len(lengths)), each)
+    nth = np.arange(len(text)) - np.repeat(np.cumsum(each) - each, each)
+    start = np.minimum(nth * stride, last[text])
+    return text, bounds[text] + start, bounds[text] + np.minimum(start + WINDOW, lengths[text])
+
+
+def window_terms(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A row of ``WINDOW`` terms per window, -1 beyond its end."""
+    at = starts[:, None] + np.arange(WINDOW)
+    return np.where(at < ends[:, None], terms[np.minimum(at, len(terms) - 1)], -1)
+
+
+def shared_count(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many of the right's terms are in the left, row by row; the right's are distinct, padded with -2."""
+    parts = [np.empty(0, dtype=np.int64)]
+    for at in range(0, len(left), 4096):  # bounds the comparisons held at a time
+        a, b = left[at : at + 4096], right[at : at + 4096]
+        parts.append((a[:, :, None] == b[:, None, :]).any(axis=1).sum(axis=1))
+    return np.concatenate(parts)
 
 
 def common_subsequence(left: list, right: list) -> int:
@@ -175,17 +202,19 @@ class Space:
     def __post_init__(self) -> None:
         self.known = self.row < len(self.basis) - 1
 
-    def windows(self, terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Latent vectors of windows: sums of term weight times the term's row."""
-        rows = np.append(self.row[terms], np.full(WINDOW, len(self.basis) - 1))
-        return self.basis[rows[starts[:, None] + np.arange(WINDOW)]].sum(axis=1)
+    def windows(self, terms: np.ndarray) -> np.ndarray:
+        """Latent vectors of windows (a row of terms each, -1 beyond the text): sums of term weight times the term's row."""
+        rows = np.where(terms < 0, len(self.basis) - 1, self.row[terms])
+        total = np.zeros((len(rows), self.basis.shape[1]), dtype=self.basis.dtype)
+        for place in rows.T:  # a place at a time, so that the sums stay in the cache
+            total += self.basis[place]
+        return total
 
-    def related(self, terms: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    def related(self, terms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Whether windows have enough weight on the benchmark's terms."""
         weight = self.idf[terms].astype(np.float64)
         total = np.append(0.0, np.cumsum(weight))
         inside = np.append(0.0, np.cumsum(weight * self.known[terms]))
-        ends = np.minimum(starts + WINDOW, len(terms))
         return inside[ends] - inside[starts] >= SHARE * (total[ends] - total[starts])
 
 
@@ -194,94 +223,167 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.where(size > 0, size, 1)
 
 
-def document_frequencies(documents: DataFrame) -> tuple[int, int, np.ndarray]:
-    """Number of documents, of their words, and of the documents with each hashed term."""
+class Pairs:
+    """How often two terms of a vocabulary share a passage: the entries on and below the diagonal of T'T, T the passages' term counts.
+
+    Every passage counts for any two of its places; a place with itself, too.
+    """
+
+    def __init__(self, vocabulary: np.ndarray):
+        self.terms = vocabulary.astype(np.int64)
+        self.row = np.full(TERMS, -1, dtype=np.int64)
+        self.row[vocabulary] = np.arange(len(vocabulary))
+        self.before = np.arange(len(vocabulary), dtype=np.int64)
+        self.before = self.before * (self.before + 1) // 2
+        """Pairs in the rows before a row of the triangle."""
+        self.table = np.zeros(len(vocabulary) * (len(vocabulary) + 1) // 2, dtype=np.int64) if len(vocabulary) <= DENSE_TERMS else None
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, words: Words, stride: int) -> None:
+        """Count the passages of some texts, which begin as ``window_starts`` says."""
+        place = np.flatnonzero(self.row[words.terms] >= 0)
+        text = np.searchsorted(words.bounds, place, side="right") - 1
+        row, within = self.row[words.terms[place]], place - words.bounds[text]
+        last = np.maximum(0, np.diff(words.bounds) - WINDOW)[text]
+        # A passage that holds two places of a text, fewer than WINDOW apart, begins in reach of the later one and not behind the
+        # earlier one: at a multiple of the stride, or as the last whole one. There are none too few, so no difference is negative.
+        until = np.minimum(within, last) // stride + 1 + ((last % stride != 0) & (within >= last))
+        since = -(-np.maximum(0, within - WINDOW + 1) // stride)
+        apart = place + text * WINDOW  # places of two texts are never near
+        until, since, row = until.astype(np.int32), since.astype(np.int32), row.astype(np.int32)
+        for first in range(0, len(place), PART_PLACES):
+            for lag in range(WINDOW):
+                a = slice(first, max(first, min(first + PART_PLACES, len(place) - lag)))
+                b = slice(a.start + lag, a.stop + lag)
+                near = np.flatnonzero(apart[b] - apart[a] < WINDOW)
+                if not len(near):
+                    break
+                left, right, times = row[a][near], row[b][near], (until[a] - since[b])[near]
+                if lag:  # the diagonal has both orders of two places with one term
+                    times = times << (left == right)
+                self._count(self.before[np.maximum(left, right)] + np.minimum(left, right), times)
+
+    def _count(self, codes: np.ndarray, times: np.ndarray) -> None:
+        if self.table is not None:
+            np.add.at(self.table, codes, times.astype(np.int64))  # much slower with another type than the table
+        else:
+            self.held.append((codes, times))
+            self.size += len(codes)
+
+    def full(self) -> bool:
+        return self.size >= HELD_PAIRS
+
+    def take(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Terms, other terms and counts so far, in parts; what is given out is forgotten."""
+        if self.table is not None:
+            for first in range(0, len(self.table), 1 << 18):
+                part = self.table[first : first + (1 << 18)]
+                codes = np.flatnonzero(part)
+                yield *self._terms(codes + first), part[codes]
+                part[:] = 0
+        elif self.held:
+            codes, times = (np.concatenate(part) for part in zip(*self.held))
+            self.held, self.size = [], 0
+            codes, at = np.unique(codes, return_inverse=True)
+            counts = np.bincount(at, times, len(codes)).astype(np.int64)
+            codes, counts = codes[counts > 0], counts[counts > 0]
+            for first in range(0, len(codes), 1 << 16):
+                yield *self._terms(codes[first : first + (1 << 16)]), counts[first : first + (1 << 16)]
+
+    def _terms(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row = np.searchsorted(self.before, codes, side="right") - 1
+        return self.terms[row], self.terms[codes - self.before[row]]
+
+
+def counts(frame: DataFrame, stride: int, vocabulary: np.ndarray) -> DataFrame:
+    """term, other, n over all texts, to be added up by (term, other).
+
+    With an ``other``: how often both share a passage. With -1: the texts that have the term; the term -1 stands for all texts.
+    """
 
     def run(batches: Batches) -> Batches:
-        counts, rows, length = np.zeros(TERMS, dtype=np.int64), 0, 0
+        pairs, documents, rows = Pairs(vocabulary), np.zeros(TERMS, dtype=np.int64), 0
+        names = ["term", "other", "n"]
+
+        def shared() -> Batches:
+            for term, other, n in pairs.take():
+                columns = [pa.array(term, pa.int32()), pa.array(other, pa.int32()), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
         for batch in batches:
             for _, words in _groups(batch, 0):
                 texts = np.repeat(np.arange(len(words.bounds) - 1), np.diff(words.bounds))
                 once = np.unique(texts * TERMS + words.terms)
-                counts += np.bincount(once % TERMS, minlength=TERMS)
-                length += len(words.terms)
+                documents += np.bincount(once % TERMS, minlength=TERMS)
+                pairs.add(words, stride)
+                if pairs.full():
+                    yield from shared()
             rows += batch.num_rows
-        used = np.flatnonzero(counts)
-        columns = [np.append(used, [-1, -2]), np.append(counts[used], [rows, length])]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["term", "n"])
+        yield from shared()
+        used = np.flatnonzero(documents)
+        columns = [np.append(used, -1).astype(np.int32), np.full(len(used) + 1, -1, dtype=np.int32), np.append(documents[used], rows)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return map_batches(frame.select("text"), run, "term int, other int, n long")
 
-    counted = map_batches(documents.select("text"), run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = counted.toArrow()  # at most one row per hashed term
+
+def document_frequencies(counted: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of documents, and of the documents with each hashed term."""
+    found = counted.where("other = -1").toArrow()  # at most one row per hashed term
     term, n = (found.column(c).to_numpy() for c in ("term", "n"))
     frequencies = np.zeros(TERMS, dtype=np.int64)
     frequencies[term[term >= 0]] = n[term >= 0]
-    return int(n[term == -1].sum()), int(n[term == -2].sum()), frequencies
+    return int(n[term == -1].sum()), frequencies
 
 
-def _passages(frame: DataFrame, stride: int, share: float = 1.0) -> DataFrame:
-    """Hashed terms of passages; a share of them by hash, or all."""
+def _vocabulary(benchmark: DataFrame) -> np.ndarray:
+    """Hashed terms of the items, ascending."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            rows = []
             for _, words in _groups(batch, 0):
-                for low, high in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
-                    found = words.terms[low:high]
-                    for start in window_starts(len(found), stride).tolist():
-                        part = found[start : start + WINDOW].astype(np.int32)
-                        if share >= 1 or xxhash.xxh3_64_intdigest(part.tobytes()) < share * 2.0**64:
-                            rows.append(part)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["terms"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(words.terms))], ["term"])
 
-    return map_batches(frame.select("text"), run, "terms array<int>")
+    found = map_batches(benchmark.select("text"), run, "term long").distinct().toArrow()
+    return np.sort(found.column(0).to_numpy())
 
 
-def _times(passages: DataFrame, row: np.ndarray, idf: np.ndarray, basis: np.ndarray, gram: bool) -> np.ndarray:
-    """A'(A Q), or the Gram matrix of A Q, for the TF-IDF matrix A of the passages.
+def _times(shared: DataFrame, row: np.ndarray, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """A'A Q for the TF-IDF matrix A of the passages, from counts sorted by term.
 
-    Each task adds up its rows; the sums have the size of the basis whatever the number of passages.
+    One row of the product per term comes back, or a few parts of it.
     """
-    sent = passages.sparkSession.sparkContext.broadcast((row, idf, basis))
-    shape = (basis.shape[1],) * 2 if gram else basis.shape
+    sent = shared.sparkSession.sparkContext.broadcast((row, idf, basis))
 
     def run(batches: Batches) -> Batches:
         row, idf, basis = sent.value
-        total = np.zeros(shape)
         for batch in batches:
-            for value in batch.column(0):
-                terms = value.values.to_numpy()
-                at = row[terms]
-                terms, at = terms[at < len(basis)], at[at < len(basis)]
-                if len(at):
-                    weights = idf[terms]
-                    image = weights @ basis[at]
-                    if gram:
-                        total += np.outer(image, image)
-                    else:
-                        np.add.at(total, at, np.outer(weights, image))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
-
-    def add(parts: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(p) for p in parts["part"])
-        return pd.DataFrame({"part": [total.tobytes()]})
-
-    parts = map_batches(passages, run, "part binary")
-    # Two lots are added up on the executors, so that the driver holds two sums at a time.
-    merged = parts.withColumn("lot", F.pmod(F.spark_partition_id(), F.lit(2))).groupBy("lot").applyInPandas(add, "part binary")
-    total = sum((np.frombuffer(p["part"]) for p in merged.collect()), np.zeros(int(np.prod(shape)))).reshape(shape)
+            if not batch.num_rows:
+                continue
+            term, other, n = (batch.column(i).to_numpy() for i in range(3))
+            weights = n * idf[term] * idf[other]
+            bounds = [0, *(np.flatnonzero(np.diff(term)) + 1).tolist(), len(term)]
+            images = [(weights[a:b] @ basis[row[other[a:b]]]).tobytes() for a, b in zip(bounds, bounds[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array(term[bounds[:-1]]), pa.array(images, pa.binary())], ["term", "image"])
+
+    found = map_batches(shared.select("term", "other", "n"), run, "term int, image binary").toArrow()
+    total = np.zeros(basis.shape)
+    for at, image in zip(row[found.column(0).to_numpy()].tolist(), found.column(1)):
+        total[at] += np.frombuffer(image.as_buffer())
     sent.unpersist()
     return total
 
 
-def latent_space(passages: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, seed: int = 5) -> Space:
+def latent_space(shared: DataFrame, vocabulary: np.ndarray, idf: np.ndarray, seed: int = 5) -> Space:
     """Randomised SVD: range finding with power steps, then a rotation by the small Gram matrix."""
     row = np.full(TERMS, len(vocabulary), dtype=np.int64)
     row[vocabulary] = np.arange(len(vocabulary))
     width = min(len(vocabulary), RANK + OVERSAMPLE)
     basis = np.random.default_rng(seed).standard_normal((len(vocabulary), width))
     for _ in range(POWER_STEPS):
-        basis = np.linalg.qr(_times(passages, row, idf, basis, False))[0]
-    values, rotation = np.linalg.eigh(_times(passages, row, idf, basis, True))
+        basis = np.linalg.qr(_times(shared, row, idf, basis))[0]
+    values, rotation = np.linalg.eigh(basis.T @ _times(shared, row, idf, basis))
     order = np.argsort(-values)[:RANK]
     order = order[values[order] > 1e-9 * values.max()]
     # Directions are damped by the fourth root of their singular values: undamped, those of the commonest
@@ -315,38 +417,39 @@ def _search(documents: DataFrame, items: list[Item], space: Space) -> DataFrame:
     owners, latents, sets = [], [], []
     for number, item in enumerate(items):
         found = Words.of([item.text]).terms
-        starts = window_starts(len(found), ITEM_STRIDE)
-        owners += [number] * len(starts)
-        latents.append(space.windows(found, starts))
-        sets += [frozenset(found[s : s + WINDOW].tolist()) for s in starts.tolist()]
+        windows = window_terms(found, *all_windows(np.array([0, len(found)]), ITEM_STRIDE)[1:])
+        owners += [number] * len(windows)
+        latents.append(space.windows(windows))
+        sets += [np.unique(w[w >= 0]) for w in windows]
+    sizes = np.array([len(s) for s in sets])
+    distinct = np.array([np.pad(s, (0, WINDOW - len(s)), constant_values=-2) for s in sets], dtype=np.int32)
     sent = documents.sparkSession.sparkContext.broadcast(
-        (items, np.array(owners), _unit(np.concatenate(latents)), sets, space)
+        (items, np.array(owners), _unit(np.concatenate(latents)), distinct, sizes, space)
     )
 
     def run(batches: Batches) -> Batches:
-        items, owners, passages, sets, space = sent.value
+        items, owners, passages, distinct, sizes, space = sent.value
         for batch in batches:
             rows, ids = [], batch.column(0).to_pylist()
             for first, words in _groups(batch, 1):
-                for row, (low, high) in enumerate(zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()), first):
-                    found = words.terms[low:high]
-                    starts = window_starts(len(found), STRIDE)
-                    if len(starts):
-                        starts = starts[space.related(found, starts)]
-                    near: dict[int, list[tuple[float, int]]] = {}
-                    for at in range(0, len(starts), 1024):
-                        part = starts[at : at + 1024]
-                        cosines = _unit(space.windows(found, part)) @ passages.T
-                        last, own = -1, set()
-                        for i, j in zip(*(x.tolist() for x in np.nonzero(cosines >= COSINE))):
-                            if i != last:
-                                last, own = i, set(found[part[i] : part[i] + WINDOW].tolist())
-                            if len(own & sets[j]) >= OVERLAP * len(sets[j]):
-                                near.setdefault(int(owners[j]), []).append((float(cosines[i, j]), int(part[i])))
-                    for number, places in near.items():
-                        best = verified(items[number], places, words, low, high)
-                        if best:
-                            rows.append((ids[row], items[number].item_id, *best))
+                text, starts, ends = all_windows(words.bounds, STRIDE)
+                some = np.flatnonzero(space.related(words.terms, starts, ends))
+                near: dict[tuple[int, int], list[tuple[float, int]]] = {}
+                for at in range(0, len(some), 1024):
+                    part = some[at : at + 1024]
+                    windows = window_terms(words.terms, starts[part], ends[part]).astype(np.int32)
+                    cosines = _unit(space.windows(windows)) @ passages.T
+                    i, j = np.nonzero(cosines >= COSINE)
+                    alike = shared_count(windows[i], distinct[j]) >= OVERLAP * sizes[j]
+                    i, j = i[alike], j[alike]
+                    found = (text[part[i]], owners[j], cosines[i, j], starts[part[i]] - words.bounds[text[part[i]]])
+                    for row, number, cosine, start in zip(*(x.tolist() for x in found)):
+                        near.setdefault((row, number), []).append((cosine, start))
+                for (row, number), places in near.items():
+                    low, high = words.bounds[row : row + 2].tolist()
+                    best = verified(items[number], places, words, low, high)
+                    if best:
+                        rows.append((ids[first + row], items[number].item_id, *best))
             columns = list(zip(*rows)) or [()] * 6
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.float64(), pa.float64()]
             names = ["doc_id", "item_id", "word", "cosine", "lcs_share", "answer_share"]
@@ -370,25 +473,23 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
         col("item_id").cast("long").alias("item_id"), "text"
     ).distinct()
     schema = "doc_id long, item_id long, word int, cosine double, lcs_share double, answer_share double"
-    total, words, frequencies = document_frequencies(documents)
     items = benchmark.count()
-    if not items or not total:
-        return spark.createDataFrame([], schema)
-    idf = np.log((1 + total) / (1 + frequencies)) + 1e-3
-
-    item_passages = scratch.stage(_passages(benchmark, ITEM_STRIDE), "item-passages")
-    vocabulary = item_passages.select(F.explode("terms").alias("term")).distinct().toArrow().column(0).to_numpy()
+    vocabulary = _vocabulary(benchmark) if items else np.empty(0, dtype=np.int64)
     if not len(vocabulary):
         return spark.createDataFrame([], schema)
-    vocabulary = np.sort(vocabulary).astype(np.int64)
-    # Passages are drawn from some documents, so that most texts need not be cut once more.
-    share = min(1.0, SAMPLE_PASSAGES / max(1, words / STRIDE))
-    some = min(1.0, 20 * share)
-    drawn = documents.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(some * (1 << 20)) + 1)
-    sampled = _passages(drawn, STRIDE, share / some)
-    # Few passages from many tasks: put together, so that few partial products are sent.
-    passages = scratch.stage(item_passages.union(sampled).repartition(8), "passages")
-    space = latent_space(passages, vocabulary, idf)
+    # Every task gives out its pairs once, so a task takes several parts of the texts where there are more than cores.
+    parts, cores = documents.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism
+    corpus = counts(documents.coalesce(max(1, min(parts, max(2 * cores, parts // 4)))), STRIDE, vocabulary)
+    own = counts(benchmark, ITEM_STRIDE, vocabulary).where("other >= 0")
+    counted = scratch.stage(corpus.union(own).groupBy("term", "other").agg(F.sum("n").alias("n")), "counts")
+    total, frequencies = document_frequencies(counted)
+    if not total:
+        return spark.createDataFrame([], schema)
+    idf = np.log((1 + total) / (1 + frequencies)) + 1e-3
+    pairs = counted.where("other >= 0")
+    turned = pairs.where("term <> other").select(col("other").alias("term"), col("term").alias("other"), "n")
+    shared = pairs.union(turned).repartition("term").sortWithinPartitions("term", "other")
+    space = latent_space(scratch.stage(shared, "shared"), vocabulary, idf)
 
     blocks = -(-items // BLOCK_ITEMS)
     numbered = benchmark.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))

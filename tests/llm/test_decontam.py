@@ -90,3 +90,51 @@ def test_recall_of_the_candidate_search(spark, folder):
     whole = {(d, i) for d, t in docs.items() for i, x in items.items() if x in t}
     found = {(r.doc_id, r.item_id) for r in op1_latent_decontamination(spark, folder).collect()}
     assert whole and whole <= found
+
+
+def shared_terms(texts, stride, vocabulary):
+    """T'T of the texts' passages, each cut out by itself."""
+    total = np.zeros((len(vocabulary),) * 2, dtype=np.int64)
+    for text in texts:
+        terms = Words.of([text]).terms
+        passages = [terms[s : s + decontam.WINDOW] for s in decontam.window_starts(len(terms), stride).tolist()]
+        rows = np.array([[(p == v).sum() for v in vocabulary] for p in passages], dtype=np.int64).reshape(-1, len(vocabulary))
+        total += rows.T @ rows
+    return total
+
+
+def test_pairs_of_terms_are_counted_over_all_passages(monkeypatch):
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice("abcdefghij") for _ in range(n)) for n in [0, 1, 2, 23, 24, 25, 31, 32, 33, 47, 48, 49, 500]]
+    vocabulary = np.unique(Words.of(["a b c d e f"]).terms)
+    for dense, places in ((decontam.DENSE_TERMS, decontam.PART_PLACES), (0, 7)):
+        monkeypatch.setattr(decontam, "DENSE_TERMS", dense)
+        monkeypatch.setattr(decontam, "PART_PLACES", places)
+        for stride in (decontam.STRIDE, decontam.ITEM_STRIDE):
+            pairs = decontam.Pairs(vocabulary)
+            total = np.zeros((len(vocabulary),) * 2, dtype=np.int64)
+            for some in (texts[:9], texts[9:], []):
+                pairs.add(Words.of(some), stride)
+                for term, other, n in pairs.take():
+                    at = np.searchsorted(vocabulary, term), np.searchsorted(vocabulary, other)
+                    total[at] += n
+                    total[at[::-1]] += np.where(term == other, 0, n)
+            assert (total == shared_terms(texts, stride, vocabulary)).all()
+
+
+def test_the_space_is_fitted_on_all_passages(spark, texts, monkeypatch):
+    """Also where the corpus has more than 20,000."""
+    rnd = random.Random(6)
+    items = [(1, "a b c d e f g h"), (2, "a c e g i k m o")]
+    docs = [(i, " ".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2_000))) for i in range(100)]
+    seen, fit = [], decontam.latent_space
+    monkeypatch.setattr(decontam, "latent_space", lambda frame, *rest: seen.append(frame.collect()) or fit(frame, *rest))
+    leaks(texts(*docs), spark.createDataFrame(items, "item_id long, text string")).collect()
+    vocabulary = np.unique(Words.of([text for _, text in items]).terms)
+    want = shared_terms([t for _, t in docs], decontam.STRIDE, vocabulary)
+    assert sum(len(decontam.window_starts(2_000, decontam.STRIDE)) for _ in docs) > 20_000
+    want += shared_terms([t for _, t in items], decontam.ITEM_STRIDE, vocabulary)
+    found = np.zeros_like(want)
+    for r in seen[0]:
+        found[np.searchsorted(vocabulary, r.term), np.searchsorted(vocabulary, r.other)] += r.n
+    assert (found == want).all()
