@@ -5,9 +5,9 @@ the probability sigmoid(strength difference), so the weights come from a logisti
 intercept on feature differences. A document is accepted if its strength reaches the quantile of all
 labelled training strengths at which the poor documents' share ends.
 
-Pairs are drawn from a bounded sample of labelled rows (``SAMPLE_ROWS`` of each class, by hash);
-the classes' shares and the quantile are taken over all labelled rows outside the held-out fold. The model is
-a row of weights, so documents are scored where they lie, without a shuffle of texts.
+All labelled rows outside the held-out fold take part: every poor and every good one is in pairs, and the classes' shares
+and the quantile are taken over all of them. The model is a row of weights, so documents are scored where they lie, without a
+shuffle of texts.
 """
 
 from __future__ import annotations
@@ -20,17 +20,17 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, Scratch, map_batches, table, utf8
+from civiclens.llm.common import Batches, Scratch, map_batches, parts_for, table, utf8
 
 col = F.col
 
-SAMPLE_ROWS = 10_000
-"""Labelled rows of each class that pairs are drawn from, about; larger classes are thinned by hash."""
 PARTNERS = 4
-"""Good partners drawn for each poor row, on average."""
+"""Rows of the other class drawn for each labelled row; so every row is in that many pairs at least."""
+MOST_BUCKETS = 4_096
+"""Most buckets that a class is numbered in."""
 FOLDS = 5
 ACCEPT = 0.3
 MARGIN = 0.005
@@ -156,6 +156,27 @@ INDIFFERENT = Ranking((0.0,) * len(FEATURES), 0.0, 1.0)
 """Without a single pair all documents are accepted."""
 
 
+def _drawn(rows: DataFrame, others: DataFrame, seed: int) -> DataFrame:
+    """nth, own, other: for each row ``PARTNERS`` of the others, by hash.
+
+    The others are numbered without gaps, in buckets: only the buckets' sizes come to the driver, and every draw finds a row.
+    """
+    spark, n = rows.sparkSession, others.count()
+    buckets = parts_for(n, 1_000, 1, MOST_BUCKETS)
+    dealt = others.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_features"), F.lit(buckets)))
+    offsets, before = [], 0
+    for bucket, size in sorted(map(tuple, dealt.groupBy("bucket").count().collect())):
+        offsets.append((bucket, before))
+        before += size
+    offsets = F.broadcast(spark.createDataFrame(offsets, "bucket long, before long"))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id", "_features")) - 1
+    numbered = dealt.withColumn("place", place).join(offsets, "bucket")
+    numbered = numbered.select((col("before") + col("place")).alias("number"), col("_features").alias("other"))
+    draws = rows.withColumn("nth", F.explode(F.sequence(F.lit(1), F.lit(PARTNERS))))
+    drawn = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "_features", "nth"), F.lit(n))
+    return draws.select(drawn.alias("number"), "nth", col("_features").alias("own")).join(numbered, "number").drop("number")
+
+
 def fit_ranking(featured: DataFrame, labels: DataFrame, scratch: Scratch) -> Ranking:
     """Learn from rows outside the held-out fold.
 
@@ -174,18 +195,12 @@ def fit_ranking(featured: DataFrame, labels: DataFrame, scratch: Scratch) -> Ran
     counts = {r["quality"]: r["count"] for r in known.groupBy("quality").count().collect()}
     if len(counts) < 2:
         return INDIFFERENT
-    share = lambda label: min(1.0, SAMPLE_ROWS / counts[label])
-    drawn = lambda label, seed: (
-        known.where(col("quality") == label).where(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 20)) < share(label) * (1 << 20))
-    )
-    slots = max(1, round(counts[1] * share(1)))
-    good = drawn(1, 11).select(F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(slots)).alias("slot"), col("_features").alias("better"))
-    poor = drawn(0, 12).withColumn("nth", F.explode(F.sequence(F.lit(1), F.lit(PARTNERS)))).select(
-        F.pmod(F.xxhash64(F.lit(14), "doc_id", "nth"), F.lit(slots)).alias("slot"), col("_features").alias("worse"), "nth"
-    )
-    # Every pair once in either direction, so that both classes of the regression are there.
+    good, poor = (known.where(col("quality") == label).select("doc_id", "_features") for label in (1, 0))
+    by_good = _drawn(good, poor, 11).select("nth", col("own").alias("better"), col("other").alias("worse"))
+    by_poor = _drawn(poor, good, 21).select("nth", col("other").alias("better"), col("own").alias("worse"))
+    # Pairs go in either direction, so that both classes of the regression are there.
     lead = F.zip_with("better", "worse", lambda a, b: a - b)
-    pairs = good.join(poor, "slot").select(F.when(col("nth") % 2 == 0, 1.0).otherwise(0.0).alias("label"), lead.alias("lead"))
+    pairs = by_good.union(by_poor).select(F.when(col("nth") % 2 == 0, 1.0).otherwise(0.0).alias("label"), lead.alias("lead"))
     pairs = pairs.select(
         "label",
         array_to_vector(F.transform("lead", lambda x: F.when(col("label") == 1.0, x).otherwise(-x))).alias("features"),

@@ -55,3 +55,44 @@ def test_accepted_keeps_columns_with_names_of_helpers(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string, _body string, _features array<double>, row string, `a.b` int")
     kept = accepted(frame, spark.createDataFrame([], "doc_id long, quality int"))
     assert kept.columns == frame.columns and sorted(map(tuple, kept.collect())) == rows
+
+
+def test_pairs_come_from_all_labelled_rows(spark, monkeypatch):
+    """Also where a class has more than 10,000 rows, or rows share an id."""
+    from pyspark.sql import functions as F
+
+    from civiclens.llm import quality
+    from civiclens.llm.common import Scratch
+
+    seen = []
+
+    class Seen(Exception):
+        pass
+
+    class Regression:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, pairs):
+            seen.extend(pairs.collect())
+            raise Seen
+
+    monkeypatch.setattr(quality, "LogisticRegression", Regression)
+    # The first two features tell a good and a poor row; every third poor row comes twice, under one id with other features.
+    zeros = [F.lit(0.0)] * (len(quality.FEATURES) - 2)
+    rows = spark.range(34_000).withColumn("quality", (F.col("id") % 17 > 7).cast("int"))
+    rows = rows.withColumn("copy", F.explode(F.when(F.expr("quality = 0 AND id % 3 = 0"), F.array(F.lit(0), F.lit(100_000))).otherwise(F.array(F.lit(0)))))
+    number = (F.col("id") + F.col("copy") + 1).cast("double")
+    vector = F.array(F.when(F.col("quality") == 1, number).otherwise(0.0), F.when(F.col("quality") == 0, number).otherwise(0.0), *zeros)
+    featured = rows.select(F.col("id").alias("doc_id"), vector.alias("_features"))
+    labels = rows.select(F.col("id").alias("doc_id"), "quality").distinct()
+    try:
+        quality.fit_ranking(featured, labels, Scratch(spark, "test"))
+    except Seen:
+        pass
+    trained = rows.where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0).select("quality", number.alias("n")).collect()
+    used = [{abs(r.features[i]) for r in seen} for i in (1, 0)]
+    assert [{r.n for r in trained if r.quality == q} for q in (0, 1)] == used
+    assert min(map(len, used)) > 10_000 and len(seen) == quality.PARTNERS * len(trained)
+    assert all((r.features[0] > 0 > r.features[1]) == (r.label == 1.0) for r in seen)
+    assert 0.4 < sum(r.label for r in seen) / len(seen) < 0.6
