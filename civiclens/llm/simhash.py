@@ -17,6 +17,8 @@ once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -24,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiclens.llm.common import Batches, Scratch, map_batches, table, utf8
+from civiclens.llm.common import Batches, Scratch, bit_field, has_bit, map_batches, table, utf8
 from civiclens.llm.components import components
 from civiclens.llm.prefixes import frequencies, rarest
 
@@ -42,6 +44,10 @@ NODE_ROWS = 4096
 LEAST_DEPTH, MOST_DEPTH = 8, 30
 FRONTIER = 1 << 18
 """Node pairs expanded at a time in a task."""
+FILTER_BITS = 27
+"""Bits of the fields (16 MB, whatever the input) that tell which prefix elements several sets can have."""
+SKETCH_BITS = 9
+"""A set's sketch has two to the power of this many bits."""
 DIRECT_PAIRS = 16
 """Below this many leaf pairs a node pair is compared leaf by leaf."""
 
@@ -252,8 +258,15 @@ def op7_simhash_trie(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def _sketch(hashes: np.ndarray) -> np.ndarray:
+    """Parities of the bits chosen by a set's hashes: no more of them differ between two sets than elements do."""
+    chosen = (hashes.view(np.uint64) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
+    parities = np.bincount(chosen, minlength=1 << SKETCH_BITS) & 1
+    return np.packbits(parities.astype(np.uint8)).view(np.int64)
+
+
 def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
-    """doc_id, print, and the distinct shingle hashes with their own hash ``node`` of every row."""
+    """doc_id, print, and the distinct shingle hashes with their own hash ``node``, number and sketch of every row."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -264,36 +277,73 @@ def shingle_sets(documents: DataFrame, words: int) -> DataFrame:
                 sets.append(np.unique(np.array(hashes, dtype=np.uint64).view(np.int64)))
                 nodes.append(xxhash.xxh3_64_intdigest(sets[-1].tobytes()))
             longs = [pa.array(np.array(c, dtype=np.uint64).view(np.int64)) for c in (nodes, prints)]
-            columns = [batch.column(0), *longs, pa.array(sets, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "print", "hashes"])
+            sketches = pa.array([_sketch(found) for found in sets], pa.list_(pa.int64()))
+            columns = [batch.column(0), *longs, pa.array([len(found) for found in sets], pa.int32()), sketches]
+            columns.append(pa.array(sets, pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "print", "n", "sketch", "hashes"])
 
     picked = documents.select(col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("body"))
-    return map_batches(picked, run, "doc_id long, node long, print long, hashes array<long>")
+    return map_batches(picked, run, "doc_id long, node long, print long, n int, sketch array<long>, hashes array<long>")
 
 
-def _set_prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """key, place and size of the elements of which sets alike enough share at least one."""
-    frequent = frequencies(sets)
+def _row_bucket(rows: np.ndarray) -> np.ndarray:
+    """Places of rows in the field of the first ones of their sets."""
+    return (rows ^ (rows >> 13)) & ((1 << FILTER_BITS) - 1)
 
-    def run(batches: Batches) -> Batches:
+
+def _set_prefixes(rows: DataFrame, nodes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """key, place and size of the elements of which sets alike enough share at least one, without most of those of one set only.
+
+    Of equal sets the first row emits. Which keys occur twice, a bit field of fixed size says; only these are
+    given their set, place and size and shuffled with them. A false positive of a field is a row more, none less.
+    """
+    frequent = frequencies(rows)
+    mask = F.lit((1 << FILTER_BITS) - 1)
+    first_rows = bit_field(nodes, col("row").bitwiseXOR(F.shiftright("row", 13)).bitwiseAND(mask), FILTER_BITS)
+
+    def elements(batches: Batches) -> Iterator[tuple[np.ndarray, ...]]:
         for batch in batches:
-            nodes, sizes, keys = batch.column(0).to_numpy(), [], []
-            for value in batch.column(1):
+            batch = batch.filter(pa.array(has_bit(first_rows.value, _row_bucket(batch.column(0).to_numpy()))))
+            nodes, sizes, keys = batch.column(1).to_numpy(), [], []
+            for value in batch.column(2):
                 hashes = value.values.to_numpy()
                 least = -(-percent * len(hashes) // 100)
                 sizes.append(len(hashes))
                 keys.append(rarest(hashes, frequent.value, len(hashes) - least + 1 if len(hashes) else 0))
             each = [len(k) for k in keys]
             place = np.concatenate([np.arange(n, dtype=np.int32) for n in each] or [np.empty(0, np.int32)])
-            columns = [np.concatenate(keys or [np.empty(0, np.int64)]), np.repeat(nodes, each), place]
-            columns.append(np.repeat(np.array(sizes, dtype=np.int32), each))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "node", "place", "size"])
+            key = np.concatenate(keys or [np.empty(0, np.int64)])
+            yield key, np.repeat(nodes, each), place, np.repeat(np.array(sizes, dtype=np.int32), each)
 
-    emitted = map_batches(sets.select("node", "hashes"), run, "key long, node long, place int, size int")
-    # Exact copies are one set and emit the same.
+    def keys_only(batches: Batches) -> Batches:
+        for found in elements(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(found[0])], ["key"])
+
+    picked = rows.select("row", "node", "hashes")
+    several = map_batches(picked, keys_only, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    met = bit_field(several, col("key").bitwiseAND(mask), FILTER_BITS)
+    scratch.release()
+
+    def run(batches: Batches) -> Batches:
+        for found in elements(batches):
+            kept = has_bit(met.value, found[0] & ((1 << FILTER_BITS) - 1))
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in found], ["key", "node", "place", "size"])
+
+    emitted = map_batches(picked, run, "key long, node long, place int, size int")
+    # A row that the field of first ones let through emits what the first one of its set does.
     return emitted.groupBy("key", "node").agg(F.first("place").alias("place"), F.first("size").alias("size"))
 
 
+def _possible(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs u, v whose sets can be alike by their sketches."""
+    one = nodes.select(col("node").alias("u"), col("n").alias("of_u"), col("sketch").alias("sketch_u"))
+    other = nodes.select(col("node").alias("v"), col("n").alias("of_v"), col("sketch").alias("sketch_v"))
+    bits = F.zip_with("sketch_u", "sketch_v", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    apart = F.aggregate(bits, F.lit(0), lambda total, some: total + some)
+    near = (100 + percent) * apart <= (100 - percent) * (col("of_u") + col("of_v"))
+    return pairs.join(one, "u").join(other, "v").where(near).select("u", "v")
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs u, v whose sets have a Jaccard similarity of at least ``percent``."""
     one, other = sets.toDF("u", "of_u"), sets.toDF("v", "of_v")
@@ -312,14 +362,17 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
 
     All pairs with at least ``percent`` are found: they share an element of their prefixes. The
     trie's links and a star below each prefix element are compared first; after that only sets not yet in one class are, so
-    a large class costs stars, not all its pairs.
+    a large class costs stars, not all its pairs. Sets are fetched only for pairs that can be alike by their sketches.
     """
     scratch = Scratch(documents.sparkSession, "alike")
     scratch.release()  # of what the stage before has left
-    rows = scratch.stage(shingle_sets(documents.where("doc_id IS NOT NULL"), words), "rows")
-    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("print").alias("print"))
-    nodes = scratch.stage(nodes, "nodes")
-    prefixes = scratch.stage(_set_prefixes(rows, percent), "prefixes")
+    rows = shingle_sets(documents.where("doc_id IS NOT NULL"), words).withColumn("row", F.monotonically_increasing_id())
+    rows = scratch.stage(rows, "rows")
+    alike = [F.first(c).alias(c) for c in ("print", "n", "sketch")]
+    nodes = rows.groupBy("node").agg(F.min(F.struct("doc_id", "row")).alias("first"), *alike)
+    nodes = scratch.stage(nodes.select("node", col("first.doc_id").alias("least"), "first.row", "print", "n", "sketch"), "nodes")
+    prefixes = scratch.stage(_set_prefixes(rows, nodes, percent, scratch), "prefixes")
+    scratch.release()
     met = prefixes.groupBy("key").agg(
         F.count("*").alias("n"),
         *[F.min(F.struct(F.xxhash64(F.lit(k), "node"), "node", "size")).alias(f"star{k}") for k in (0, 1)],
@@ -335,15 +388,15 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
     equal = nodes.join(prints, "print").select(col("node").alias("u"), "v")
     close = near_links(prints.select("print")).toDF("a", "b")
     close = close.join(prints.toDF("a", "u"), "a").join(prints.toDF("b", "v"), "b").select("u", "v")
-    tried = scratch.stage(_ordered(stars.union(equal).union(close)), "tried")
+    tried = scratch.stage(_possible(_ordered(stars.union(equal).union(close)), nodes, percent), "tried")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes, "node")
+        wanted = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(nodes.select("node", "row"), "node")
         # Written, so that its size is known and few sets are fetched without shuffling all.
-        wanted = scratch.stage(wanted.select("node", col("least").alias("doc_id")), f"wanted-{name}")
+        wanted = scratch.stage(wanted, f"wanted-{name}")
+        scratch.release()
+        sets = scratch.stage(rows.select("row", "hashes").join(wanted, "row").select("node", "hashes"), f"sets-{name}")
         scratch.release()
-        sets = rows.select("doc_id", "node", "hashes").join(wanted, ["doc_id", "node"])
-        sets = scratch.stage(sets.dropDuplicates(["node"]).select("node", "hashes"), f"sets-{name}")
         return scratch.stage(_alike(pairs, sets, percent), f"links-{name}")
 
     links = compared(tried, "first")
@@ -367,7 +420,7 @@ def similar_classes(documents: DataFrame, words: int = STAGE_WORDS, percent: int
         & ((100 + percent) * behind >= percent * (col("size_a") + col("size")))
     )
     pairs = _ordered(pairs.select(col("node_a").alias("u"), col("node").alias("v"))).join(tried, ["u", "v"], "left_anti")
-    links = links.union(compared(scratch.stage(pairs, "pairs"), "rest"))
+    links = links.union(compared(scratch.stage(_possible(pairs, nodes, percent), "pairs"), "rest"))
     for done in ("apart", "sets-rest"):
         scratch.drop(done)
     scratch.release()

@@ -1,5 +1,6 @@
 import random
 
+from civiclens.llm.common import Scratch
 from civiclens.llm.simhash import fingerprint, representatives, similar_classes
 
 
@@ -48,3 +49,26 @@ def test_classes_by_jaccard_are_those_of_brute_force(texts):
     assert {r.doc_id for r in representatives(texts(*docs.items())).collect()} == set(want.values())
     far = sum((fingerprint((docs[i] or "").encode()) ^ fingerprint((docs[j] or "").encode())).bit_count() > 3 for i, j in want.items())
     assert far > 20
+
+
+def test_only_what_can_meet_is_written(texts, monkeypatch):
+    rnd = random.Random(4)
+    word = lambda: f"w{rnd.randrange(10**9)}"
+    common = [word() for _ in range(5)]
+    docs = {i: " ".join([word() for _ in range(100)] + common) for i in range(40)}
+    near = docs[0].split()
+    near[50] = word()
+    docs[40], docs[41] = " ".join(near), docs[1]
+    written, stage = {}, Scratch.stage
+
+    def counted(self, frame, name):
+        out = stage(self, frame, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", counted)
+    found = {r.doc_id: r.component_id for r in similar_classes(texts(*docs.items())).collect()}
+    assert found == {i: {40: 0, 41: 1}.get(i, i) for i in docs}
+    # 41 sets have one element in common, and two of them the elements of a near copy.
+    assert written["nodes"] == 41 and written["prefixes"] <= 2 * 21 + 41
+    assert written["tried"] == 1 and written["sets-first"] == 2
