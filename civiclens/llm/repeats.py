@@ -16,6 +16,7 @@ so no group grows with the number of copies.
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ BLOCK = 8
 SHARD_BYTES = 1 << 20
 """Text of one suffix array, about; fragments under one hash stay together."""
 CHUNK = 1 << 18
-"""Windows of a text hashed at a time."""
+"""Windows hashed at a time."""
 FILTER_BITS = 27
 """Bits of the field (16 MB, whatever the input) that tells which hashes can occur twice."""
 BASE = 0x9E3779B97F4A7C15
@@ -84,23 +85,48 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(out[:windows], out[width - span : width - span + windows])
 
 
-def fragments(body: bytes, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Start, number of windows, anchor hash and digest of all fragments of a text."""
-    whole, parts = np.frombuffer(body, dtype=np.uint8), []
-    for first in range(0, len(whole) - length + 1, CHUNK):
-        piece = whole[first : first + CHUNK + length - 1]
-        rolling = Rolling(piece)
-        grams = rolling.of(slice(0, len(piece) - gram + 1), slice(gram, len(piece) + 1))
+def _pieces(bodies: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Number of the text, start and bytes of pieces with all windows, lists of about ``CHUNK`` bytes."""
+    held, size = [], 0
+    for k, body in enumerate(bodies):
+        for first in range(0, len(body) - length + 1, CHUNK):
+            piece = body[first : first + CHUNK + length - 1]
+            if held and size + len(piece) > CHUNK:
+                yield held
+                held, size = [], 0
+            held.append((k, first, piece))
+            size += len(piece)
+    if held:
+        yield held
+
+
+def fragments(bodies: list[bytes], length: int, gram: int, digested: bool = True) -> Iterator[tuple[np.ndarray, ...]]:
+    """Number of the text, start, number of windows, anchor hash and (if ``digested``) digest of all fragments of some texts.
+
+    Short texts are hashed together; no window crosses texts.
+    """
+    for pieces in _pieces(bodies, length):
+        numbers, firsts, parts = zip(*pieces)
+        sizes = np.array([len(p) for p in parts])
+        begins = np.cumsum(sizes) - sizes
+        body = np.frombuffer(b"".join(parts), dtype=np.uint8)
+        rolling = Rolling(body)
+        grams = rolling.of(slice(0, len(body) - gram + 1), slice(gram, len(body) + 1))
         least = _smallest(grams, length - gram + 1)
-        # The anchor changes when a smaller hash comes in or the present one drops out.
-        change = (least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1])
-        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        # The anchor changes when a smaller hash comes in or the present one drops out, or the text ends.
+        change = np.append(True, (least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1]))
+        behind = begins + sizes - (length - 1)  # the first windows that cross into the next text
+        change[begins] = True
+        change[behind[:-1]] = True
+        starts = np.flatnonzero(change)
         counts = np.diff(np.append(starts, len(least)))
-        digests = rolling.of(starts, starts + counts + length - 1)
-        parts.append((starts + first, counts, least[starts].view(np.int64), digests.view(np.int64)))
-    if not parts:
-        return tuple(np.empty(0, dtype=np.int64) for _ in range(4))
-    return tuple(np.concatenate(column) for column in zip(*parts))
+        at = np.searchsorted(begins, starts, side="right") - 1
+        inside = starts < behind[at]
+        starts, counts, at = starts[inside], counts[inside], at[inside]
+        found = [np.array(numbers)[at], starts - begins[at] + np.array(firsts)[at], counts, least[starts].view(np.int64)]
+        if digested:
+            found.append(rolling.of(starts, starts + counts + length - 1).view(np.int64))
+        yield tuple(found)
 
 
 ROW = ("doc", "tag")
@@ -120,18 +146,16 @@ def _packed(batches: Batches) -> Batches:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _bucket(salt: int, anchors: np.ndarray) -> np.ndarray:
+def _bucket(salt: np.ndarray, anchors: np.ndarray) -> np.ndarray:
     return (anchors ^ salt) & ((1 << FILTER_BITS) - 1)
 
 
 def _anchors(bodies: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for salt, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                anchors = fragments(body.as_py(), length, gram)[2]
-                if len(anchors):
-                    salts = np.full(len(anchors), salt, dtype=np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(salts), pa.array(anchors)], ["salt", "anchor"])
+            salts = batch.column(0).to_numpy()
+            for owner, _, _, anchors in fragments([b.as_py() for b in batch.column(1)], length, gram, False):
+                yield pa.RecordBatch.from_arrays([pa.array(salts[owner]), pa.array(anchors)], ["salt", "anchor"])
 
     return map_batches(bodies.select("salt", "body"), lambda batches: _packed(run(batches)), "salt long, anchor long")
 
@@ -141,18 +165,14 @@ def _fragments(bodies: DataFrame, length: int, gram: int, met: Broadcast) -> Dat
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for doc, tag, salt, body in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3)):
-                found = fragments(body.as_py(), length, gram)
-                if not len(found[0]):
-                    continue
-                several = has_bit(met.value, _bucket(salt, found[2]))
-                starts, counts, anchors, digests = (part[several] for part in found)
-                for at in range(0, len(starts), 1 << 16):
-                    part = slice(at, at + (1 << 16))
-                    columns = [pa.array(np.full(len(starts[part]), k, dtype=np.int64)) for k in (doc, tag, salt)]
-                    columns += [pa.array(c[part].astype(np.int32)) for c in (starts, counts)]
-                    columns += [pa.array(c[part]) for c in (anchors, digests)]
-                    yield pa.RecordBatch.from_arrays(columns, [*ROW, "salt", "start", "n", "anchor", "digest"])
+            rows = [batch.column(k).to_numpy() for k in range(3)]
+            for found in fragments([b.as_py() for b in batch.column(3)], length, gram):
+                several = has_bit(met.value, _bucket(rows[2][found[0]], found[3]))
+                owner, starts, counts, anchors, digests = (part[several] for part in found)
+                columns = [pa.array(row[owner]) for row in rows]
+                columns += [pa.array(c.astype(np.int32)) for c in (starts, counts)]
+                columns += [pa.array(c) for c in (anchors, digests)]
+                yield pa.RecordBatch.from_arrays(columns, [*ROW, "salt", "start", "n", "anchor", "digest"])
 
     picked = bodies.select(*ROW, "salt", "body")
     return map_batches(picked, lambda batches: _packed(run(batches)), f"doc long, tag long, salt long, {CUT}")

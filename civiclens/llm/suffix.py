@@ -7,7 +7,8 @@ scans then induce all suffixes from the sorted leftmost ones.
 
 A scan visits one bucket (suffixes with the same first symbol) at a time and hands all its
 predecessors on at once, as a stable sort by symbol; only runs of one symbol take further rounds. Texts
-with more symbols than ``MOST_BUCKETS``, which only the recursion meets, are scanned entry by entry.
+with more symbols than ``MOST_BUCKETS``, which only the recursion meets, are sorted by doubled prefixes: a scan of their
+many small buckets would go entry by entry.
 """
 
 from __future__ import annotations
@@ -80,39 +81,25 @@ def _scan_buckets(text, smaller, leftmost, heads, ends):
     return suffixes
 
 
-def _scan_entries(text, smaller, leftmost, heads, ends):
-    """Both scans entry by entry, for large alphabets."""
+def _by_doubling(text: np.ndarray) -> np.ndarray:
+    """All suffixes by their first symbols, then by twice as many in every round; only those still equal to others are sorted again."""
     n = len(text)
-    # For each suffix the symbol before it, -1 where that suffix is not of the type induced; the last
-    # entry answers for places still empty (-1).
-    before = np.append(text[-1:], text[:-1])
-    is_s = np.append(True, smaller[:-1])
-    larger_before = np.append(np.where(is_s, -1, before), -1).tolist()
-    smaller_before = np.append(np.where(is_s, before, -1), -1).tolist()
-    larger_before[0] = smaller_before[0] = -1
-    symbols = text.tolist()
-    suffixes = [-1] * n
-    at = ends.tolist()
-    for i in reversed(leftmost.tolist()):
-        c = symbols[i]
-        suffixes[at[c]] = i
-        at[c] -= 1
-    at = heads.tolist()
-    for i in suffixes:  # the list grows ahead of the scan
-        c = larger_before[i]
-        if c >= 0:
-            k = at[c]
-            suffixes[k] = i - 1
-            at[c] = k + 1
-    at = ends.tolist()
-    for i in reversed(suffixes):
-        c = smaller_before[i]
-        if c >= 0:
-            k = at[c]
-            suffixes[k] = i - 1
-            at[c] = k - 1
-    suffixes[0] = n - 1
-    return np.array(suffixes, dtype=np.int64)
+    order = np.argsort(text)
+    rank = np.empty(n, dtype=np.int64)
+    pending, keys, size = np.arange(n), text[order], 0
+    while len(pending):
+        fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        counts = np.diff(np.append(fresh, len(pending)))
+        # A suffix's rank is the place of the first one equal to it.
+        rank[order[pending]] = np.repeat(pending[fresh], counts)
+        pending = pending[np.repeat(counts > 1, counts)]
+        size = 2 * size or 1
+        # The last symbol occurs once, so suffixes that agree in so many symbols go on behind them.
+        suffixes = order[pending]
+        keys = rank[suffixes] * n + rank[suffixes + size]
+        by = np.argsort(keys)
+        order[pending], keys = suffixes[by], keys[by]
+    return order
 
 
 def _named(text: np.ndarray, sorted_starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -140,14 +127,14 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if n <= 2:
         return np.arange(n)[::-1].copy()
     symbols = int(text.max()) + 1
+    if symbols > MOST_BUCKETS:
+        return _by_doubling(text)
     counts = np.bincount(text, minlength=symbols)
     ends = np.cumsum(counts) - 1
     heads = ends - counts + 1
     smaller = _types(text)
     starts = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1
-    scan = _scan_buckets if symbols <= MOST_BUCKETS else _scan_entries
-
-    rough = scan(text, smaller, starts, heads, ends)
+    rough = _scan_buckets(text, smaller, starts, heads, ends)
     is_start = np.zeros(n, dtype=bool)
     is_start[starts] = True
     in_order = rough[is_start[rough]]
@@ -158,7 +145,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
         name_at = np.zeros(n, dtype=np.int64)
         name_at[in_order] = names
         in_order = starts[suffix_array(name_at[starts])]
-    return scan(text, smaller, in_order, heads, ends)
+    return _scan_buckets(text, smaller, in_order, heads, ends)
 
 
 def permuted_prefixes(body: np.ndarray, suffixes: np.ndarray, room: np.ndarray, most: int) -> np.ndarray:

@@ -87,3 +87,13 @@ def test_texts_under_one_id_are_several(texts):
     p, q = ("".join(rnd.choice("abcd ") for _ in range(300)) for _ in range(2))
     rows = without_repeats(texts((0, p), (1, p), (1, q), (1, q))).collect()
     assert sorted((r.doc_id, r.n_bytes, bytes(r.kept).decode()) for r in rows) == sorted([(0, 300, p), (1, 300, ""), (1, 300, q), (1, 300, q)])
+
+
+def test_short_texts_are_hashed_together(monkeypatch):
+    docs = [t.encode() for t in made(11).values()]
+    alone = [[(k, *row[1:]) for found in repeats.fragments([d], 100, 20) for row in zip(*(c.tolist() for c in found))] for k, d in enumerate(docs)]
+    built, rolling = [], repeats.Rolling
+    monkeypatch.setattr(repeats, "Rolling", lambda body: built.append(len(body)) or rolling(body))
+    together = [row for found in repeats.fragments(docs, 100, 20) for row in zip(*(c.tolist() for c in found))]
+    assert together == [row for rows in alone for row in rows] and len(together) > 1000
+    assert len(built) == 1 and sum(len(d) >= 100 for d in docs) > 30

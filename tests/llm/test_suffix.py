@@ -31,3 +31,12 @@ def test_suffixes_are_sorted_and_share_prefixes(buckets, monkeypatch):
             while n < 15 and max(at, before) + n < len(bytes_) and body[at + n] == body[before + n]:
                 n += 1
             assert shared[at] == n
+
+
+def test_large_alphabets_are_not_scanned_bucket_by_bucket(monkeypatch):
+    rnd = random.Random(5)
+    part = [rnd.randint(1, 3000) for _ in range(400)]
+    text = np.array(part * 2 + [rnd.randint(1, 3000) for _ in range(2000)] + part + [7] * 90 + [0])
+    monkeypatch.setattr(suffix, "_types", None)
+    body = text.tolist()
+    assert suffix.suffix_array(text).tolist() == sorted(range(len(body)), key=lambda i: body[i:])
