@@ -13,11 +13,12 @@ place of pairs: lines that thousands of documents share, or that differ in one w
 thousands, cost one row each. Before that, equal lines are one line, and of the rest only those can have a
 partner that share their first or last half with another line; only these emit variants.
 
-The variants of k edits would be n^k. Of a long line's pairs of words next to each other, k edits change 2k at most; so of two lines k edits apart
-the 2k+1 rarest pairs of one and of the other have one in common. The earliest
-line of each such key is met first, and lines that find no partner that way meet all earlier ones of their keys. Each line has a sketch
-of 64 bits, the parities of the bits that its words' hashes choose; one edit changes two of them at most, so most lines that cannot be near are
-told apart by their sketches and only the rest by their words.
+The variants of k edits would be n^k. Of a long line's runs of three words, k edits change 3k at most; so of two lines k edits apart
+the 3k+1 rarest runs of one and of the other have one in common, rare being those that hold a rare pair of words. (Pairs would be fewer, but the
+more lines there are, the more of them share a pair by chance.) A run that a line has several times is one key, as lines that share it a second time share
+it a first time. The earliest line of each such key is met first; lines that are not near it and have keys of three lines or more meet all earlier ones of these.
+Each line has a sketch of 64 bits, the parities of the bits that its words' hashes choose; one edit changes two of them at most, so most lines that
+cannot be near are told apart by their sketches and only the rest by their words.
 
 Lines are cut, hashed and given their keys for a whole chunk of texts at a time. Which lines are the first of their kind, and which keys
 meet, tasks know from bit fields of fixed size, so what cannot meet is left out before it is shuffled; a false positive is left
@@ -34,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from civiclens.llm.common import Batches, Scratch, bit_field, has_bit, join_counted, map_batches, table, utf8
@@ -48,7 +49,7 @@ EDIT_WORDS = 10
 """One edit is allowed for so many words."""
 LONG_WORDS = 2 * EDIT_WORDS
 """From here on more than one edit is allowed; a line with one edit has up to this many words."""
-GRAM_WORDS = 2
+GRAM_WORDS = 3
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 WHOLE = -1
 """Place of the variant that lacks no word."""
@@ -58,6 +59,8 @@ CHUNK = 1 << 20
 BUCKETS = 1 << 18
 """Counters of how often pairs of words occur; the rarest ones are taken as keys."""
 SLICE = 1 << 12
+BEFORE = 8
+"""Keys of a line that go with its next one, so that lines with many keys in common are one pair seldom more than once."""
 FILTER_BITS = 27
 LINE_END = re.compile(rb"\n")
 AT = ("doc", "tag", "line")
@@ -140,15 +143,22 @@ class Lines:
         bits = np.uint64(1) << (self.hashes >> np.uint64(58))
         return np.bitwise_xor.reduceat(bits, self.start).view(np.int64) if len(self.start) else self.start
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, line and place in the line of all words next to each other in long lines."""
-        long = self.n >= LONG_WORDS
-        inside = np.repeat(long, self.n)
-        last = np.zeros(len(self.hashes), dtype=bool)
-        last[self.end - 1] = True
-        first = np.flatnonzero(inside & ~last)
-        line = np.repeat(np.arange(len(self.n)), self.n)[first]
-        return mixed(self.hashes[first] * BASES[0] + self.hashes[first + 1]), line, first - self.start[line]
+    def runs(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and line of all runs of so many words in long lines."""
+        line = np.repeat(np.arange(len(self.n)), np.where(self.n >= LONG_WORDS, self.n, 0))
+        ahead = np.cumsum(np.where(self.n >= LONG_WORDS, self.n, 0)) - np.where(self.n >= LONG_WORDS, self.n, 0)
+        place = np.arange(len(line)) - ahead[line]
+        kept = place <= self.n[line] - size
+        return self.start[line[kept]] + place[kept], line[kept]
+
+    @functools.cached_property
+    def pairs(self) -> np.ndarray:
+        """Hash of every word with the next one."""
+        return mixed(self.hashes[:-1] * BASES[0] + self.hashes[1:])
+
+
+def _counter(pairs: np.ndarray) -> np.ndarray:
+    return (pairs & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 LINE_TABLE = "doc long, tag long, line int, n int, digest1 long, digest2 long, halves array<long>, counts binary"
@@ -167,8 +177,7 @@ def line_table(documents: DataFrame) -> DataFrame:
             found = Lines(*part)
             if not len(found.n):
                 continue
-            grams = found.pairs()[0]
-            seen += np.bincount((grams & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+            seen += np.bincount(_counter(found.pairs[found.runs(2)[0]]), minlength=BUCKETS)
             n = len(found.n)
             columns = [found.doc, found.tag, found.line.astype(np.int32), found.n.astype(np.int32), *found.digests]
             yield _batch([*(pa.array(c) for c in columns), found.halves(), pa.nulls(n, pa.binary())])
@@ -217,10 +226,10 @@ def _line_bucket_column() -> Column:
 KEY_TABLE = "key long, place int, doc long, tag long, line int, n int, sketch long"
 
 
-def pair_keys(documents: DataFrame, counts: Broadcast, first_lines: Broadcast) -> DataFrame:
-    """The rarest pairs of the first long lines, with their place among the line's pairs, its words and its sketch.
+def run_keys(documents: DataFrame, counts: Broadcast, first_lines: Broadcast) -> DataFrame:
+    """The rarest runs of the first long lines, with their place among the line's runs, its words and its sketch.
 
-    A pair that a line has several times is a key for each time.
+    A run that a line has several times has as many places and is a key for the first one only.
     """
 
     def run(batches: Batches) -> Batches:
@@ -229,22 +238,20 @@ def pair_keys(documents: DataFrame, counts: Broadcast, first_lines: Broadcast) -
             if not len(found.n):
                 continue
             first = has_bit(first_lines.value, _line_bucket(found.doc, found.tag, found.line))
-            grams, line, _ = found.pairs()
-            kept = first[line]
-            grams, line = grams[kept], line[kept]
-            if not len(grams):
+            start, line = found.runs(GRAM_WORDS)
+            start, line = start[first[line]], line[first[line]]
+            if not len(start):
                 continue
-            rarity = counts.value[(grams & np.uint64(BUCKETS - 1)).astype(np.int64)]
+            grams = mixed(found.pairs[start] * BASES[0] + found.hashes[start + 2])
+            rarity = np.minimum(*(counts.value[_counter(found.pairs[start + k])] for k in range(2)))
             order = np.lexsort((grams, line << 40 | np.minimum(rarity, (1 << 40) - 1)))
             grams, line = grams[order], line[order]
             at = np.arange(len(grams))
             head = np.append(True, line[1:] != line[:-1])
             fresh = head | np.append(True, grams[1:] != grams[:-1])
             rank = at - np.maximum.accumulate(np.where(head, at, 0))
-            taken = np.flatnonzero(rank <= GRAM_WORDS * np.maximum(1, found.n // EDIT_WORDS)[line])
-            again = (at - np.maximum.accumulate(np.where(fresh, at, 0)))[taken]
-            keys = grams[taken] + again.astype(np.uint64) * BASES[1]
-            line = line[taken]
+            taken = np.flatnonzero(fresh & (rank <= GRAM_WORDS * np.maximum(1, found.n // EDIT_WORDS)[line]))
+            keys, line = grams[taken], line[taken]
             columns = [keys.view(np.int64), rank[taken].astype(np.int32), found.doc[line], found.tag[line]]
             columns += [found.line[line].astype(np.int32), found.n[line].astype(np.int32), found.sketches()[line]]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _names(KEY_TABLE))
@@ -423,10 +430,13 @@ def near_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def met_keys(documents: DataFrame, lines: DataFrame, firsts: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rarest pairs that several long lines have, with the earliest of these; of equal lines the earliest stands for all."""
+    """The rarest runs that several long lines have, with the earliest of these; of equal lines the earliest stands for all.
+
+    Of a key of two lines there is a row only if they may be near: for a later look at all lines of a key it has nothing left.
+    """
     long = firsts.where(col("n") >= LONG_WORDS).select("first.*")
     first_lines = bit_field(long, _line_bucket_column(), FILTER_BITS)
-    keys = scratch.stage(pair_keys(documents, pair_counts(lines), first_lines), "pair-keys")
+    keys = scratch.stage(run_keys(documents, pair_counts(lines), first_lines), "run-keys")
     scratch.drop("lines")
     several = keys.groupBy("key").agg(F.count("*").alias("places")).where("places > 1").select("key")
     field = bit_field(several, col("key").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)), FILTER_BITS)
@@ -436,15 +446,14 @@ def met_keys(documents: DataFrame, lines: DataFrame, firsts: DataFrame, scratch:
         for batch in batches:
             yield batch.filter(pa.array(has_bit(field.value, batch.column(0).to_numpy() & ((1 << FILTER_BITS) - 1))))
 
-    few = map_batches(keys, run, KEY_TABLE)
-    # The field of first lines may have let a copy through.
-    met = scratch.stage(few.join(long, list(AT), "left_semi"), "met-keys")
-    scratch.drop("pair-keys")
-    scratch.release()
+    met = scratch.stage(map_batches(keys, run, KEY_TABLE), "met-keys")
+    scratch.drop("run-keys")
     members = [*AT, "n", "place", "sketch"]
     first = met.groupBy("key").agg(F.min(F.struct(*members)).alias("first"), F.count("*").alias("places"))
     first = scratch.stage(first.where("places > 1"), "first-keys")
-    starred = scratch.stage(join_counted(met, first, ["key"], "places").drop("places"), "starred-keys")
+    scratch.release()
+    starred = join_counted(met, first, ["key"], "places")
+    starred = scratch.stage(starred.where((col("places") > 2) | _near_first()), "starred-keys")
     for done in ("met-keys", "first-keys"):
         scratch.drop(done)
     scratch.release()
@@ -461,18 +470,36 @@ def _possible(earlier: Callable[[str], Column]) -> Column:
     return (longer - shorter <= most) & shared & (F.bit_count(col("sketch").bitwiseXOR(earlier("sketch"))) <= 2 * most)
 
 
+def _near_first() -> Column:
+    """Whether a line comes after the earliest one of its key and may be near it."""
+    return _behind_first() & _possible(lambda c: col(f"first.{c}"))
+
+
+def _behind_first() -> Column:
+    return F.struct(*[col(f"first.{c}").alias(c) for c in AT]) < _at()
+
+
 def _star_pairs(met: DataFrame) -> DataFrame:
     """Lines and the earliest line of one of their keys that may be near."""
-    first = lambda c: col(f"first.{c}")
-    before = F.struct(*[first(c) for c in AT]) < _at()
-    return met.where(before & _possible(first)).select(*AT, *[first(c).alias(f"at_{c}") for c in AT]).distinct()
+    return met.where(_near_first()).select(*AT, *[col(f"first.{c}").alias(f"at_{c}") for c in AT]).distinct()
+
+
+def _with_before(met: DataFrame) -> DataFrame:
+    """The rows with the keys just before theirs in the line's order."""
+    ahead = Window.partitionBy(*AT).orderBy("place").rowsBetween(-BEFORE, -1)
+    return met.withColumn("before", F.collect_list("key").over(ahead))
 
 
 def _all_pairs(left: DataFrame, met: DataFrame) -> DataFrame:
-    """Lines of ``left`` and all earlier lines of their keys that may be near."""
-    left = left.where(F.struct(*[col(f"first.{c}").alias(c) for c in AT]) < _at()).drop("first")
-    earlier = met.select("key", *[col(c).alias(f"at_{c}") for c in (*AT, "n", "place", "sketch")])
-    rest = left.join(earlier, "key").where((_at("at_") < _at()) & _possible(lambda c: col(f"at_{c}")))
+    """Lines of ``left`` and all earlier lines of their keys, behind the earliest one, that may be near.
+
+    Lines are no pair at a key if they have one of the keys before it in common: at the first key they have in common they are one, or the earlier
+    line is that key's earliest, which the other one is known not to be near.
+    """
+    earlier = met.where(_behind_first()).select("key", *[col(c).alias(f"at_{c}") for c in (*AT, "n", "place", "sketch", "before")])
+    rest = left.where(_behind_first()).drop("first").join(earlier, "key")
+    once = ~F.arrays_overlap("before", "at_before")
+    rest = rest.where((_at("at_") < _at()) & _possible(lambda c: col(f"at_{c}")) & once)
     return rest.select(*AT, *[f"at_{c}" for c in AT]).distinct()
 
 
@@ -506,29 +533,27 @@ def repeated_lines(frame: DataFrame, id_column: str = "doc_id", text: str = "tex
     wanted = scratch.stage(halves.join(shared, "half", "left_semi").select(*AT).distinct(), "wanted")
     scratch.release()
     met = met_keys(documents, lines, firsts, scratch)
-    scratch.drop("firsts")
     stars = scratch.stage(_star_pairs(met), "star-pairs")
-    alone = met.join(stars.select(*AT), list(AT), "left_anti")
-    pairs = scratch.stage(stars.union(_all_pairs(alone, met)), "pairs")
-    scratch.release()
-    texts = scratch.stage(_texts(documents, wanted.union(_of_pairs(pairs)).distinct()), "texts")
+    texts = scratch.stage(_texts(documents, wanted.union(_of_pairs(stars)).distinct()), "texts")
     scratch.release()
-    near = [scratch.stage(near_copies(texts, scratch), "near"), scratch.stage(_compared(pairs, texts), "near-long")]
+    near = [scratch.stage(near_copies(texts, scratch), "near"), scratch.stage(_compared(stars, texts), "near-long")]
     for done in ("met-variants", "texts"):
         scratch.drop(done)
+    # Lines that are not near the earliest one of a key have not met the others yet. The field of first lines may have let a copy through.
+    long = firsts.where(col("n") >= LONG_WORDS).select("first.*")
+    crowded = scratch.stage(_with_before(met.where("places > 2").drop("places").join(long, list(AT), "left_semi")), "crowded-keys")
+    for done in ("firsts", "starred-keys", "star-pairs"):
+        scratch.drop(done)
+    scratch.release()
+    others = scratch.stage(_all_pairs(crowded.join(near[1], list(AT), "left_anti"), crowded), "other-pairs")
     scratch.release()
-    # Lines that may be near the earliest one of a key, and are not, have not met the others yet.
-    failed = scratch.stage(stars.select(*AT).distinct().join(near[1], list(AT), "left_anti"), "failed")
-    if not failed.isEmpty():
-        again = met.join(failed, list(AT), "left_semi")
-        others = scratch.stage(_all_pairs(again, met), "other-pairs")
-        scratch.release()
+    if not others.isEmpty():
         near.append(scratch.stage(_compared(others, _texts(documents, _of_pairs(others))), "near-others"))
     for more in near:
         copies = copies.union(more)
     removed = copies.groupBy("doc", "tag").agg(F.sort_array(F.collect_set("line")).alias("removed"))
     removed = scratch.stage(removed, "removed")
-    for done in ("starred-keys", "star-pairs", "pairs", "other-pairs", "wanted", "copies", "near", "near-long", "near-others", "failed"):
+    for done in ("crowded-keys", "other-pairs", "wanted", "copies", "near", "near-long", "near-others"):
         scratch.drop(done)
     scratch.release()
     return removed

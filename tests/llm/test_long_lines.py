@@ -2,6 +2,8 @@ import random
 
 from test_lines import words_distance
 
+from civiclens.llm import lines
+from civiclens.llm.common import Scratch
 from civiclens.llm.lines import repeated_lines, within_edits
 
 
@@ -60,3 +62,47 @@ def test_lines_with_the_same_sketch_in_another_order(texts):
     docs = {1: [*words[20:], *words[:20]], 2: words, 3: [*words[:10], "x", *words[11:]], 4: [*words[20:], *words[1:20], "y"]}
     found = repeated_lines(texts(*[(i, " ".join(line)) for i, line in docs.items()])).collect()
     assert {r.doc for r in found} == {3, 4}
+
+
+def staged(monkeypatch):
+    """The rows of every intermediate table, by name, and their schemas."""
+    found, stage = {"schemas": {}}, Scratch.stage
+
+    def kept(self, frame, name):
+        out = stage(self, frame, name)
+        found[name], found["schemas"][name] = out.collect(), out.schema
+        return out
+
+    monkeypatch.setattr(Scratch, "stage", kept)
+    return found
+
+
+def test_lines_that_share_pairs_of_words_by_chance_meet_nobody(texts, monkeypatch):
+    rnd, found = random.Random(5), staged(monkeypatch)
+    runs = set()
+    docs = []
+    while len(docs) < 200:
+        line = [f"w{rnd.randrange(60)}" for _ in range(25)]
+        own = set(zip(line, line[1:], line[2:]))
+        if not own & runs:
+            runs |= own
+            docs.append((len(docs), " ".join(line)))
+    assert repeated_lines(texts(*docs)).collect() == []
+    assert found["starred-keys"] == []
+
+
+def test_lines_with_many_keys_in_common_are_one_pair_once(texts, spark, monkeypatch):
+    """A run that lines repeat is one key, and what is joined grows with the pairs of lines, not with their keys."""
+    rnd, found = random.Random(6), staged(monkeypatch)
+    common = [f"c{k}" for k in range(20)]
+    docs = {}
+    for i in range(40):
+        own = [f"o{rnd.randrange(9999)}" for _ in range(rnd.randint(8, 14))]
+        docs[i] = " ".join([*own, *common, *["is", "on"] * rnd.randint(14, 16)])
+    assert {r.doc: r.removed for r in repeated_lines(texts(*docs.items())).collect()} == brute(docs)
+    keys = [(r.doc, r.key) for r in found["met-keys"]]
+    assert len(keys) == len(set(keys))
+    crowded = spark.createDataFrame(found["crowded-keys"], found["schemas"]["crowded-keys"])
+    monkeypatch.setattr(type(crowded), "distinct", lambda frame: frame)
+    pairs = lines._all_pairs(crowded, crowded).collect()
+    assert 0 < len(pairs) <= 1.1 * len(set(pairs))
