@@ -75,25 +75,30 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     col = F.col
     start = (col("l_partkey") * 7 + col("l_suppkey")) % 1440
     shift = start + col("l_quantity").cast("int") * 997 - 2400
-    narrow = (
-        lines.join(orders, col("l_orderkey") == col("o_orderkey"))
-        .join(customers, col("o_custkey") == col("c_custkey"))
-        .select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-            "l_discount", "l_tax", "l_returnflag", "l_linestatus",
-            "o_orderstatus", "o_orderpriority", "c_custkey", "c_nationkey",
-            (col("c_custkey") % 400).cast("int").alias("a"),
-            (col("l_shipdate") + F.make_dt_interval(mins=start.cast("int"))).alias("created_ts"),
-            (col("l_shipdate") + F.make_dt_interval(mins=shift.cast("int"))).alias("changed_ts"),
-        )
+    # Lines are shuffled once, by order and as what the columns need of them: orders meet their customers first, so a hot
+    # customer moves no lines, and adaptive execution splits a hot order. A merge join also spreads a table of few row
+    # groups, which a broadcast would leave to few tasks.
+    narrow = lines.select(
+        "l_orderkey", "l_linenumber",
+        (col("l_partkey") % len(REQUEST_TYPES)).cast("int").alias("kind"),
+        (col("l_suppkey") % len(DEPARTMENTS)).cast("int").alias("owner"),
+        _unless(
+            col("l_suppkey") % 5 < 2, (col("l_partkey") + col("l_suppkey")) % len(DEPARTMENTS)
+        ).cast("int").alias("creator"),
+        (col("l_discount") == 0.0).alias("duplicate"),
+        (col("l_tax") == 0.0).alias("legacy"),
+        ((col("l_returnflag") == "A") & (col("l_linestatus") == "O")).alias("unclosed"),
+        (col("l_shipdate") + F.make_dt_interval(mins=start.cast("int"))).alias("created_ts"),
+        (col("l_shipdate") + F.make_dt_interval(mins=shift.cast("int"))).alias("changed_ts"),
+    )
+    placed = orders.join(customers, col("o_custkey") == col("c_custkey")).select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "c_custkey", "c_nationkey",
+        (col("c_custkey") % 400).cast("int").alias("a"),
     )
-    # Spread the narrow rows by their key before they are widened: joins on a hot customer
-    # or a table of few row groups would otherwise leave the wide write to few tasks.
-    spread = narrow.hint("rebalance", col("l_orderkey"), col("l_linenumber"))
-    base = spread.withColumns({"created": _iso(col("created_ts")), "changed": _iso(col("changed_ts"))})
+    base = narrow.hint("merge").join(placed, col("l_orderkey") == col("o_orderkey")).withColumns({"created": _iso(col("created_ts")), "changed": _iso(col("changed_ts"))})
 
     a, order_text = col("a"), _number(col("l_orderkey"))
-    kind = col("l_partkey") % len(REQUEST_TYPES)
+    kind = col("kind")
     unplaced = a % 13 == 0
     latitude = _unless(unplaced, F.concat(F.lit("41."), _number(a % 50 * 4217 + 600000)))
     longitude = _unless(unplaced, F.concat(F.lit("-87."), _number(a % 50 * 7211 + 500000)))
@@ -101,11 +106,8 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("SR"), order_text, F.lit("-"), _number(col("l_linenumber"))).alias("sr_number"),
         _pick(tuple(t for t, _ in REQUEST_TYPES), kind).alias("sr_type"),
         _pick(tuple(c for _, c in REQUEST_TYPES), kind).alias("sr_short_code"),
-        _pick(DEPARTMENTS, col("l_suppkey") % len(DEPARTMENTS)).alias("owner_department"),
-        _unless(
-            col("l_suppkey") % 5 < 2,
-            _pick(DEPARTMENTS, (col("l_partkey") + col("l_suppkey")) % len(DEPARTMENTS)),
-        ).alias("created_department"),
+        _pick(DEPARTMENTS, col("owner")).alias("owner_department"),
+        _pick(DEPARTMENTS, col("creator")).alias("created_department"),
         F.when(col("o_orderstatus") == "F", "Completed")
         .when(col("o_orderstatus") == "O", "Open")
         .otherwise("Canceled")
@@ -117,9 +119,7 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
         .alias("origin"),
         col("created").alias("created_date"),
         col("changed").alias("last_modified_date"),
-        _unless(
-            (col("l_returnflag") == "A") & (col("l_linestatus") == "O"), col("changed")
-        ).alias("closed_date"),
+        _unless(col("unclosed"), col("changed")).alias("closed_date"),
         _unless(a % 11 == 0, F.concat(_number(a % 50 + 100), F.lit(" W ADDISON ST"))).alias("street_address"),
         _unless(a % 3 == 0, F.lit("CHICAGO")).alias("city"),
         _unless(a % 3 == 0, F.lit("IL")).alias("state"),
@@ -128,9 +128,9 @@ def raw_requests(spark: SparkSession, folder: str) -> DataFrame:
         F.when(a % 11 == 0, " ").otherwise("W").alias("street_direction"),
         _unless(a % 22 == 0, F.lit("ADDISON")).alias("street_name"),
         F.when(a % 9 == 0, "").otherwise("ST").alias("street_type"),
-        (col("l_discount") == 0.0).alias("duplicate"),
-        (col("l_tax") == 0.0).alias("legacy_record"),
-        F.when(col("l_tax") == 0.0, F.concat(F.lit("CSR-"), order_text)).alias("legacy_sr_number"),
+        col("duplicate"),
+        col("legacy").alias("legacy_record"),
+        F.when(col("legacy"), F.concat(F.lit("CSR-"), order_text)).alias("legacy_sr_number"),
         F.when(
             col("l_linenumber") >= 6, F.concat(F.lit("SR"), order_text, F.lit("-1"))
         ).alias("parent_sr_number"),

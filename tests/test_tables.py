@@ -1,12 +1,16 @@
 """Deduplication, dimensions and facts on hand-written requests, and invariants on all rows."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from civiclens.__main__ import main
-from civiclens.operators import facts
+from civiclens.operators import dedup, facts
 from civiclens.operators.dedup import dedup_requests
 from civiclens.plans.catalog import QUERIES
 from civiclens.plans.workspace import DIMENSIONS, Workspace
+from civiclens.sources.folders import release
+from civiclens.sources.tables import raw_requests
 
 
 def request(number, **fields):
@@ -205,3 +209,44 @@ def test_command_line(spark, raw_frame, tmp_path, capsys):
     assert "Pothole" in capsys.readouterr().out
     main(["summaries", raw, str(tmp_path / "star"), str(tmp_path / "eda")])
     assert (tmp_path / "eda" / "csv" / "summary_complaints_by_zip").is_dir()
+
+
+def test_dedup_in_slices_is_the_whole_dedup(spark, raw_frame, tmp_path, monkeypatch):
+    raw = raw_frame(
+        *[{"sr_number": n, "created_date": f"2024-01-0{d}", "status": s} for n in ("1", "2", "3", "4", None) for d in (3, 2) for s in ("a", "b")],
+        {"sr_number": "1"}, {"sr_number": "5"}, {"sr_number": ""}, {"sr_number": "1", "created_date": "2024-01-02", "status": "a"},
+    )
+    raw.write.parquet(str(tmp_path / "raw"))
+    stored = spark.read.parquet(str(tmp_path / "raw"))
+    assert len(dedup.slices_of(raw)) == len(dedup.slices_of(stored)) == 1
+    monkeypatch.setattr(dedup, "SLICE_BYTES", 1)
+    slices = dedup.slices_of(stored)
+    assert len(slices) == dedup.SLICES
+    assert sum(s.count() for s in slices) == raw.count()
+    whole = dedup.dedup_requests(raw)
+    requests = Workspace(spark, stored).requests
+    assert requests.schema.names == whole.schema.names
+    assert sorted(map(str, requests.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_a_staged_table_leaves_no_shuffle_files(spark, space, raw_frame):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in str(files.mkString("\n")).split("\n") if "/shuffle_" in f}
+
+    ws = space(raw_frame())
+    release(spark)
+    time.sleep(2)  # the files go in the background
+    before = shuffled()
+    ws.stage(spark.range(1000).repartition(4, "id"), "dealt")
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert shuffled() - before == set()
+
+
+def test_raw_requests_shuffle_the_lines_once(spark, folder):
+    plan = raw_requests(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE" not in plan
+    assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert "(o_custkey" not in plan[: plan.index("Exchange hashpartitioning(l_orderkey")]
