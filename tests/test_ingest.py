@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from civiclens import session
 from civiclens.schema import EXPECTED_COLUMNS, RAW_SCHEMA
-from civiclens.sources import files, ingest
+from civiclens.sources import files, folders, ingest
+from civiclens.streaming import landing as streaming
 from civiclens.streaming.landing import ingest_stream
 
 
@@ -242,3 +243,41 @@ def test_real_session_without_the_setting_has_a_shared_folder(tmp_path):
         timeout=180,
     )
     assert done.stdout.strip().endswith("ok"), done.stderr[-2000:]
+
+
+def test_a_load_in_groups_of_months_is_the_whole_load(spark, raw_frame, place, tmp_path, monkeypatch):
+    _, location, landing, log = place
+    raw = raw_frame(*[request(f"{m}-{d}", f"2024-{m:02d}-{d:02d}", ward=" ") for m in range(1, 6) for d in range(1, 4)], {"sr_number": "x"})
+    raw.write.parquet(str(tmp_path / "raw"))
+    monkeypatch.setattr(folders, "SLICE_BYTES", 1)
+    monkeypatch.setattr(ingest, "SLICE_BYTES", 1)
+    land(spark.read.parquet(str(tmp_path / "raw")), landing)
+    assert all(p.suffix == ".gz" for p in Path(landing).rglob("part-*"))
+    land_lines(landing, "2024-03", '{"sr_number": "y", "late": "v"}', "{broken")
+    loads, taken = [], []
+    plain = ingest.read_landing
+    monkeypatch.setattr(ingest, "read_landing", lambda *a: taken.append(a[2]) or plain(*a))
+    for n in range(2):
+        loads.append([tuple(r) for r in ingest.ingest_landing(spark, landing, place[0], location, log).collect()])
+    assert len(taken) > 1 and sorted(sum(taken, [])) == sorted(p.name for p in Path(landing).iterdir() if p.is_dir())
+    assert loads == [[(f"2024-{m:02d}", 4 if m == 3 else 3, int(m == 3)) for m in range(1, 6)] + [("unknown", 1, 0)], []]
+    rows = {r.sr_number: (r.late, r.ward, r.ingest_month) for r in spark.table(place[0]).collect()}
+    assert len(rows) == spark.table(place[0]).count() == 17 and rows["y"] == ("v", None, "2024-03") and rows["5-3"] == (None, " ", "2024-05")
+    assert not [p for p in Path(log).iterdir() if p.name.startswith("scratch")]
+
+
+def test_groups_of_months_are_even_and_whole():
+    months = [(n, [f"m{n}"]) for n in (30 << 20, 30 << 20, 1, 200 << 20, 30 << 20)]
+    assert ingest.month_groups([]) == [] and ingest.month_groups([(0, ["a"]), (5, ["b"])]) == [["a", "b"]]
+    groups = ingest.month_groups(months)
+    assert sum(groups, []) == [m for _, (m,) in months] and 1 < len(groups) <= ingest.SLICES
+
+
+def test_the_stream_keeps_nothing_of_a_batch(spark, raw_frame, tmp_path, monkeypatch):
+    landing, target, checkpoint = (str(tmp_path / n) for n in ("landing", "target", "checkpoint"))
+    land(raw_frame(request("1", "2024-01-05"), request("2", "2024-02-05"), request("3", "2024-03-05")), landing)
+    monkeypatch.setattr(streaming, "BATCH_BYTES", 1)
+    ingest_stream(spark, landing, target, checkpoint)
+    assert sorted(r.sr_number for r in spark.read.parquet(target).collect()) == ["1", "2", "3"]
+    assert len([p for p in Path(target).iterdir() if p.is_dir()]) == 3
+    assert not list(Path(f"{target}-scratch").iterdir())

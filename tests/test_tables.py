@@ -5,10 +5,11 @@ import time
 from pyspark.sql import functions as F
 
 from civiclens.__main__ import main
-from civiclens.operators import dedup, facts
+from civiclens.operators import facts
 from civiclens.operators.dedup import dedup_requests
 from civiclens.plans.catalog import QUERIES
 from civiclens.plans.workspace import DIMENSIONS, Workspace
+from civiclens.sources import folders
 from civiclens.sources.folders import release
 from civiclens.sources.tables import raw_requests
 
@@ -218,12 +219,12 @@ def test_dedup_in_slices_is_the_whole_dedup(spark, raw_frame, tmp_path, monkeypa
     )
     raw.write.parquet(str(tmp_path / "raw"))
     stored = spark.read.parquet(str(tmp_path / "raw"))
-    assert len(dedup.slices_of(raw)) == len(dedup.slices_of(stored)) == 1
-    monkeypatch.setattr(dedup, "SLICE_BYTES", 1)
-    slices = dedup.slices_of(stored)
-    assert len(slices) == dedup.SLICES
+    assert len(folders.slices_of(raw)) == len(folders.slices_of(stored)) == 1
+    monkeypatch.setattr(folders, "SLICE_BYTES", 1)
+    slices = folders.slices_of(stored)
+    assert len(slices) == folders.SLICES
     assert sum(s.count() for s in slices) == raw.count()
-    whole = dedup.dedup_requests(raw)
+    whole = dedup_requests(raw)
     requests = Workspace(spark, stored).requests
     assert requests.schema.names == whole.schema.names
     assert sorted(map(str, requests.collect())) == sorted(map(str, whole.collect()))
