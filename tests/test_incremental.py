@@ -10,6 +10,7 @@ from civiclens.operators import incremental
 from civiclens.operators.dedup import dedup_requests
 from civiclens.operators.incremental import Lake
 from civiclens.operators.registry import Registry
+from civiclens.sources import folders
 
 
 def request(number, day, **more):
@@ -164,3 +165,18 @@ def test_fact_loads_only_changed_months(raw_frame, spark, lake, tmp_path):
     named = lambda at, known: [(*r[:3], known.get(r[3]), *r[4:]) for r in fact_of(at)]
     assert named(lake, mine) == named(whole, theirs)
     assert [r[0] for r in fact_of(lake)] == list(range(1, len(fact_of(lake)) + 1))
+
+
+def test_sliced_merges_equal_one_dedup(spark, raw_frame, lake, tmp_path, monkeypatch):
+    monkeypatch.setattr(folders, "SLICE_BYTES", 1)
+    monkeypatch.setattr(folders, "SLICES", 2)
+    staged, plain = [], lake._stage
+    lake._stage = lambda frame, label: staged.append(label) or plain(frame, label)
+    for n, batch in enumerate(BATCHES):
+        raw_frame(*batch).write.parquet(str(tmp_path / str(n)))
+        lake.merge(spark.read.parquet(str(tmp_path / str(n))))
+    assert staged.count("best/slice") == len(BATCHES) * folders.SLICES and staged.count("months/group") > len(BATCHES)
+    whole = dedup_requests(raw_frame(*[r for batch in BATCHES for r in batch]))
+    columns = [c for c in whole.columns if c != "rn"]
+    assert rows(lake.requests(), *columns) == rows(whole, *columns)
+    assert not Path(lake.root, "scratch").exists()
