@@ -230,11 +230,12 @@ def test_dedup_in_slices_is_the_whole_dedup(spark, raw_frame, tmp_path, monkeypa
     assert sorted(map(str, requests.collect())) == sorted(map(str, whole.collect()))
 
 
-def test_a_staged_table_leaves_no_shuffle_files(spark, space, raw_frame):
+def test_a_staged_table_leaves_no_shuffle_files(spark, space, raw_frame, monkeypatch):
     def shuffled():
         files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
         return {f for f in str(files.mkString("\n")).split("\n") if "/shuffle_" in f}
 
+    monkeypatch.setattr(folders, "SLICE_BYTES", 1)
     ws = space(raw_frame())
     release(spark)
     time.sleep(2)  # the files go in the background
